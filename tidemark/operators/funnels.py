@@ -61,9 +61,9 @@ def step_after(
 ) -> DataFrame:
     """Each user's earliest event of `step` later than their `reached_at`, for users that have one.
 
-    The step's events are shuffled once, spread over `salts` so that one user's events land in several
-    tasks; only the small side, one time per user, is repeated per salt. The minimum is formed in each
-    task before users come together.
+    The step's events are shuffled once, spread over `salts`; only the small side, one time per user,
+    is repeated per salt. The minimum is formed in each task before users come together, which takes a
+    shuffle of its own, so Spark may also split a (user, salt) that is still too large at run time.
     """
     keys = [*by, "user_id"]
     salt = F.pmod(F.xxhash64("event_timestamp"), F.lit(salts)).cast("int")
@@ -83,16 +83,20 @@ def sequential_funnel(
     """Users that reached each step strictly after the one before; always one row per step.
 
     A user's time for a step is the earliest such event later than their time for the previous step.
+    Counting the times, not just the users, leaves each level the same plan as in the next level's
+    join, so Spark computes it once and reuses its shuffle.
     """
     levels = [first_step(ev, steps[0], by)]
     for step in steps[1:]:
         levels.append(step_after(ev, levels[-1], step, by, salts))
-    marked = [
-        level.select(*by, *[F.lit(int(i == j)).alias(f"s{j}") for j in range(len(steps))])
+    counted = [
+        level.groupBy(*by)
+        .agg(F.count("reached_at").alias("n"))
+        .select(*by, *[(F.col("n") if i == j else F.lit(0)).cast("bigint").alias(f"s{j}") for j in range(len(steps))])
         for i, level in enumerate(levels)
     ]
-    totals = [F.coalesce(F.sum(f"s{i}"), F.lit(0)).cast("bigint").alias(f"s{i}") for i in range(len(steps))]
-    return _by_step(reduce(DataFrame.unionByName, marked).groupBy(*by).agg(*totals), steps, by)
+    totals = [F.coalesce(F.sum(f"s{i}"), F.lit(0)).alias(f"s{i}") for i in range(len(steps))]
+    return _by_step(reduce(DataFrame.unionByName, counted).groupBy(*by).agg(*totals), steps, by)
 
 
 def funnel_step_rates(funnel: DataFrame, steps: Sequence[str] = STEPS) -> DataFrame:

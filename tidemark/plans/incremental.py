@@ -1,45 +1,67 @@
-"""Incremental refresh of the order fact, stored by order date."""
+"""Incremental refresh of the order fact, stored in folders by order date (or month)."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.revenue import FACT_COLUMNS, fct_revenue_from_staging, order_refunds
+from tidemark.plans.quality_rules import FCT_REVENUE_CONTRACT
 from tidemark.sinks.writers import write_partitioned
 
+# Days suit large tables; months where a day would be too little for a file of its own.
+FOLDER = {"day": "order_date", "month": "order_month"}
 
-def write_fact(fct: DataFrame, path: str) -> None:
-    """Full build: one folder per order date, rows clustered by user."""
-    write_partitioned(fct, path, ["order_date"], sort_by=["user_id"])
 
+def _period(day: Column, grain: str) -> Column:
+    return day if grain == "day" else F.trunc(day, grain)
 
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*FACT_COLUMNS)
 
+def _schema(grain: str) -> T.StructType:
+    fields = list(FCT_REVENUE_CONTRACT.fields)
+    if grain != "day":
+        fields.append(T.StructField(FOLDER[grain], T.DateType()))
+    return T.StructType(fields)
 
-def dates_to_refresh(
-    existing: DataFrame, orders: DataFrame, refunds: DataFrame, as_of: dt.date | str, lookback: int, since: str
+
+def write_fact(fct: DataFrame, path: str, grain: str = "day", **options: str) -> None:
+    """Store the fact: one folder per period, rows clustered by user inside each file."""
+    folder = FOLDER[grain]
+    rows = fct.withColumn(folder, _period(F.col("order_date"), grain))
+    write_partitioned(rows, path, [folder], sort_by=["user_id"], **options)
+
+
+def read_fact(spark: SparkSession, path: str, grain: str = "day") -> DataFrame:
+    return spark.read.schema(_schema(grain)).parquet(path).select(*FACT_COLUMNS)
+
+
+def periods_to_refresh(
+    existing: DataFrame,
+    orders: DataFrame,
+    refunds: DataFrame,
+    as_of: dt.date | str,
+    lookback: int,
+    since: str,
+    grain: str = "day",
 ) -> DataFrame:
-    """Order dates whose stored rows may be out of date.
+    """Periods whose stored rows may be out of date.
 
-    These are the last `lookback` days, the dates of orders refunded on or after `since`, and, for an
-    order that now has another date than the stored one, both dates.
+    These hold the last `lookback` days, the orders refunded on or after `since`, and, for an order that
+    now has another date than the stored one, both dates.
     """
     first = F.date_sub(F.lit(as_of).cast("date"), lookback - 1)
     now = orders.select("order_id", F.to_date("order_timestamp").alias("order_date"))
-    late = refunds.where(F.col("refund_timestamp") >= F.lit(since).cast("timestamp_ntz")).select("order_id").distinct()
-    recent = now.where(F.col("order_date") >= first).select("order_date")
-    refunded = now.join(late, "order_id", "left_semi").select("order_date")
+    late = refunds.where(F.col("refund_timestamp") >= F.lit(since).cast("timestamp_ntz"))
+    late = late.select("order_id").distinct().withColumn("late", F.lit(True))
     stored = existing.select("order_id", F.col("order_date").alias("stored_date"))
-    moved = (
-        now.join(stored, "order_id", "full_outer")
-        .where(~F.col("order_date").eqNullSafe(F.col("stored_date")))
-        .select(F.explode(F.array_compact(F.array("order_date", "stored_date"))).alias("order_date"))
-    )
-    return recent.unionByName(refunded).unionByName(moved).distinct()
+    both = now.join(stored, "order_id", "full_outer").join(late, "order_id", "left")
+    moved = ~F.col("order_date").eqNullSafe(F.col("stored_date"))
+    stale = moved | F.col("late").isNotNull() | (F.col("order_date") >= first)
+    days = F.explode(F.array_compact(F.array("order_date", "stored_date")))
+    return both.where(stale).select(days.alias("day")).select(_period(F.col("day"), grain).alias("period")).distinct()
 
 
 def incremental_revenue(
@@ -51,27 +73,27 @@ def incremental_revenue(
     as_of: dt.date | str,
     since: str,
     lookback: int = 3,
+    grain: str = "day",
 ) -> int:
-    """Rebuild the affected order dates in place and return how many there were.
+    """Rebuild the affected periods in place and return how many there were.
 
-    Only their folders are replaced; the rest of the table is neither read in full nor rewritten. The
-    result equals a full rebuild as long as user attributes of older orders stay as they were.
+    Of the stored table only order ids and dates are read, and only the affected folders are replaced.
+    The result equals a full rebuild as long as user attributes of older orders stay as they were.
     """
-    existing = spark.read.parquet(path)
+    existing = read_fact(spark, path, grain)
     # One date per row: at most the days of the calendar, however large the table is.
-    dates = [
-        row.order_date
-        for row in dates_to_refresh(existing, orders, refunds, as_of, lookback, since).toLocalIterator()
-    ]
-    if not dates:
+    stale = periods_to_refresh(existing, orders, refunds, as_of, lookback, since, grain)
+    periods = {row.period for row in stale.toLocalIterator()}
+    if not periods:
         return 0
-    affected = orders.where(F.to_date("order_timestamp").isin(dates))
+    affected = orders.where(_period(F.to_date("order_timestamp"), grain).isin(*periods))
     touched = refunds.join(affected.select("order_id"), "order_id", "left_semi")
     fct = fct_revenue_from_staging(affected, users, order_refunds(touched))
-    left_over = set(dates) - {r.order_date for r in fct.select("order_date").distinct().toLocalIterator()}
-    write_partitioned(fct, path, ["order_date"], sort_by=["user_id"], partitionOverwriteMode="dynamic")
-    for day in sorted(left_over):
-        # All orders of this date moved away: dynamic overwrite leaves such a folder as it is.
-        empty = fct.where(F.lit(False)).drop("order_date").coalesce(1)
-        empty.write.mode("overwrite").parquet(f"{path}/order_date={day.isoformat()}")
-    return len(dates)
+    filled = affected.select(_period(F.to_date("order_timestamp"), grain).alias("period")).distinct()
+    emptied = periods - {row.period for row in filled.toLocalIterator()}
+    write_fact(fct, path, grain, partitionOverwriteMode="dynamic")
+    for period in sorted(emptied):
+        # All its orders moved away; dynamic overwrite leaves such a folder as it was.
+        nothing = spark.createDataFrame([], T.StructType([f for f in _schema(grain) if f.name != FOLDER[grain]]))
+        nothing.coalesce(1).write.mode("overwrite").parquet(f"{path}/{FOLDER[grain]}={period.isoformat()}")
+    return len(periods)

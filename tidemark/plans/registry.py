@@ -570,14 +570,20 @@ def incremental_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "fact")
     w = _warehouse(spark, sf_dir)
     first_orders = w.stg_orders.where(F.col("order_timestamp") < F.lit("2001-07-30").cast("timestamp_ntz"))
-    first_refunds = w.stg_refunds.where(F.col("refund_timestamp") < F.lit("2001-10-01").cast("timestamp_ntz"))
-    incremental.write_fact(
-        revenue.fct_revenue_from_staging(first_orders, w.stg_users, revenue.order_refunds(first_refunds)), path
-    )
+    first_refunds = w.stg_refunds.where(F.col("refund_timestamp") < F.lit("2001-11-01").cast("timestamp_ntz"))
+    before = revenue.fct_revenue_from_staging(first_orders, w.stg_users, revenue.order_refunds(first_refunds))
+    incremental.write_fact(before, path, grain="month")
     incremental.incremental_revenue(
-        spark, path, w.stg_orders, w.stg_users, w.stg_refunds, as_of="2001-08-01", since="2001-10-01"
+        spark,
+        path,
+        w.stg_orders,
+        w.stg_users,
+        w.stg_refunds,
+        as_of="2001-08-01",
+        since="2001-11-01",
+        grain="month",
     )
-    return incremental.read_fact(spark, path)
+    return incremental.read_fact(spark, path, grain="month")
 
 
 # --- Quality, monitoring -----------------------------------------------------------------------

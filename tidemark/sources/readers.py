@@ -27,7 +27,7 @@ def read_parquet_prefix(spark: SparkSession, root: str, prefix: str, schema: T.S
     """All Parquet files below a prefix as one table; no rows (but the schema) if there are none."""
     path = f"{root.rstrip('/')}/{prefix.strip('/')}"
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("basePath", root).parquet(path).select(*schema.names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -26,9 +26,10 @@ def stream_sessions(
 ) -> DataFrame:
     """Sessions split by pauses of more than `gap_minutes` whole minutes, as in the batch operator.
 
-    A session window closes after a pause of at least its gap, hence one minute more.
+    Session windows that touch are merged, so the gap is one microsecond short of the first whole minute
+    that ends a session.
     """
-    window = F.session_window(ts, f"{gap_minutes + 1} minutes")
+    window = F.session_window(ts, f"{gap_minutes} minutes 59 seconds 999999 microseconds")
     return (
         with_event_time(stream, ts)
         .withWatermark(ts, watermark)
