@@ -70,7 +70,7 @@ def _declared_checks() -> str:
     return " union all ".join(parts)
 
 
-def _round8(table: str, *cols: str, digits: int = 8) -> str:
+def _rounded(table: str, *cols: str, digits: int = 12) -> str:
     return f"select * replace ({', '.join(f'{rnd(c, digits)} as {c}' for c in cols)}) from {table}"
 
 
@@ -320,9 +320,9 @@ SQL: dict[str, str] = {
         from f""",
     # Experiments
     "ab_user_level": "select * from ab_user_level",
-    "ab_cells": _round8("ab_cells", "mean_y", "mean_x", "cov_yx", "var_x"),
-    "cuped_adjust": _round8("ab_cuped", "cuped_conversion_rate"),
-    "pivot_groups": _round8("ab_pivot", "control_cuped_rate", "treatment_cuped_rate"),
+    "ab_cells": _rounded("ab_cells", "mean_y", "mean_x", "cov_yx", "var_x"),
+    "cuped_adjust": _rounded("ab_cuped", "cuped_conversion_rate"),
+    "pivot_groups": _rounded("ab_pivot", "control_cuped_rate", "treatment_cuped_rate"),
     "ab_test_results": "select * from ab_results",
     "ab_test_pooled": "select * from ab_results_pooled",
     "ab_z_score": f"""

@@ -15,6 +15,7 @@ from tidemark import functions as fn
 from tidemark.operators import activity, cleaning, experiments, funnels, order_events, quality, revenue, sessions
 from tidemark.plans import semantic
 from tidemark.plans.quality_rules import RULES
+from tidemark.session import cluster_conf, shuffle_partitions
 from tidemark.sources import readers, schemas
 
 
@@ -242,3 +243,9 @@ def test_fill_gaps(spark, rows):
     got = activity.fill_gaps(df, "d", "2024-01-01", "2024-01-03", ["n"])
     assert got.dtypes == df.dtypes
     assert [r.n for r in got.orderBy("d").collect()] == [0, 5, 0]
+
+
+def test_shuffle_partitions_grow_with_the_input():
+    assert shuffle_partitions(0, 8) == 16
+    assert shuffle_partitions(100 * 2**40, 8000) == 819200
+    assert cluster_conf(2**40, 100)["spark.sql.shuffle.partitions"] == "8192"

@@ -113,3 +113,11 @@ def test_appended_loads_add_up(spark, tmp_path):
         writers.append_rates(readers.explode_rates(doc, ingested_at=stamp), str(tmp_path / "rates"))
     got = spark.read.parquet(str(tmp_path / "rates"))
     assert {r._ingested_at for r in got.collect()} == {"a", "b"} and got.where(F.col("base_currency") == "USD").count() == 2
+
+
+def test_shared_models_are_kept_and_released(spark):
+    w = small_warehouse(spark)
+    with w.cached("stg_events") as kept:
+        assert kept.stg_events.is_cached
+        assert "InMemoryTableScan" in kept.mart_growth_metrics._jdf.queryExecution().executedPlan().toString()
+    assert not w.stg_events.is_cached

@@ -161,8 +161,11 @@ def test_history_equals_plain_window(changes, rows, bucket):
     assert rows(got.drop("is_current")) == rows(plain)
 
 
-def test_asof_by_brute_force(changes, orders, rows):
+@pytest.mark.parametrize("bucket", ["day", "year"])
+def test_asof_by_brute_force(changes, orders, bucket):
     versions = history.scd2_history(changes, "user_id", "updated_at")
+    # Leave gaps: times for which no version is valid.
+    versions = versions.where(F.pmod(F.xxhash64("valid_from"), F.lit(4)) != 0)
     facts = orders.select("order_id", "user_id", "created_at")
     known = [tuple(r) for r in versions.select("user_id", "plan", "valid_from", "valid_to").collect()]
 
@@ -172,7 +175,7 @@ def test_asof_by_brute_force(changes, orders, rows):
     expected = sorted(
         ((o, u, t, plan_at(u, t)) for o, u, t in (tuple(r) for r in facts.collect())), key=lambda r: r[0]
     )
-    got = history.asof_user_attributes(facts, versions, "user_id", "created_at")
+    got = history.asof_user_attributes(facts, versions, "user_id", "created_at", bucket)
     assert sorted((tuple(r) for r in got.collect()), key=lambda r: r[0]) == expected
 
 

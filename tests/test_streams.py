@@ -125,3 +125,11 @@ def test_payment_messages_round_trip(spark, rows):
 def test_broker_source_starts_at_the_earliest_record(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         io.stream_source(spark, "kafka", options={"subscribe": "orders", "kafka.bootstrap.servers": "unused:9092"})
+
+
+def test_stream_without_any_file(spark, tmp_path, rows):
+    (tmp_path / "topic").mkdir()
+    got = io.run_complete(
+        order_events.running_city_metrics(stream(spark, str(tmp_path / "topic"))), str(tmp_path / "run")
+    )
+    assert got.count() == 0

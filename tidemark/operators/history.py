@@ -118,37 +118,36 @@ def asof_user_attributes(
 ) -> DataFrame:
     """Facts with the attribute version valid at their time; facts without one keep NULLs.
 
-    Versions are first placed into the (key, bucket) pairs in which facts exist, one row per pair after
-    map-side aggregation. The facts then join on (key, bucket), so one key's facts spread over its
-    buckets and meet only the versions of their own bucket.
+    Facts and versions are lined up by time within (key, bucket) and each fact takes the last version
+    before it, so the work grows with facts plus versions, never with their product. The version a
+    bucket starts with is carried in from earlier buckets, worked out on one row per bucket.
     """
-    cut = F.date_trunc(bucket, ts_col)
-    spans = facts.groupBy(F.col(key).alias("__k"), cut.alias("__b")).agg(
-        F.min(ts_col).alias("__lo"), F.max(ts_col).alias("__hi")
-    )
     attributes = [c for c in history.columns if c not in (key, *VALIDITY)]
-    versions = history.select(F.col(key).alias("__k"), *attributes, "valid_from", "valid_to")
-    overlap = (
-        (F.col("s.__k") == F.col("v.__k"))
-        & (F.col("v.valid_from") <= F.col("s.__hi"))
-        & (F.col("v.valid_to").isNull() | (F.col("v.valid_to") > F.col("s.__lo")))
+    version = F.struct(*attributes, "valid_from", "valid_to")
+    place = F.struct(F.col(key).alias("k"), F.date_trunc(bucket, "__t").alias("b"))
+    versions = (
+        history.where(F.col(key).isNotNull())
+        .withColumn("__t", F.col("valid_from"))
+        .select(place.alias("place"), version.alias("version"))
     )
-    placed = (
-        spans.alias("s")
-        .join(versions.alias("v"), overlap)
-        .select(
-            F.col("s.__k"),
-            F.col("s.__b"),
-            *[F.col(f"v.{c}") for c in attributes],
-            F.col("v.valid_from").alias("__from"),
-            F.col("v.valid_to").alias("__to"),
-        )
+    moved = facts.withColumn("__t", F.col(ts_col)).select(place.alias("place"), F.struct(*facts.columns).alias("fact"))
+
+    last = versions.groupBy("place").agg(F.max_by("version", "version.valid_from").alias("version"))
+    needed = moved.select("place").distinct().withColumn("needed", F.lit(True))
+    earlier = W.partitionBy("place.k").orderBy("place.b").rowsBetween(W.unboundedPreceding, -1)
+    carried = (
+        last.unionByName(needed, allowMissingColumns=True)
+        .groupBy("place")
+        .agg(F.first("version", ignorenulls=True).alias("version"), F.max("needed").alias("needed"))
+        .select("place", F.last("version", ignorenulls=True).over(earlier).alias("version"), "needed")
+        .where(F.col("needed") & F.col("version").isNotNull())
+        .drop("needed")
     )
-    left = facts.withColumn("__b", cut)
-    match = (
-        (left[key] == placed["__k"])
-        & (left["__b"] == placed["__b"])
-        & (placed["__from"] <= left[ts_col])
-        & (placed["__to"].isNull() | (left[ts_col] < placed["__to"]))
+    lined_up = moved.unionByName(versions.unionByName(carried), allowMissingColumns=True)
+    at = F.coalesce(F.col("version.valid_from"), F.col(f"fact.{ts_col}"))
+    upto = W.partitionBy("place").orderBy(at, F.col("fact").isNotNull()).rowsBetween(W.unboundedPreceding, 0)
+    found = lined_up.withColumn("version", F.last("version", ignorenulls=True).over(upto)).where(
+        F.col("fact").isNotNull()
     )
-    return left.join(placed, match, "left").select(*[left[c] for c in facts.columns], *[placed[c] for c in attributes])
+    valid = F.col("version.valid_to").isNull() | (F.col(f"fact.{ts_col}") < F.col("version.valid_to"))
+    return found.select("fact.*", *[F.when(valid, F.col(f"version.{c}")).alias(c) for c in attributes])

@@ -384,7 +384,7 @@ def _user_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     return experiments.ab_user_level(w.stg_experiment_assignments, w.converters, w.stg_user_pre_experiment)
 
 
-def _rounded(df: DataFrame, *cols: str, digits: int = 8) -> DataFrame:
+def _rounded(df: DataFrame, *cols: str, digits: int = 12) -> DataFrame:
     """Floating-point moments depend on summation order in their last digits; reports show fewer."""
     return df.withColumns({c: F.round(c, digits) for c in cols})
 

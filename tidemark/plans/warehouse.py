@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -164,6 +165,16 @@ class Warehouse:
         found = {name: ((models or {}).get(name, None) or getattr(self, name), c) for name, c in dates.items()}
         return quality.pipeline_monitoring(found, self.as_of)
 
+    @contextmanager
+    def cached(self, *models: str) -> Iterator[Warehouse]:
+        """Keep models that several marts share, such as staged events, for the length of a block."""
+        kept = [getattr(self, name).persist() for name in models]
+        try:
+            yield self
+        finally:
+            for df in kept:
+                df.unpersist()
+
     def save(self, root: str, models: Iterable[str]) -> dict[str, DataFrame]:
         """Store models as tables, in the given order; later ones read the stored earlier ones."""
         stored = {}

@@ -19,6 +19,28 @@ RUNTIME_CONF = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+# For runs over many terabytes, on top of the above: larger scan splits, reduce partitions merged
+# towards a size instead of a count, stream state outside the heap.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes: int, cores: int) -> int:
+    """Reduce partitions so that one holds about 128 MiB, and every core has some. AQE merges small ones."""
+    return max(2 * cores, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
+
+
+def cluster_conf(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for one large run."""
+    return {**CLUSTER_CONF, "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes, cores))}
+
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with this package's settings; `conf` overrides them."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.sources.readers import read_parquet_prefix
 from tidemark.sources.schemas import KEYED_MESSAGE
 
 
@@ -96,17 +97,34 @@ def run_append(stream: DataFrame, root: str, mode: str = "append") -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/out").select(*stream.columns)
 
 
-def latest_batch(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """The output of the last batch stored below `root`."""
-    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])).parquet(root)
-    last = spark.read.format("binaryFile").load(root).agg(F.max("batch_id")).scalar()
+def store_version(batch: DataFrame, batch_id: int, root: str) -> None:
+    """Store a batch as the latest version of a table that only ever grows.
+
+    Two folders take turns, so a repeated batch overwrites its own version and leaves the one before
+    it, and storage does not grow with the number of batches.
+    """
+    batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
+        f"{root}/turn={batch_id % 2}"
+    )
+
+
+def read_version(spark: SparkSession, root: str, schema: T.StructType, batch_id: int | None = None) -> DataFrame:
+    """The table as of a batch, or as of the last one."""
+    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    if batch_id is not None:
+        stored = spark.read.schema(full).parquet(f"{root}/turn={batch_id % 2}")
+        return stored.where(F.col("batch_id") == batch_id).select(*schema.names)
+    # No version yet: the stream had nothing to read.
+    stored = read_parquet_prefix(spark, root, "", full)
+    last = stored.agg(F.max("batch_id")).scalar()
     return stored.where(F.col("batch_id") == last).select(*schema.names)
 
 
 def run_complete(stream: DataFrame, root: str) -> DataFrame:
     """Run an aggregation to the end of the available data and return its last full result."""
-    bounded_run(stream, append_batches(f"{root}/out"), f"{root}/checkpoint", "complete")
-    return latest_batch(stream.sparkSession, f"{root}/out", stream.schema)
+    out = f"{root}/out"
+    bounded_run(stream, lambda batch, n: store_version(batch, n, out), f"{root}/checkpoint", "complete")
+    return read_version(stream.sparkSession, out, stream.schema)
 
 
 def write_topic(messages: DataFrame, path: str) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.order_events import last_n, mean_of_last, with_reject_reason
-from tidemark.streaming.io import batch_folder, bounded_run, latest_batch
+from tidemark.streaming.io import batch_folder, bounded_run, read_version, store_version
 
 
 def with_event_time(stream: DataFrame, ts: str = "event_timestamp") -> DataFrame:
@@ -85,9 +85,9 @@ def run_split(events: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
 def run_last_n(events: DataFrame, root: str, n: int = 100, key: str | None = None) -> DataFrame:
     """Mean of the latest n amounts after all available events.
 
-    State is the table of the latest n events (per key), one version per batch. A batch first shrinks to
-    its own latest n in every map task, so one busy key costs no task more than the others; a repeated
-    batch starts again from the version before it.
+    State is a table of the latest n events (per key). A batch first shrinks to its own latest n in every
+    map task, so one busy key costs no task more than the others; a repeated batch starts again from the
+    version before it.
     """
     spark: SparkSession = events.sparkSession
     rows = events.select(*dict.fromkeys(["timestamp", "order_id", "amount", *([key] if key else [])]))
@@ -96,9 +96,8 @@ def run_last_n(events: DataFrame, root: str, n: int = 100, key: str | None = Non
     def update(batch: DataFrame, batch_id: int) -> None:
         latest = last_n(batch, n, key)
         if batch_id > 0:
-            before = spark.read.schema(rows.schema).parquet(batch_folder(state, batch_id - 1))
-            latest = last_n(latest.unionByName(before), n, key)
-        latest.write.mode("overwrite").parquet(batch_folder(state, batch_id))
+            latest = last_n(latest.unionByName(read_version(spark, state, rows.schema, batch_id - 1)), n, key)
+        store_version(latest, batch_id, state)
 
     bounded_run(rows, update, f"{root}/checkpoint")
-    return mean_of_last(latest_batch(spark, state, rows.schema), key)
+    return mean_of_last(read_version(spark, state, rows.schema), key)
