@@ -77,9 +77,10 @@ def test_broadcast_only_below_the_limit(spark):
         orders = cleaning.clean_orders(star_schema.orders_raw(spark, SF))
         users = cleaning.drop_duplicates(star_schema.users_raw(spark, SF), ["user_id"])
         small = plan(reports.broadcast_enrich(orders, users))
-        large = plan(reports.broadcast_enrich(orders, users, limit_bytes=10))
         assert "BroadcastHashJoin" in small
-        assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large
+        for limit in ({"limit_bytes": 10}, {"limit_rows": 10}):
+            large = plan(reports.broadcast_enrich(orders, users, **limit))
+            assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large
 
     with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}, check)
 

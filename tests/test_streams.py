@@ -103,10 +103,11 @@ def test_sessions_split_like_the_batch(spark, rows):
     assert got.where("user_id = 'u'").count() == 3
 
 
-def test_stream_dedup(spark):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_stream_dedup(spark, salts):
     live, stored = written_events(spark, [("u", "x", "2024-01-01 10:00"), ("u", "x", "2024-01-01 10:05")])
-    twice = live.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    got = io.run_append(operators.stream_dedup(twice), fresh_dir(spark, "stream"))
+    often = live.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(50)))).drop("copy")
+    got = io.run_append(operators.stream_dedup(often, salts=salts), fresh_dir(spark, "stream"))
     assert got.count() == stored.count() == 2
 
 

@@ -9,6 +9,7 @@ from tidemark.functions import mean_of, money, sum_money
 from tidemark.operators.ordered import with_running
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+BROADCAST_LIMIT_ROWS = 1_000_000
 _ENRICHED = ("order_id", "user_id", "amount", "currency", "country", "acquisition_channel")
 
 
@@ -17,9 +18,17 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Ask for a broadcast only below a size limit; above it Spark shuffles both sides."""
-    return F.broadcast(df) if planned_bytes(df) <= limit_bytes else df
+def broadcast_if_small(
+    df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES, limit_rows: int = BROADCAST_LIMIT_ROWS
+) -> DataFrame:
+    """Ask for a broadcast only of data proven small; otherwise Spark shuffles both sides.
+
+    The estimate comes from file sizes and costs nothing. Only where it is low are rows counted, and
+    never more than just above the limit.
+    """
+    if planned_bytes(df) > limit_bytes or df.limit(limit_rows + 1).count() > limit_rows:
+        return df
+    return F.broadcast(df)
 
 
 def plain_enrich(orders: DataFrame, users: DataFrame, on: str = "user_id") -> DataFrame:
@@ -29,11 +38,15 @@ def plain_enrich(orders: DataFrame, users: DataFrame, on: str = "user_id") -> Da
 
 
 def broadcast_enrich(
-    orders: DataFrame, users: DataFrame, on: str = "user_id", limit_bytes: int = BROADCAST_LIMIT_BYTES
+    orders: DataFrame,
+    users: DataFrame,
+    on: str = "user_id",
+    limit_bytes: int = BROADCAST_LIMIT_BYTES,
+    limit_rows: int = BROADCAST_LIMIT_ROWS,
 ) -> DataFrame:
     """Same rows as `plain_enrich`; the users are broadcast while they are small enough."""
     side = users.select(on, "country", "acquisition_channel")
-    return orders.join(broadcast_if_small(side, limit_bytes), on, "left").select(*_ENRICHED)
+    return orders.join(broadcast_if_small(side, limit_bytes, limit_rows), on, "left").select(*_ENRICHED)
 
 
 def revenue_by_currency(orders: DataFrame) -> DataFrame:

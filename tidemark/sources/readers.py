@@ -10,6 +10,11 @@ from pyspark.sql.utils import AnalysisException
 from tidemark.sources import schemas
 
 
+# Where rates come from and the currency they are quoted in.
+RATES_SOURCE = "open.er-api.com"
+RATES_BASE = "USD"
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header line and a declared schema; an empty field is NULL."""
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
@@ -60,8 +65,8 @@ def explode_rates(
     docs: DataFrame,
     json_col: str = "value",
     ingested_at: str | Column | None = None,
-    source: str = "open.er-api.com",
-    base: str = "USD",
+    source: str = RATES_SOURCE,
+    base: str = RATES_BASE,
 ) -> DataFrame:
     """Rate documents (`{"rates": {currency: rate}, "time_last_update_utc": ...}`) to one row per currency."""
     doc = F.from_json(json_col, "rates map<string,double>, time_last_update_utc string").alias("doc")

@@ -15,10 +15,19 @@ def with_event_time(stream: DataFrame, ts: str = "event_timestamp") -> DataFrame
 
 
 def stream_dedup(
-    stream: DataFrame, key: str = "event_id", ts: str = "event_timestamp", watermark: str = "1 day"
+    stream: DataFrame, key: str = "event_id", ts: str = "event_timestamp", watermark: str = "1 day", salts: int = 8
 ) -> DataFrame:
-    """Repeated deliveries of an event are dropped while they arrive within the watermark."""
-    return with_event_time(stream, ts).withWatermark(ts, watermark).dropDuplicatesWithinWatermark([key])
+    """Repeated deliveries of an event are dropped while they arrive within the watermark.
+
+    Copies are first dropped per (key, salt), so that an event delivered very many times does not send
+    all its copies to one task; at most one copy per salt reaches the second step, which decides. With
+    `salts=1` there is only that step, and state is kept once instead of twice.
+    """
+    rows = with_event_time(stream, ts).withWatermark(ts, watermark)
+    if salts > 1:
+        salted = rows.withColumn("__salt", F.floor(F.rand(seed=0) * salts).cast("int"))
+        rows = salted.dropDuplicatesWithinWatermark([key, "__salt"]).drop("__salt")
+    return rows.dropDuplicatesWithinWatermark([key])
 
 
 def stream_sessions(
