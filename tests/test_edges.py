@@ -6,6 +6,7 @@ import datetime as dt
 import hashlib
 import json
 import math
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -249,3 +250,16 @@ def test_shuffle_partitions_grow_with_the_input():
     assert shuffle_partitions(0, 8) == 16
     assert shuffle_partitions(100 * 2**40, 8000) == 819200
     assert cluster_conf(2**40, 100)["spark.sql.shuffle.partitions"] == "8192"
+
+
+def test_money_keeps_nine_digits(spark):
+    tiny = Decimal("0.000000001")
+    df = spark.createDataFrame([(Decimal("5"), tiny)], "a decimal(38,9), b decimal(38,9)")
+    plus, minus = df.select(fn.add_money(F.col("a"), F.col("b")), fn.less_money(F.col("a"), F.col("b"))).first()
+    assert (plus, minus) == (Decimal("5.000000001"), Decimal("4.999999999"))
+    orders = spark.createDataFrame(
+        [("1", "u", ts("2024-01-01"), Decimal("5"))],
+        "order_id string, user_id string, order_timestamp timestamp_ntz, order_amount decimal(38,9)",
+    )
+    refunds = spark.createDataFrame([("1", tiny)], "order_id string, total_refunded_amount decimal(38,9)")
+    assert revenue.net_orders(orders, refunds).first().net_revenue == Decimal("4.999999999")

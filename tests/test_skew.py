@@ -64,9 +64,10 @@ def test_running_with_missing_amounts(spark, rows):
 @pytest.mark.parametrize("chunk_rows", [7, 50, 100_000])
 def test_moving_average_equals_plain_window(orders, rows, chunk_rows):
     frame = W.partitionBy("user_id").orderBy("created_at", "order_id").rowsBetween(-6, 0)
-    plain = orders.select("*", F.round(F.avg("amount").over(frame), 8).alias("m"))
+    some = orders.withColumn("amount", F.when(F.pmod(F.xxhash64("order_id"), F.lit(4)) != 0, F.col("amount")))
+    plain = some.select("*", F.round(F.avg("amount").over(frame), 8).alias("m"))
     got = ordered.moving_average(
-        orders, ["user_id"], ["created_at", "order_id"], "amount", n=7, out="m", chunk_rows=chunk_rows
+        some, ["user_id"], ["created_at", "order_id"], "amount", n=7, out="m", chunk_rows=chunk_rows
     )
     assert rows(got.withColumn("m", F.round("m", 8))) == rows(plain)
 

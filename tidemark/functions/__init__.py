@@ -1,5 +1,7 @@
 from tidemark.functions.calendar import date_spine, time_spine
 from tidemark.functions.scalar import (
+    add_money,
+    less_money,
     local_date,
     mean_of,
     money,
@@ -12,7 +14,9 @@ from tidemark.functions.scalar import (
 from tidemark.functions.stats import normal_quantile, two_sided_p
 
 __all__ = [
+    "add_money",
     "date_spine",
+    "less_money",
     "local_date",
     "mean_of",
     "money",

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(38,9)"
+_ADDEND = "decimal(37,9)"
 
 
 def _col(c: Column | str) -> Column:
@@ -17,6 +18,16 @@ def money(c: Column | str) -> Column:
     return _col(c).cast(MONEY)
 
 
+def add_money(a: Column, b: Column) -> Column:
+    """a + b with all nine digits: Spark would give up one to make room for a carry."""
+    return (a.cast(_ADDEND) + b.cast(_ADDEND)).cast(MONEY)
+
+
+def less_money(a: Column, b: Column) -> Column:
+    """a - b with all nine digits."""
+    return (a.cast(_ADDEND) - b.cast(_ADDEND)).cast(MONEY)
+
+
 def sum_money(c: Column | str) -> Column:
     """Exact sum of a double amount, returned as double."""
     return F.sum(money(c)).cast("double")

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.functions import money
+from tidemark.functions import add_money, less_money, money
 
 
 def with_running(
@@ -68,7 +68,7 @@ def with_running(
         exprs.append(F.when(first, F.col(f"__last_{out}").getField(lags[out])).otherwise(F.col(f"__prev_{out}")).alias(out))
     for out in sums:
         part, past = F.col(f"__part_{out}"), F.col(f"__sum_{out}")
-        exprs.append(money(F.when(past.isNull(), part).when(part.isNull(), past).otherwise(part + past)).alias(out))
+        exprs.append(F.when(past.isNull(), part).when(part.isNull(), past).otherwise(add_money(part, past)).alias(out))
     return joined.select(*out_cols, *exprs)
 
 
@@ -84,24 +84,32 @@ def moving_average(
 ) -> DataFrame:
     """Mean of the last n rows (the current one included) per key.
 
-    Rows are numbered per key and windowed in chunks of `chunk_rows`; each chunk also receives the last
-    n - 1 rows of the one before it.
+    The sum over a frame is the difference of two running sums, which is exact in decimal and takes one
+    step per row, whatever n is. Rows are numbered per key and looked back in chunks of `chunk_rows`;
+    each chunk also receives the last n rows of the one before it.
     """
     if chunk_rows < n:
         raise ValueError("a chunk must hold at least one full frame")
-    ranked = with_running(df, keys, order, rank="__rank", bucket=bucket)
-    chunk = F.floor((F.col("__rank") - 1) / chunk_rows).cast("bigint")
-    near_end = (F.col("__rank") - 1) % chunk_rows >= chunk_rows - (n - 1)
+    known = df.withColumn("__known", F.when(F.col(value).isNull(), 0).otherwise(1))
+    summed = with_running(
+        known, keys, order, rank="__rank", sums={"__sum": value, "__count": "__known"}, bucket=bucket
+    )
+    position = F.col("__rank") - 1
+    chunk = F.floor(position / chunk_rows).cast("bigint")
     own = F.struct(chunk.alias("chunk"), F.lit(False).alias("context"))
     ahead = F.struct((chunk + 1).alias("chunk"), F.lit(True).alias("context"))
-    placed = ranked.select(
-        "*", F.explode(F.when(near_end, F.array(own, ahead)).otherwise(F.array(own))).alias("__place")
+    near_end = position % chunk_rows >= chunk_rows - n
+    placed = summed.withColumn(
+        "__place", F.explode(F.when(near_end, F.array(own, ahead)).otherwise(F.array(own)))
     )
-    frame = W.partitionBy(*keys, "__place.chunk").orderBy("__rank").rowsBetween(-(n - 1), 0)
-    total = F.sum(money(value)).over(frame).cast("double")
-    count = F.count(F.col(value)).over(frame).cast("double")
+    in_chunk = W.partitionBy(*keys, "__place.chunk").orderBy("__rank")
+
+    def over_frame(total: str) -> Column:
+        before = F.coalesce(F.lag(total, n).over(in_chunk), F.lit(0))
+        return less_money(F.coalesce(F.col(total), F.lit(0)), before).cast("double")
+
     return (
-        placed.withColumn(out, F.try_divide(total, count))
+        placed.withColumn(out, F.try_divide(over_frame("__sum"), over_frame("__count")))
         .where(~F.col("__place.context"))
-        .drop("__place", "__rank")
+        .select(*df.columns, out)
     )

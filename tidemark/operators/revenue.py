@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import money, month_start
+from tidemark.functions import less_money, money, month_start
 
 FACT_COLUMNS = (
     "order_id",
@@ -48,7 +48,7 @@ def net_orders(orders: DataFrame, refunds: DataFrame) -> DataFrame:
     return (
         joined.withColumn("order_date", F.to_date("order_timestamp"))
         .withColumn("total_refund_amount", refunded)
-        .withColumn("net_revenue", money(F.greatest(F.col("order_amount") - refunded, money(F.lit(0)))))
+        .withColumn("net_revenue", F.greatest(less_money(F.col("order_amount"), refunded), money(F.lit(0))))
         .drop("total_refunded_amount")
     )
 
@@ -160,8 +160,8 @@ def segment_change(
         return money(F.coalesce(F.sum(F.when(inside, money(metric))), F.lit(0)))
 
     sums = [total(period_a).alias("value_a"), total(period_b).alias("value_b")]
-    overall = df.agg(*sums).select((F.col("value_b") - F.col("value_a")).alias("change")).scalar()
-    change = F.col("value_b") - F.col("value_a")
+    change = less_money(F.col("value_b"), F.col("value_a"))
+    overall = df.agg(*sums).select(change.alias("change")).scalar()
     return (
         df.groupBy(F.col(segment).alias("segment"))
         .agg(*sums)
@@ -169,7 +169,7 @@ def segment_change(
             "segment",
             "value_a",
             "value_b",
-            money(change).alias("change"),
+            change.alias("change"),
             F.round(F.try_divide(change.cast("double"), overall.cast("double")), 4).alias("share_of_change"),
         )
     )
