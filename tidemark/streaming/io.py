@@ -132,9 +132,16 @@ def write_topic(messages: DataFrame, path: str) -> None:
     messages.repartition("key").write.mode("append").parquet(path)
 
 
+# Topics, and how a broker has to confirm, repeat and bundle messages.
+ORDER_TOPIC = "order-placed"
+PAYMENT_TOPIC = "payment-processed"
+BROKER_OPTIONS = {"kafka.acks": "all", "kafka.retries": "3", "kafka.linger.ms": "10"}
+
+
 def publish(
     messages: DataFrame, checkpoint: str, fmt: str = "kafka", options: Mapping[str, str] | None = None
 ) -> StreamingQuery:
     """Publish a stream of keyed messages to a broker topic, or to files by `fmt="parquet"`."""
-    writer = messages.writeStream.format(fmt).option("checkpointLocation", checkpoint).options(**dict(options or {}))
+    settings = {**(BROKER_OPTIONS if fmt == "kafka" else {}), **dict(options or {})}
+    writer = messages.writeStream.format(fmt).option("checkpointLocation", checkpoint).options(**settings)
     return writer.trigger(availableNow=True).start()
