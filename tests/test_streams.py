@@ -40,6 +40,13 @@ def test_running_metrics_over_batches(spark, topic, rows):
         assert rows(got) == rows(op(batch(spark)))
 
 
+def test_changed_keys_only(spark, topic, rows):
+    root = fresh_dir(spark, "stream")
+    got = io.run_update(order_events.running_seller_revenue(stream(spark, topic)), root, ["seller_id"])
+    assert rows(got) == rows(order_events.running_seller_revenue(batch(spark)))
+    assert spark.read.parquet(f"{root}/out").select("batch_id").distinct().count() > 1
+
+
 @pytest.mark.parametrize("key", [None, "city"])
 def test_last_n_over_batches(spark, topic, rows, key):
     got = operators.run_last_n(stream(spark, topic), fresh_dir(spark, "stream"), 10, key)
@@ -103,6 +110,16 @@ def test_sessions_split_like_the_batch(spark, rows):
     assert got.where("user_id = 'u'").count() == 3
 
 
+def test_closed_sessions_are_put_out_once(spark, rows):
+    live, stored = written_events(
+        spark, [("u", "x", f"2024-01-01 {h:02}:00") for h in range(6)] + [("v", "x", "2024-01-01 00:10")]
+    )
+    closed = io.run_append(operators.stream_sessions(live, watermark="1 minute"), fresh_dir(spark, "stream"))
+    expected = rows(sessions.user_sessions(stored).select(closed.columns))
+    last = dt.datetime(2024, 1, 1, 5)
+    assert rows(closed) == [r for r in expected if r[1] != last]
+
+
 @pytest.mark.parametrize("salts", [1, 4])
 def test_stream_dedup(spark, salts):
     live, stored = written_events(spark, [("u", "x", "2024-01-01 10:00"), ("u", "x", "2024-01-01 10:05")])

@@ -38,13 +38,13 @@ AS_OF = "2024-02-01 00:00:00"
 STEPS = ("view", "click", "signup", "purchase")
 
 
-def query(fn_: Query) -> Query:
+def query(body: Query) -> Query:
     """Register under the function's name; the session gets this package's settings first."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn_(tune(spark), sf_dir)
+        return body(tune(spark), sf_dir)
 
-    QUERIES[fn_.__name__] = run
+    QUERIES[body.__name__] = run
     return run
 
 
@@ -790,15 +790,13 @@ def _topic(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     return stream_io.stream_source(spark, path=path, options={"maxFilesPerTrigger": "4"})
 
 
-def _event_stream(spark: SparkSession, sf_dir: str, root: str) -> tuple[DataFrame, str]:
+def _valid_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Valid order events of a fresh topic, and the folder of this run."""
+    root = fresh_dir(spark, "stream")
     events = order_events.parse_order_events(_topic(spark, sf_dir, root))
     return order_events.split_valid_invalid(events)[0], root
 
 
-def _valid_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
-    return _event_stream(spark, sf_dir, fresh_dir(spark, "stream"))
-
-
 def _activity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream, with its repeated deliveries."""
     events = stream_io.table_stream(spark, sf_dir, "events")
@@ -864,7 +862,7 @@ def stream_city_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_seller_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, root = _valid_stream(spark, sf_dir)
-    return stream_io.run_complete(order_events.running_seller_revenue(valid), root)
+    return stream_io.run_update(order_events.running_seller_revenue(valid), root, ["seller_id"])
 
 
 @query

@@ -162,7 +162,8 @@ class Warehouse:
             "mart_user_retention": "cohort_month",
             "mart_ab_test_results": "experiment_start_date",
         }
-        found = {name: ((models or {}).get(name, None) or getattr(self, name), c) for name, c in dates.items()}
+        stored = models or {}
+        found = {name: (stored[name] if name in stored else getattr(self, name), c) for name, c in dates.items()}
         return quality.pipeline_monitoring(found, self.as_of)
 
     @contextmanager

@@ -7,13 +7,14 @@ leaves neither gaps nor duplicates.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.cleaning import dedup_latest
 from tidemark.sources.readers import read_parquet_prefix
 from tidemark.sources.schemas import KEYED_MESSAGE
 
@@ -127,6 +128,18 @@ def run_complete(stream: DataFrame, root: str) -> DataFrame:
     return read_version(stream.sparkSession, out, stream.schema)
 
 
+def run_update(stream: DataFrame, root: str, keys: Sequence[str]) -> DataFrame:
+    """Run an aggregation and return its result, storing per batch only the keys that changed.
+
+    For many keys: `run_complete` would write all of them with every batch.
+    """
+    out = f"{root}/out"
+    bounded_run(stream, append_batches(out), f"{root}/checkpoint", "update")
+    full = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
+    changes = read_parquet_prefix(stream.sparkSession, out, "", full)
+    return dedup_latest(changes, keys, "batch_id").select(*stream.columns)
+
+
 def write_topic(messages: DataFrame, path: str) -> None:
     """Publish keyed messages: equal keys go to the same partition file."""
     messages.repartition("key").write.mode("append").parquet(path)
