@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import cleaning, order_events, reports
+from tidemark.operators import cleaning, order_events, reports, revenue
 from tidemark.plans.registry import QUERIES
 from tidemark.sources import readers, schemas, star_schema
 
@@ -62,14 +62,14 @@ def _compare_shuffles(spark):
 
 
 def with_conf(spark, conf, body):
-    before = {k: spark.conf.get(k) for k in conf}
+    before = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
         return body()
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_broadcast_only_below_the_limit(spark):
@@ -98,3 +98,31 @@ def test_user_history_is_compact_before_it_is_windowed(spark):
         text = plan(QUERIES[name](spark, SF))
         window = text.index("Window [la" if "Window [lag" in text else "Window [lead")
         assert "HashAggregate(keys=[user_id" in text[window:]
+
+
+def test_hot_user_is_split_in_the_join_even_before_an_aggregate(spark):
+    def check():
+        key = F.col("o_orderkey")
+        orders = star_schema.table(spark, "/root/testdata/sf0.1", "orders").select(
+            key.cast("string").alias("order_id"),
+            F.when(F.pmod(F.xxhash64(key), F.lit(3)) == 0, "0").otherwise(F.col("o_custkey").cast("string")).alias("user_id"),
+            F.col("o_orderdate").alias("order_timestamp"),
+            F.col("o_totalprice").alias("order_amount"),
+            F.lit("USD").alias("currency"),
+        )
+        # Several map tasks, as any large table has: Spark splits a hot partition along their outputs.
+        orders = orders.repartition(16, "order_id")
+        users = star_schema.users_raw(spark, "/root/testdata/sf0.1").dropDuplicates(["user_id"])
+        spent = revenue.orders_enriched(orders, users).groupBy("user_id", "country").agg(F.sum("order_amount"))
+        spent.collect()
+        return plan(spent)
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    assert "skew=true" in with_conf(spark, conf, check)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import normal_quantile, safe_divide, two_sided_p
+from tidemark.operators.joins import join_uneven
 
 CELL = ("experiment_id", "experiment_name", "experiment_group")
 START = "experiment_start_date"
@@ -20,9 +21,9 @@ def ab_user_level(assignments: DataFrame, converters: DataFrame, pre: DataFrame)
     """
     converted = converters.select("user_id").distinct().withColumn("hit", F.lit(1))
     rates = pre.select("user_id", "pre_experiment_conversion_rate")
+    with_conversion = join_uneven(assignments, converted, "user_id")
     return (
-        assignments.join(converted, "user_id", "left")
-        .join(rates, "user_id", "left")
+        join_uneven(with_conversion, rates, "user_id")
         .select(
             "experiment_id",
             "experiment_name",

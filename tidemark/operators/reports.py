@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import mean_of, money, sum_money
+from tidemark.operators.joins import join_uneven
 from tidemark.operators.ordered import with_running
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
@@ -18,23 +19,19 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_small(
-    df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES, limit_rows: int = BROADCAST_LIMIT_ROWS
-) -> DataFrame:
-    """Ask for a broadcast only of data proven small; otherwise Spark shuffles both sides.
+def is_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES, limit_rows: int = BROADCAST_LIMIT_ROWS) -> bool:
+    """Whether data is proven small enough to broadcast.
 
     The estimate comes from file sizes and costs nothing. Only where it is low are rows counted, and
     never more than just above the limit.
     """
-    if planned_bytes(df) > limit_bytes or df.limit(limit_rows + 1).count() > limit_rows:
-        return df
-    return F.broadcast(df)
+    return planned_bytes(df) <= limit_bytes and df.limit(limit_rows + 1).count() <= limit_rows
 
 
 def plain_enrich(orders: DataFrame, users: DataFrame, on: str = "user_id") -> DataFrame:
     """Orders with country and channel of their user."""
     side = users.select(on, "country", "acquisition_channel")
-    return orders.join(side, on, "left").select(*_ENRICHED)
+    return join_uneven(orders, side, on).select(*_ENRICHED)
 
 
 def broadcast_enrich(
@@ -44,9 +41,11 @@ def broadcast_enrich(
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
     limit_rows: int = BROADCAST_LIMIT_ROWS,
 ) -> DataFrame:
-    """Same rows as `plain_enrich`; the users are broadcast while they are small enough."""
+    """Same rows as `plain_enrich`; the users are broadcast if they are small, else both sides shuffled."""
     side = users.select(on, "country", "acquisition_channel")
-    return orders.join(broadcast_if_small(side, limit_bytes, limit_rows), on, "left").select(*_ENRICHED)
+    if not is_small(side, limit_bytes, limit_rows):
+        return plain_enrich(orders, users, on)
+    return orders.join(F.broadcast(side), on, "left").select(*_ENRICHED)
 
 
 def revenue_by_currency(orders: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import less_money, money, month_start
+from tidemark.operators.joins import join_uneven
 
 FACT_COLUMNS = (
     "order_id",
@@ -25,7 +26,7 @@ def orders_enriched(orders: DataFrame, users: DataFrame) -> DataFrame:
     """Every order with the attributes of its user, if the user is known."""
     left = orders.select("order_id", "user_id", "order_timestamp", "order_amount", "currency")
     right = users.select("user_id", "signup_timestamp", "country", "acquisition_channel")
-    return left.join(right, "user_id", "left").select(
+    return join_uneven(left, right, "user_id").select(
         *left.columns, "signup_timestamp", "country", "acquisition_channel"
     )
 
@@ -65,7 +66,7 @@ def fct_revenue_from_staging(orders: DataFrame, users: DataFrame, refunds: DataF
     less than enriching first.
     """
     attributes = users.select("user_id", "country", "acquisition_channel")
-    return net_orders(orders, refunds).join(attributes, "user_id", "left").select(*FACT_COLUMNS)
+    return join_uneven(net_orders(orders, refunds), attributes, "user_id").select(*FACT_COLUMNS)
 
 
 def monthly_revenue(fct: DataFrame) -> DataFrame:

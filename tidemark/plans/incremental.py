@@ -87,8 +87,7 @@ def incremental_revenue(
     if not periods:
         return 0
     affected = orders.where(_period(F.to_date("order_timestamp"), grain).isin(*periods))
-    touched = refunds.join(affected.select("order_id"), "order_id", "left_semi")
-    fct = fct_revenue_from_staging(affected, users, order_refunds(touched))
+    fct = fct_revenue_from_staging(affected, users, order_refunds(refunds))
     filled = affected.select(_period(F.to_date("order_timestamp"), grain).alias("period")).distinct()
     emptied = periods - {row.period for row in filled.toLocalIterator()}
     write_fact(fct, path, grain, partitionOverwriteMode="dynamic")
