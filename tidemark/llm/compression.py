@@ -36,12 +36,12 @@ def _compressors(good: bytes, bad: bytes) -> list[zstandard.ZstdCompressor]:
     dicts = [zstandard.ZstdCompressionDict(d) for d in (good, bad)]
     for d in dicts:
         d.precompute_compress(level=LEVEL)
-    return [zstandard.ZstdCompressor(level=LEVEL, dict_data=d, **small) for d in dicts]
+    return [zstandard.ZstdCompressor(level=LEVEL, dict_data=d, **small) for d in dicts] + [zstandard.ZstdCompressor(level=LEVEL, **small)]
 
 
 def sizes(texts: pd.Series, compressors: list[zstandard.ZstdCompressor]) -> np.ndarray:
-    """Per text: bytes, compressed bytes with the good and with the bad dictionary, over all of its pieces."""
-    out = np.zeros((len(texts), 3))
+    """Per text: bytes, compressed bytes with the good, the bad and no dictionary, over all of its pieces."""
+    out = np.zeros((len(texts), 4))
     for i, text in enumerate(texts):
         for piece in pieces(text):
             out[i] += (len(piece), *(len(c.compress(piece)) for c in compressors))
@@ -49,10 +49,12 @@ def sizes(texts: pd.Series, compressors: list[zstandard.ZstdCompressor]) -> np.n
 
 
 def features(s: np.ndarray) -> np.ndarray:
-    """Constant, normalised size difference, compressed share of the bytes, and their squares and product."""
-    diff = (s[:, 2] - s[:, 1]) / np.maximum(s[:, 1] + s[:, 2], 1)
-    share = s[:, 1] / np.maximum(s[:, 0], 1)
-    return np.column_stack([np.ones(len(s)), 10 * diff, share, 10 * diff * share, 100 * diff**2, share**2])
+    """Normalised size difference, bytes left without and with a dictionary as shares, length; squares and products."""
+    diff = 10 * (s[:, 2] - s[:, 1]) / np.maximum(s[:, 1] + s[:, 2], 1)
+    alone, best = s[:, 3] / np.maximum(s[:, 0], 1), np.minimum(s[:, 1], s[:, 2]) / np.maximum(s[:, 0], 1)
+    short = 100 / (s[:, 0] + 100)
+    base = [diff, alone, best, short]
+    return np.column_stack([np.ones(len(s)), *base, *(a * b for i, a in enumerate(base) for b in base[i:])])
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
@@ -103,10 +105,10 @@ def fit(
         dicts.append(_dictionary(found))
     good, bad = dicts
     measured = _measured(known.filter(~half).select(F.col("_label").cast("double").alias("_label"), "_text"), good, bad)
-    rows = np.array([tuple(r) for r in measured.orderBy("_label", "plain", "good", "bad").collect()], dtype=float).reshape(-1, 4)
+    rows = np.array([tuple(r) for r in measured.orderBy(*measured.columns).collect()], dtype=float).reshape(-1, 5)
     if len({*rows[:, 0]}) < 2:  # one class or none: only its share can be learnt
         share = (rows[:, 0].sum() + 1) / (len(rows) + 2)
-        return Model(good, bad, (float(np.log(share / (1 - share))), 0.0, 0.0, 0.0, 0.0, 0.0))
+        return Model(good, bad, (float(np.log(share / (1 - share))), *[0.0] * (features(np.zeros((1, 4))).shape[1] - 1)))
     return Model(good, bad, tuple(logistic(features(rows[:, 1:]), rows[:, 0]).tolist()))
 
 
@@ -123,9 +125,9 @@ def _measured(rows: DataFrame, good: bytes, bad: bytes) -> DataFrame:
         compressors = _compressors(good, bad)
         for b in batches:
             s = sizes(b["_text"], compressors)
-            yield pd.DataFrame({"_label": b["_label"], "plain": s[:, 0], "good": s[:, 1], "bad": s[:, 2]})
+            yield pd.DataFrame({"_label": b["_label"], "bytes": s[:, 0], "good": s[:, 1], "bad": s[:, 2], "alone": s[:, 3]})
 
-    return rows.mapInPandas(run, "_label double, plain double, good double, bad double")
+    return rows.mapInPandas(run, "_label double, bytes double, good double, bad double, alone double")
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
