@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
@@ -19,6 +21,11 @@ from tidemark.llm.common import store, text_of
 CONTEXT = 2048
 END = 0
 CACHE_WORDS = 600_000
+#: How byte-level vocabularies write bytes: printable ones as they are, the others from U+0100 on in order.
+PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
+#: Latin letters have one lower-case form and nothing to compose.
+BEYOND_LATIN = re.compile("[^\x00-\u024f]|\u0130")
 SHARES = (1.0, 0.8, 0.6, 0.4, 0.2)
 RUN_ROWS = 100_000
 PIECES = "key long, piece int, start long, length long, ids_crc32 long"
@@ -36,12 +43,19 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
 
     def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if text.isalpha() and text.islower() and not BEYOND_LATIN.search(text):
+            # One pre-token that the normaliser leaves as it is: only the merges are left to do.
+            data = text.encode().decode("latin-1").translate(BYTE_LETTERS)
+            return array("I", [t.id for t in self.tokenizer.model.tokenize(data)]).tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: str) -> bytes:
+        # Letters and a following comma or full stop are split in any case.
+        if word[-1] in ".," and word[:-1].isalpha():
+            return self[word[:-1]] + self[word[-1]]
+        ids = self.encode(word)
         if len(self) >= CACHE_WORDS:
             self.clear()
-        ids = self.encode(word)
         if len(word) <= 64:
             self[word] = ids
         return ids
@@ -50,6 +64,8 @@ class WordIds(dict):
         # str.split also splits at the separators 1C to 1F, which are no white space to the vocabulary.
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self.encode(text)
+        if not BEYOND_LATIN.search(text):
+            text = text.lower()
         return b"".join(map(self.__getitem__, text.split()))
 
 
