@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import compression, host_rules, mixing, packing
+from tidemark.llm import compression, host_rules, jaccard, mixing, packing, passages
 from tidemark.llm.common import store, table
 
 TOKENIZER = os.environ.get("PACKING_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
@@ -25,6 +25,11 @@ def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumnRenamed("key", "doc_id")
 
 
+def op4_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return passages.remove_repeats(docs)
+
+
 def op5_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").filter(crc_mod(4) != 2)
@@ -39,6 +44,11 @@ def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *host_rules.MEASURES, "base_failed", "kept")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.near_duplicates(docs).withColumnRenamed("key", "doc_id")
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mixed = mixing.mix(docs)
@@ -48,7 +58,9 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pattern_packing": op3_pattern_packing,
+    "op4_passage_dedup": op4_passage_dedup,
     "op5_compression_classifier": op5_compression_classifier,
     "op6_host_rules": op6_host_rules,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_mix_sources": op9_mix_sources,
 }
