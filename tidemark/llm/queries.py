@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import compression, host_rules, jaccard, mixing, packing, passages
+from tidemark.llm import compression, host_rules, jaccard, mixing, multiprobe, packing, passages
 from tidemark.llm.common import store, table
 
 TOKENIZER = os.environ.get("PACKING_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +20,11 @@ def crc_mod(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op2_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return multiprobe.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
 def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
     return packed.withColumnRenamed("key", "doc_id")
@@ -57,6 +62,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_multiprobe_neighbours": op2_multiprobe_neighbours,
     "op3_pattern_packing": op3_pattern_packing,
     "op4_passage_dedup": op4_passage_dedup,
     "op5_compression_classifier": op5_compression_classifier,
