@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_of, unused
+from tidemark.llm.common import store, text_of, unused
 
 MIN_WORDS = 8
 #: A sentence: up to a full stop, exclamation or question mark before white space, or to the end of the line.
@@ -78,6 +78,8 @@ def removed_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", min_
     place = F.struct(F.col("key").isNull().alias("late"), "key", "version", "unit")
     firsts = found.groupBy("digest", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     firsts = firsts.filter(F.col("first") != F.col("last")).select(F.col("digest").alias("_d"), F.col("check").alias("_c"), "first")
+    # Stored, so that both sides of the join are read by a shuffle of their own and Spark can split a hot digest.
+    firsts = store(firsts, "repeated")
     again = found.join(firsts, (F.col("digest") == F.col("_d")) & (F.col("check") == F.col("_c")))
     again = again.filter(~F.col("first").eqNullSafe(place))
     spans = F.sort_array(F.collect_list(F.struct("start", "stop")))
