@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import compression, host_rules, jaccard, mixing, multiprobe, packing, passages
+from tidemark.llm import compression, host_rules, jaccard, mixing, multiprobe, packing, passages, repeats
 from tidemark.llm.common import store, table
 
 TOKENIZER = os.environ.get("PACKING_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
@@ -61,6 +61,14 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken, "copies")
 
 
+def op10_maximal_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = repeats.remove_repeated_bytes(docs)
+    gone = (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed")
+    runs = F.size("removed").cast("long").alias("n_spans")
+    return cut.select("doc_id", "n_bytes", gone, runs, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_multiprobe_neighbours": op2_multiprobe_neighbours,
     "op3_pattern_packing": op3_pattern_packing,
@@ -69,4 +77,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_host_rules": op6_host_rules,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_mix_sources": op9_mix_sources,
+    "op10_maximal_repeats": op10_maximal_repeats,
 }
