@@ -169,7 +169,8 @@ def search(
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(query_blocks)).cast("int").alias("block")
     held = indexed.join(cells, ["tab", "cell"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
     held = held.select("tab", shard, F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("block"), "cell", "vec_id", "vector")
-    visits = distinct.mapInPandas(probe, "query long, tab int, cell long").join(cells, ["tab", "cell"])
+    spread = distinct.repartition(n_queries // 100 + 1, "query")  # rows are few, but each is much work
+    visits = spread.mapInPandas(probe, "query long, tab int, cell long").join(cells, ["tab", "cell"])
     visits = visits.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     visits = visits.select("query", "tab", shard, "cell").groupBy("query", "tab", "shard").agg(F.collect_set("cell").alias("cells"))
     visits = visits.join(distinct, "query").select("tab", "shard", block("query"), "query", "cells", F.col("vector").alias("asked"))
