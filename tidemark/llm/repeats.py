@@ -17,6 +17,13 @@ LENGTH = 400
 GRAM = 64
 BASE = 0x9E3779B97F4A7C15 | 1
 ANCHORS = "tid binary, at int, lo int, hi int, key long, whole long"
+CONTEXT = "key long, tid binary, at int, single boolean, before binary, after binary"
+#: Texts handled at a time by a Python worker.
+TEXTS = 1000
+#: Surroundings of one key that one task compares; beyond it the key is split by longer keys.
+CROWD = 20_000
+#: Starts of strings, before an anchor, that share a key when a crowded key is split, and then split again.
+WIDTHS = (40, 8, 1)
 SPAN = "array<struct<start:int,stop:int>>"
 
 
@@ -83,7 +90,7 @@ def anchors(texts: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams = Grams(min(GRAM, core))
-        for b in batches:
+        for b in (x.iloc[i : i + TEXTS] for x in batches for i in range(0, len(x), TEXTS)):
             out = {c: [] for c in ("at", "lo", "hi", "key", "whole")}
             tids: list[bytes] = []
             for tid, text in zip(b["tid"], b["text"]):
@@ -188,10 +195,10 @@ def _contexts(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """Cut the bytes around the wanted anchors out of the texts: (key, tid, at, single, before, after)."""
     half, core = length // 2, length - length // 2 + 1
     lists = wanted.groupBy("tid").agg(F.collect_list(F.struct("key", "at", "single")).alias("places"))
-    joined = texts.join(lists, "tid")
+    joined = texts.dropDuplicates(["tid"]).join(lists, "tid")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (x.iloc[i : i + TEXTS] for x in batches for i in range(0, len(x), TEXTS)):
             rows = []
             for tid, text, places in zip(b["tid"], b["text"], b["places"]):
                 data = text.encode()
@@ -201,8 +208,7 @@ def _contexts(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     rows.append((p["key"], tid, at, p["single"], before, data[at + core : at + length]))
             yield pd.DataFrame(rows, columns=["key", "tid", "at", "single", "before", "after"])
 
-    cut = joined.mapInPandas(run, "key long, tid binary, at int, single boolean, before binary, after binary")
-    return cut.dropDuplicates(["tid", "at"])  # copies of a text cut the same
+    return joined.mapInPandas(run, CONTEXT)
 
 
 def repeat_groups(contexts: DataFrame, length: int, spans: bool) -> DataFrame:
@@ -239,6 +245,73 @@ def repeat_groups(contexts: DataFrame, length: int, spans: bool) -> DataFrame:
     return ordered.mapInPandas(run, kind)
 
 
+def _split(rows: DataFrame, width: int, room: int) -> DataFrame:
+    """Each row once per range of string starts: `key` and `whole` hash what all, and any, of its strings cover.
+
+    A string that starts x bytes before the anchor has x bytes before and room - x after the anchor's core, so
+    ranges are the same for all rows, and rows with equal strings meet under an equal key. Ranges divide the
+    range that the row had. x_lo and x_hi bound the strings that the text has room for.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for r in b.itertuples(index=False):
+                for lo in range(r.lo, r.hi + 1, width):
+                    hi = min(lo + width - 1, r.hi)
+                    x_lo, x_hi = max(lo, room - len(r.after)), min(hi, len(r.before))
+                    if x_lo <= x_hi:
+                        tag = b"%d %d %d %d " % (r.base, lo, hi, min(lo, len(r.before)))
+                        core = tag + r.before[:lo] + b" " + r.after[: room - hi]
+                        key = xxhash.xxh3_64_intdigest(core)
+                        whole = xxhash.xxh3_64_intdigest(b"%d %d " % (x_hi, x_lo) + r.before[:x_hi] + r.after[: room - x_lo], key)
+                        ids = [v - 2**64 if v >= 2**63 else v for v in (key, whole)]
+                        out.append((*ids, r.base, r.tid, r.at, r.single, r.before, r.after, lo, hi, x_lo, x_hi))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in kind.split(", ")])
+
+    kind = f"key long, whole long, base long, {CONTEXT.removeprefix('key long, ')}, lo int, hi int, x_lo int, x_hi int"
+    return rows.mapInPandas(run, kind)
+
+
+def _uncrowded(contexts: DataFrame, length: int, crowd: int) -> tuple[DataFrame, DataFrame | None]:
+    """Contexts whose keys have at most `crowd` rows, and spans settled on the way there.
+
+    Crowded keys are split by ranges of string starts, each with a longer key: rows alone under theirs have no
+    twin, rows that agree over all of theirs are settled by count, and what is still crowded is split again,
+    down to one start per key, where counts settle everything. Nothing is dropped that could be a repeat.
+    """
+    room = length - (length - length // 2 + 1)
+
+    def parted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        many = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > crowd).select("key")
+        many = store(many, "crowded")
+        return rows.join(many, "key", "left_anti"), rows.join(many, "key", "left_semi")
+
+    calm, hot = parted(contexts)
+    ready, settled = [calm], None
+    hot = hot.withColumns({"base": F.col("key"), "lo": F.lit(0), "hi": F.lit(room)})
+    for width in WIDTHS:
+        if hot.isEmpty():
+            break
+        pieces = store(_split(hot, width, room), "split")
+        place = F.struct("tid", "at")
+        found = pieces.groupBy("key", "whole").agg((F.min(place) != F.max(place)).alias("twins"), F.min(place).alias("one"))
+        found = store(found, "split-wholes")
+        lone = found.groupBy("key").agg(F.count(F.lit(1)).alias("wholes"))
+        spans = pieces.join(found.filter("twins").select("key", "whole"), ["key", "whole"]).filter("single")
+        spans = spans.select("tid", (F.col("at") - F.col("x_hi")).alias("start"), (F.col("at") - F.col("x_lo") + length).alias("stop"))
+        settled = spans if settled is None else settled.unionByName(spans)
+        standing = pieces.join(found.withColumnRenamed("twins", "_twins"), ["key", "whole"]).filter(place == F.col("one"))
+        standing = standing.withColumn("single", F.col("single") & ~F.col("_twins")).join(lone.filter("wholes > 1").select("key"), "key")
+        standing = store(standing.drop("_twins", "one", "whole", "x_lo", "x_hi"), "split-rest")
+        calm, hot = parted(standing)
+        ready.append(calm.select(*contexts.columns))
+    out = ready[0]
+    for more in ready[1:]:
+        out = out.unionByName(more)
+    return out, settled
+
+
 def _candidates(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """(tid, start, stop) that are repeated as a whole, and the anchors whose surroundings must be compared.
 
@@ -273,7 +346,7 @@ def maximal_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -
     return repeat_groups(_contexts(texts, wanted, length), length, spans=False)
 
 
-def remove_repeated_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, text: str = "text", length: int = LENGTH, crowd: int = CROWD) -> DataFrame:
     """All rows and columns of `docs` with `n_bytes`, `removed` (spans in bytes, ascending, disjoint) and `kept`.
 
     Removed is every byte covered by a string of `length` bytes of this or another row that also starts
@@ -281,13 +354,15 @@ def remove_repeated_bytes(docs: DataFrame, text: str = "text", length: int = LEN
     text go whole if they have `length` bytes. A NULL text is empty; shorter texts keep everything. Columns of
     `docs` named like the added ones are replaced.
 
-    The suffixes of one anchor (a gram of 64 bytes with what follows) with different surroundings are scanned
-    in one task; equal surroundings, however many, count once.
+    Suffixes with one key (what follows the anchor) and different surroundings are scanned in one task, up to
+    `crowd` of them; equal surroundings, however many, count once, and a key with more is split exactly.
     """
     docs = docs.drop(*(c for c in ("n_bytes", "removed", "kept", "_tid") if c != text))
     texts = _texts(docs, text, length)
     settled, wanted = _candidates(texts, length)
-    partial = repeat_groups(_contexts(texts, wanted, length), length, spans=True)
+    contexts, split = _uncrowded(store(_contexts(texts, wanted, length), "contexts"), length, crowd)
+    partial = repeat_groups(contexts, length, spans=True)
+    partial = partial if split is None else partial.unionByName(split)
     spans = settled.unionByName(partial).groupBy("tid").agg(F.collect_set(F.struct("start", "stop")).alias("_spans"))
     copies = texts.groupBy("tid").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     known = spans.join(copies, "tid", "full").withColumnRenamed("tid", "_t")
