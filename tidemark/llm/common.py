@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import fresh_dir
 
-log = logging.getLogger(__name__)
-
 #: A word is a run of characters other than space and the ASCII controls tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
@@ -20,12 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_path(spark: SparkSession, purpose: str) -> str:
+    """A new path below the shared folder."""
+    return fresh_dir(spark, purpose)
+
+
 def store(df: DataFrame, purpose: str) -> DataFrame:
     """Write `df` below the shared folder and read it back: lineage ends there, and lost executors lose nothing."""
-    spark = df.sparkSession
-    path = fresh_dir(spark, purpose)
+    path = table_path(df.sparkSession, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def let(value: Column, body) -> Column:

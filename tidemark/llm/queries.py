@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import compression, host_rules, jaccard, mixing, multiprobe, packing, passages, repeats
+from tidemark.llm import compression, host_rules, jaccard, katz, mixing, multiprobe, packing, passages, repeats
 from tidemark.llm.common import store, table
 
 TOKENIZER = os.environ.get("PACKING_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +20,11 @@ def crc_mod(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op1_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return katz.score(docs, crc_mod(7) != 2).withColumnRenamed("key", "doc_id")
+
+
 def op2_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return multiprobe.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
@@ -70,6 +75,7 @@ def op10_maximal_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_katz_backoff": op1_katz_backoff,
     "op2_multiprobe_neighbours": op2_multiprobe_neighbours,
     "op3_pattern_packing": op3_pattern_packing,
     "op4_passage_dedup": op4_passage_dedup,
