@@ -25,8 +25,8 @@ from tidemark.llm.common import store, table_path, text_of
 
 K = 5
 END = np.uint64(0x5E9D0FE0D5E9D0FE)
-CHUNK_TOKENS = 4_000_000
-BLOCK_TOKENS = 5_000_000
+CHUNK_TOKENS = 5_000_000
+BLOCK_TOKENS = 3_000_000
 SAMPLE = 1000
 HOT_SHARE = 0.004
 CACHE_WORDS = 500_000
@@ -176,8 +176,7 @@ def _stats_of(hot: dict[int, int]):
     def frame(kind: int, key=0, other=0, x=0.0, y=0.0, **counts) -> pd.DataFrame:
         out = pd.DataFrame({"key": key, "other": other, "x": x, "y": y, **counts}, index=None if np.ndim(key) else [0])
         for c in COUNTS:
-            if c not in out:
-                out[c] = 0
+            out[c] = np.asarray(out[c], dtype=np.int32) if c in out else np.int32(0)
         return out.assign(kind=kind)[["kind", "key", "other", "x", "y", *COUNTS]]
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
@@ -194,10 +193,11 @@ def _stats_of(hot: dict[int, int]):
                 some = np.unpackbits(np.frombuffer(r.known, dtype=np.uint8), count=len(ids))
                 out.append(frame(ROWS, (r.chunk << 24) + np.arange(len(ids)), ids, n0=1 - train.astype(int), n1=_wide(r.sizes), n2=1 - some.astype(int)))
             used = np.unpackbits(np.frombuffer(r.train, dtype=np.uint8)).astype(bool)[d] if n else np.zeros(0, dtype=bool)
-            parts.append((w2, w1, d + first, used))
+            parts.append((w2, w1, (d + first).astype(np.int32), used))
             rows.append((r.chunk << 24) + np.arange(docs))
             first += docs
         w2, w1, d, used = (np.concatenate(x) for x in zip(*parts))
+        del parts
         if not len(w2):
             return pd.concat(out)
         row_keys = np.concatenate(rows)
