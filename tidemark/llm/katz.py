@@ -26,7 +26,7 @@ from tidemark.llm.common import store, table_path, text_of
 K = 5
 END = np.uint64(0x5E9D0FE0D5E9D0FE)
 CHUNK_TOKENS = 5_000_000
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 2_000_000
 SAMPLE = 1000
 HOT_SHARE = 0.004
 CACHE_WORDS = 500_000
@@ -144,14 +144,16 @@ def _chunk(held: list[tuple], chunk: int, hot: np.ndarray, blocks: int) -> Itera
     w1 = np.empty_like(w2)
     w1[1:] = w2[:-1]  # a text begins after the end of the one before, and the first after an end as well
     w1[0] = END
-    doc = np.repeat(np.arange(len(held)), sizes)
+    doc = np.repeat(np.arange(len(held), dtype=np.int32), sizes)
     at = spread(w2 + np.uint64(1))
     if len(hot):
         common = hot[np.minimum(np.searchsorted(hot, w2), len(hot) - 1)] == w2
         at = np.where(common, spread(at ^ w1), at)
-    block = (at % np.uint64(blocks)).astype(np.int64)
+    block = (at % np.uint64(blocks)).astype(np.int32)
+    del at
     order = np.lexsort((w2, block))
     w2, w1, doc, block = w2[order], w1[order], doc[order], block[order]
+    del order
     bounds = np.searchsorted(block, np.arange(blocks + 1))
     train = np.packbits(np.array([bool(u) for _, _, u in held])).tobytes()
     empty = pd.isna(pd.Series([k for _, k, _ in held], dtype=object)).to_numpy()
