@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import store, text_of
+from tidemark.llm.common import store, text_of, unused
 from tidemark.llm.components import components
 
 WORDS = 5
@@ -95,7 +95,10 @@ def _digest(s: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, bands: Bands, text: str = "text", key: str = "doc_id", n: int = WORDS) -> DataFrame:
-    """(key, set_id, size, bands) per row: `set_id` names the n-gram set, NULL for a text without words."""
+    """(key, version, set_id, size, bands) per row: `set_id` names the n-gram set, NULL for a text without words.
+
+    `version` is a hash of the text.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
@@ -106,10 +109,10 @@ def signatures(docs: DataFrame, bands: Bands, text: str = "text", key: str = "do
                 ids.append(_digest(s) if len(s) else None)
                 sizes.append(len(s))
                 keys.append(band_keys(s, bands) if len(s) else None)
-            yield pd.DataFrame({"key": b["key"].astype("Int64"), "set_id": ids, "size": sizes, "bands": keys})
+            yield pd.DataFrame({"key": b["key"].astype("Int64"), "version": b["version"], "set_id": ids, "size": sizes, "bands": keys})
 
-    picked = docs.select(F.col(key).cast("long").alias("key"), text_of(text).alias("text"))
-    return picked.mapInPandas(run, "key long, set_id binary, size long, bands array<long>")
+    picked = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text_of(text)).alias("version"), text_of(text).alias("text"))
+    return picked.mapInPandas(run, "key long, version long, set_id binary, size long, bands array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, text: str, key: str, n: int) -> DataFrame:
@@ -219,8 +222,9 @@ def _verified(similarity: float):
 def near_duplicates(
     docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL
 ) -> DataFrame:
-    """One row per row of `docs`: (key, class_id, n_texts, n_links).
+    """One row per row of `docs`: (key, version, root, class_id, n_texts, n_links).
 
+    `root` names the class and is NULL for a text without words, `version` is a hash of the text.
     `class_id` is the smallest key among the documents that links connect; `n_texts` counts the other n-gram
     sets with a Jaccard similarity of at least `similarity`, `n_links` the other documents, copies included.
     Equal sets are one class from the start, so copies never meet as pairs. Every pair of different sets that
@@ -265,13 +269,32 @@ def near_duplicates(
     classed = sets.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     least = classed.groupBy("root").agg(F.min("key").alias("class_id"))
     described = classed.join(least, "root").join(links, "set_id", "left").select(
-        "set_id", "class_id", F.coalesce("texts", F.lit(0)).alias("n_texts"),
+        "set_id", "root", "class_id", F.coalesce("texts", F.lit(0)).alias("n_texts"),
         (F.coalesce("documents", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
-    rows = signed.select("key", "set_id").join(described, "set_id", "left")
+    rows = signed.select("key", "version", "set_id").join(described, "set_id", "left")
     return rows.select(
         "key",
+        "version",
+        "root",
         F.when(F.col("set_id").isNull(), F.col("key")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_texts", F.lit(0)).cast("long").alias("n_texts"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def survivors(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+    """All columns of one row of each near-duplicate class: the smallest key, NULL last, then the smallest text hash.
+
+    Texts without words are no class: all of them stay, but rows with equal key and text are one.
+    """
+    classed = near_duplicates(docs, text, key, **options)
+    order = F.struct(F.col("key").isNull().alias("late"), "key", "version")
+    best = classed.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min(order).alias("best")).select("best.key", "best.version")
+    blank = classed.filter(F.col("root").isNull()).select("key", "version").distinct()
+    kept = store(best.unionByName(blank).distinct().select(F.col("key").alias("_k"), F.col("version").alias("_v")), "kept")
+    (mine,) = unused(docs, "_version")
+    joined = docs.withColumn(mine, F.xxhash64(text_of(text))).join(
+        kept, F.col(key).cast("long").eqNullSafe(F.col("_k")) & (F.col(mine) == F.col("_v"))
+    )
+    return joined.dropDuplicates(["_k", "_v"]).select(*docs.columns)

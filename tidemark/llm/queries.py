@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import compression, host_rules, jaccard, katz, mixing, multiprobe, packing, passages, repeats
+from tidemark.llm import compression, host_rules, jaccard, katz, licenses, mixing, multiprobe, packing, passages, repeats
 from tidemark.llm.common import store, table
 
 TOKENIZER = os.environ.get("PACKING_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
@@ -54,9 +54,15 @@ def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *host_rules.MEASURES, "base_failed", "kept")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).withColumnRenamed("key", "doc_id")
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return jaccard.near_duplicates(docs).withColumnRenamed("key", "doc_id")
+    found = jaccard.near_duplicates(docs)
+    return found.select(F.col("key").alias("doc_id"), "class_id", "n_texts", "n_links")
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_passage_dedup": op4_passage_dedup,
     "op5_compression_classifier": op5_compression_classifier,
     "op6_host_rules": op6_host_rules,
+    "op7_license_scan": op7_license_scan,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_mix_sources": op9_mix_sources,
     "op10_maximal_repeats": op10_maximal_repeats,
