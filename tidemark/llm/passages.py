@@ -1,9 +1,10 @@
-"""Passage dedup: hashed runs of sentences, of which only the earliest occurrence stays."""
+"""Passage dedup: hashed sentences and sentence ends, of which only the earliest occurrence stays."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import pandas as pd
 import xxhash
@@ -13,33 +14,62 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import store, text_of, unused
 
 MIN_WORDS = 8
+#: Longer sentences are also cut after words that a hash picks, one in `PICK`, at this many words or more.
+LONG, PART, PICK = 24, 12, 6
 #: A sentence: up to a full stop, exclamation or question mark before white space, or to the end of the line.
 SENTENCE = re.compile(r"[^\n]*?[.!?]+(?=\s|$)|[^\n]+")
-UNITS = "key long, version long, unit int, start int, stop int, digest long, check long"
+WORD = re.compile(r"\S+")
+UNITS = "key long, version long, start int, stop int, digest long, check long"
+NO_KEY = 2**63 - 1
 
 
-def sentence_runs(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, str]]:
-    """(start, stop, normalised text) of the run that starts at each sentence and is just long enough.
+def _parts(start: int, raw: str) -> Iterator[tuple[int, str]]:
+    """A long sentence in pieces that depend on its words and not on where it starts."""
+    first, n = 0, 0
+    for m in WORD.finditer(raw):
+        n += 1
+        if n >= PART and crc32(m.group().lower().encode("utf-8", "replace")) % PICK == 0:
+            yield start + first, raw[first : m.end()]
+            first, n = m.end(), 0
+    if n:
+        yield start + first, raw[first:]
 
-    A run ends with the first sentence that brings it to `min_words`, so equal passages give equal runs
-    whatever stands before them. Normalised: lower case, single spaces.
+
+def passage_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, str]]:
+    """(start, stop, normalised text): the last `min_words` words at each sentence end, and each longer sentence.
+
+    The words before an end may reach into earlier sentences. So a passage is found from its first sentence
+    end on that has enough of its words before it, also where it starts within another sentence.
+    Normalised: lower case, single spaces.
     """
-    spans, words = [], []
+    starts: list[int] = []
+    raws: list[str] = []
+    words: list[list[str]] = []
     for m in SENTENCE.finditer(text):
         found = m.group().lower().split()
-        if found:
-            # Leading white space belongs to the gap before the sentence.
-            spans.append((m.end() - len(m.group().lstrip()), m.end()))
-            words.append(found)
-    last, have = 0, 0
-    for first in range(len(spans)):
-        while last < len(spans) and have < min_words:
-            have += len(words[last])
-            last += 1
-        if have < min_words:
-            return
-        yield spans[first][0], spans[last - 1][1], " ".join(" ".join(w) for w in words[first:last])
-        have -= len(words[first])
+        pieces = [(m.start(), m.group())] if len(found) <= LONG else _parts(m.start(), m.group())
+        for at, raw in pieces:
+            short = raw.lstrip()
+            if not short:
+                continue
+            starts.append(at + len(raw) - len(short))
+            raws.append(short)
+            words.append(found if len(found) <= LONG else short.lower().split())
+            last = len(words) - 1
+            stop = starts[last] + len(short)
+            need, tail, j = min_words, [], last
+            while j >= 0 and len(words[j]) < need:
+                tail, need, j = words[j] + tail, need - len(words[j]), j - 1
+            if j >= 0:
+                start = starts[j]
+                if len(words[j]) > need:
+                    # What stands before the last words needed, and the white space after it, stay out.
+                    start += len(raws[j].rsplit(None, need)[0])
+                    while text[start].isspace():
+                        start += 1
+                yield start, stop, " ".join(words[j][-need:] + tail)
+            if len(words[last]) > min_words:
+                yield starts[last], stop, " ".join(words[last])
 
 
 def version(text: Column) -> Column:
@@ -47,18 +77,17 @@ def version(text: Column) -> Column:
 
 
 def units(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per run of sentences of every whole text; digests have 128 bits."""
+    """One row per unit of every whole text; digests have 128 bits."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for k, v, t in zip(b["key"].astype(object), b["version"], b["text"]):
                 k = None if pd.isna(k) else int(k)
-                for i, (start, stop, words) in enumerate(sentence_runs(t, min_words)):
-                    data = words.encode("utf-8", "replace")
-                    h = xxhash.xxh3_128_intdigest(data)
-                    rows.append((k, v, i, start, stop, (h >> 64) - 2**63, (h & (2**64 - 1)) - 2**63))
-            out = pd.DataFrame(rows, columns=["key", "version", "unit", "start", "stop", "digest", "check"])
+                for start, stop, words in passage_units(t, min_words):
+                    h = xxhash.xxh3_128_intdigest(words.encode("utf-8", "replace"))
+                    rows.append((k, v, start, stop, (h >> 64) - 2**63, (h & (2**64 - 1)) - 2**63))
+            out = pd.DataFrame(rows, columns=["key", "version", "start", "stop", "digest", "check"])
             out["key"] = out["key"].astype("Int64")
             yield out
 
@@ -67,7 +96,7 @@ def units(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: i
 
 
 def removed_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """(key, version, spans): character spans of all runs that occur earlier, merged, per text that has any.
+    """(key, version, spans): character spans of all units that occur earlier, merged, per text that has any.
 
     Earlier is by (key, version, place), NULL keys last; `version` is a hash of the text, so rows that share
     a key are told apart, and equal rows count as one document. The earliest occurrence of a digest forms in
@@ -75,13 +104,13 @@ def removed_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", min_
     split by Spark where it is skewed.
     """
     found = units(docs, text, key, min_words)
-    place = F.struct(F.col("key").isNull().alias("late"), "key", "version", "unit")
-    firsts = found.groupBy("digest", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    firsts = firsts.filter(F.col("first") != F.col("last")).select(F.col("digest").alias("_d"), F.col("check").alias("_c"), "first")
+    place = F.struct(F.coalesce("key", F.lit(NO_KEY)).alias("key"), "version", "start")
+    firsts = found.groupBy("digest", "check").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = firsts.filter("n > 1").select(F.col("digest").alias("_d"), F.col("check").alias("_c"), "first")
     # Stored, so that both sides of the join are read by a shuffle of their own and Spark can split a hot digest.
     firsts = store(firsts, "repeated")
     again = found.join(firsts, (F.col("digest") == F.col("_d")) & (F.col("check") == F.col("_c")))
-    again = again.filter(~F.col("first").eqNullSafe(place))
+    again = again.filter(F.col("first") != place)
     spans = F.sort_array(F.collect_list(F.struct("start", "stop")))
     return again.groupBy("key", "version").agg(_merge(spans).alias("spans"))
 
@@ -104,7 +133,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", min
     """All rows and columns of `docs`, the text without its repeated passages, plus `removed` and `n_removed`.
 
     `removed` holds the spans (start, stop) in characters of the original text, ascending; `n_removed` their
-    total length. A passage is found if it has a run of whole sentences with `min_words` words or more.
+    total length. A passage is found from the first sentence end that has `min_words` of its words before it up
+    to its last sentence end; see `passage_units`.
     NULL, empty and shorter texts stay as they are, with no spans. Rows with equal key and text are one
     document: the same is removed from each. Columns of `docs` named `removed` or `n_removed` are replaced.
     """
