@@ -104,6 +104,6 @@ def host_verdicts(measured: DataFrame, host: str = "source", limit: float = HOST
 
 def judge(measured: DataFrame, hosts: DataFrame, host: str = "source") -> DataFrame:
     """Join the verdicts back: adds `host_docs`, `host_failed`, `host_rate`, `host_ok` and `kept`."""
-    measured = measured.drop("host_docs", "host_failed", "host_rate", "host_ok", "kept")
+    measured = measured.drop("_host", "host_docs", "host_failed", "host_rate", "host_ok", "kept")
     joined = measured.join(hosts, measured[host].eqNullSafe(hosts["_host"])).drop("_host")
     return joined.withColumn("kept", ~F.col("base_failed") & F.col("host_ok"))

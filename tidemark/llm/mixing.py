@@ -67,7 +67,7 @@ def mix(
     source without words has target 0 and gets no copies; a NULL source is one source; a NULL key decides as
     the string "null". Columns of `docs` named like the added ones are replaced.
     """
-    docs = docs.drop(*(c for c in ("size", "source_size", "target", "copies") if c not in (text, source, key)))
+    docs = docs.drop(*(c for c in ("_source", "weight", "size", "source_size", "target", "copies") if c not in (text, source, key)))
     sized = docs.withColumn("size", word_count(text_of(text)))
     sources = source_sizes(sized.select(F.col(source).alias("_source"), "size"), "_source", "size")
     if weights is None:

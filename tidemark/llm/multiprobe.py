@@ -94,7 +94,7 @@ def prepared(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def fit(rows: DataFrame, nearest: int, tables: int, dims: int, width: float) -> Hashes | None:
-    """Lines and cell width from at most `SAMPLE` rows, those whose ids have the smallest digests.
+    """Lines and cell width from at most `SAMPLE` of the distinct vectors, those whose ids have the smallest digests.
 
     `reach` is the distance within which the sample suggests `nearest` neighbours: if the sample is too thin
     for that, the distance of its nearest, which is further. The norm bound and the row count cover all rows.
@@ -127,14 +127,15 @@ def search(
     Every row is indexed in each table. Of equal vectors the `nearest` + 1 smallest ids stand for all, as no
     query can return more of them; equal queries are searched once. Cells are dealt over shards of about
     `SHARD_ROWS` rows, larger cells over several, and a query visits a shard once per table with all of its
-    cells there, so no cell is capped and no group grows with the input. Scores are inner products of the
+    cells there, so no cell is capped and no group grows with the input. A query whose cells hold too few rows
+    visits all of them, so that fewer than `nearest` come back only if there are no more. Scores are inner products of the
     original vectors in double precision, summed in one fixed order; ties go to the smaller id.
     An empty table gives no rows; a query row that takes no part (see `prepared`) gives none.
     """
     spark = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = store(prepared(vectors, key, vector), "vectors")
-    hashes = fit(rows, nearest, tables, dims, width)
+    hashes = fit(rows.groupBy("vector").agg(F.min("vec_id").alias("vec_id")), nearest, tables, dims, width)
     if hashes is None:
         return empty
     each = 1 - (1 - success) ** (1 / tables)
@@ -170,10 +171,7 @@ def search(
     held = indexed.join(cells, ["tab", "cell"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
     held = held.select("tab", shard, F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("block"), "cell", "vec_id", "vector")
     spread = distinct.repartition(n_queries // 100 + 1, "query")  # rows are few, but each is much work
-    visits = spread.mapInPandas(probe, "query long, tab int, cell long").join(cells, ["tab", "cell"])
-    visits = visits.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    visits = visits.select("query", "tab", shard, "cell").groupBy("query", "tab", "shard").agg(F.collect_set("cell").alias("cells"))
-    visits = visits.join(distinct, "query").select("tab", "shard", block("query"), "query", "cells", F.col("vector").alias("asked"))
+    probed = spread.mapInPandas(probe, "query long, tab int, cell long").join(cells, ["tab", "cell"])
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -197,10 +195,23 @@ def search(
         return pd.concat(out) if out else pd.DataFrame({"query": [], "vec_id": [], "score": []})
 
     groups = ["tab", "shard", "block"]
-    found = held.groupBy(*groups).cogroup(visits.groupBy(*groups)).applyInPandas(best, "query long, vec_id long, score double")
-    merged = found.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    kept = merged.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= nearest + 1).drop("_r")
+
+    def visited(visits: DataFrame) -> DataFrame:
+        """The best rows of all cells that (query, tab, cell, parts) names."""
+        visits = visits.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        visits = visits.select("query", "tab", shard, "cell").groupBy("query", "tab", "shard").agg(F.collect_set("cell").alias("cells"))
+        visits = visits.join(distinct, "query").select("tab", "shard", block("query"), "query", "cells", F.col("vector").alias("asked"))
+        found = held.groupBy(*groups).cogroup(visits.groupBy(*groups)).applyInPandas(best, "query long, vec_id long, score double")
+        merged = found.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
+        return merged.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= nearest + 1).drop("_r")
+
+    kept = store(visited(probed), "found")
+    enough = kept.groupBy("query").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > nearest).select("query")
+    short = store(distinct.select("query").join(enough, "query", "left_anti"), "short")
+    if not short.isEmpty():  # too little in the cells tried: the query visits all cells of one table
+        rest = visited(short.withColumn("tab", F.lit(0)).join(cells, "tab"))
+        kept = kept.join(short, "query", "left_anti").unionByName(rest)
     own = asked.withColumnRenamed("vec_id", "query_id").join(distinct, "vector").select("query_id", "query")
     mine = own.join(kept, "query").filter(F.col("vec_id") != F.col("query_id"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

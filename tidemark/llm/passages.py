@@ -139,10 +139,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", min
     document: the same is removed from each. Columns of `docs` named `removed` or `n_removed` are replaced.
     """
     docs = docs.drop(*(c for c in ("removed", "n_removed") if c not in (text, key)))
-    spans = removed_spans(docs, text, key, min_words).select(F.col("key").alias("_k"), F.col("version").alias("_v"), F.col("spans").alias("_spans"))
-    (mine,) = unused(docs, "_version")
+    k, v, found, mine = unused(docs, "_k", "_v", "_found", "_version")
+    spans = removed_spans(docs, text, key, min_words).toDF(k, v, found)
     joined = docs.withColumn(mine, version(text_of(text))).join(
-        spans, F.col(key).cast("long").eqNullSafe(F.col("_k")) & (F.col(mine) == F.col("_v")), "left"
+        spans, F.col(key).cast("long").eqNullSafe(F.col(k)) & (F.col(mine) == F.col(v)), "left"
     )
     whole = F.col(text)
 
@@ -152,11 +152,11 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", min
         return F.concat(F.array_join(F.transform(s, before), ""), tail)
 
     none = F.array().cast("array<struct<start:int,stop:int>>")
-    total = F.aggregate(F.col("_spans"), F.lit(0).cast("long"), lambda a, x: a + x["stop"] - x["start"])
+    total = F.aggregate(F.col(found), F.lit(0).cast("long"), lambda a, x: a + x["stop"] - x["start"])
     return joined.withColumns(
         {
-            text: F.when(F.col("_spans").isNull(), whole).otherwise(kept(F.col("_spans"))),
-            "removed": F.coalesce("_spans", none),
+            text: F.when(F.col(found).isNull(), whole).otherwise(kept(F.col(found))),
+            "removed": F.coalesce(found, none),
             "n_removed": F.coalesce(total, F.lit(0).cast("long")),
         }
-    ).drop("_k", "_v", "_spans", mine)
+    ).drop(k, v, found, mine)

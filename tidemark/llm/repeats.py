@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import store, text_of
+from tidemark.llm.common import store, text_of, unused
 
 LENGTH = 400
 GRAM = 64
@@ -357,16 +357,16 @@ def remove_repeated_bytes(docs: DataFrame, text: str = "text", length: int = LEN
     Suffixes with one key (what follows the anchor) and different surroundings are scanned in one task, up to
     `crowd` of them; equal surroundings, however many, count once, and a key with more is split exactly.
     """
-    docs = docs.drop(*(c for c in ("n_bytes", "removed", "kept", "_tid") if c != text))
+    docs = docs.drop(*(c for c in ("n_bytes", "removed", "kept") if c != text))
+    mine, t, n, found, done = unused(docs, "_mine", "_t", "_n", "_found", "_done")
     texts = _texts(docs, text, length)
     settled, wanted = _candidates(texts, length)
     contexts, split = _uncrowded(store(_contexts(texts, wanted, length), "contexts"), length, crowd)
     partial = repeat_groups(contexts, length, spans=True)
     partial = partial if split is None else partial.unionByName(split)
-    spans = settled.unionByName(partial).groupBy("tid").agg(F.collect_set(F.struct("start", "stop")).alias("_spans"))
-    copies = texts.groupBy("tid").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    known = spans.join(copies, "tid", "full").withColumnRenamed("tid", "_t")
-    known = store(known, "spans")
+    spans = settled.unionByName(partial).groupBy("tid").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    copies = texts.groupBy("tid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    known = store(spans.join(copies, "tid", "full"), "spans").toDF(t, found, n)
 
     @F.pandas_udf("struct<removed:array<struct<start:int,stop:int>>,kept:binary>")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -376,10 +376,11 @@ def remove_repeated_bytes(docs: DataFrame, text: str = "text", length: int = LEN
 
     data = F.encode(text_of(text), "utf-8")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("stop")))
-    joined = docs.withColumn("_tid", text_id(text_of(text))).withColumn("n_bytes", F.octet_length(text_of(text)).cast("long"))
-    joined = joined.join(known, joined["_tid"] == known["_t"], "left")
-    joined = joined.withColumn("_spans", F.when(F.col("_n").isNotNull(), whole).otherwise(F.coalesce("_spans", F.array().cast(SPAN))))
-    return joined.withColumn("_cut", cut(data, "_spans")).select(*docs.columns, "n_bytes", "_cut.removed", "_cut.kept")
+    joined = docs.withColumn(mine, text_id(text_of(text))).withColumn("n_bytes", F.octet_length(text_of(text)).cast("long"))
+    joined = joined.join(known, F.col(mine) == F.col(t), "left")
+    spans = F.when(F.col(n).isNotNull(), whole).otherwise(F.coalesce(found, F.array().cast(SPAN)))
+    parts = joined.withColumn(found, spans).withColumn(done, cut(data, found))
+    return parts.select(*docs.columns, "n_bytes", F.col(done)["removed"].alias("removed"), F.col(done)["kept"].alias("kept"))
 
 
 def _cut(data: bytes, spans) -> tuple[list[tuple[int, int]], bytes]:
