@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 from zlib import crc32
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,8 @@ SENTENCE = re.compile(r"[^\n]*?[.!?]+(?=\s|$)|[^\n]+")
 WORD = re.compile(r"\S+")
 UNITS = "key long, version long, start int, stop int, digest long, check long"
 NO_KEY = 2**63 - 1
+#: Texts handled at a time by a Python worker.
+TEXTS = 1000
 
 
 def _parts(start: int, raw: str) -> Iterator[tuple[int, str]]:
@@ -80,16 +83,24 @@ def units(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: i
     """One row per unit of every whole text; digests have 128 bits."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for k, v, t in zip(b["key"].astype(object), b["version"], b["text"]):
-                k = None if pd.isna(k) else int(k)
+        for b in (x.iloc[i : i + TEXTS] for x in batches for i in range(0, len(x), TEXTS)):
+            digests, starts, stops, sizes = [], [], [], []
+            for t in b["text"]:
+                before = len(starts)
                 for start, stop, words in passage_units(t, min_words):
-                    h = xxhash.xxh3_128_intdigest(words.encode("utf-8", "replace"))
-                    rows.append((k, v, start, stop, (h >> 64) - 2**63, (h & (2**64 - 1)) - 2**63))
-            out = pd.DataFrame(rows, columns=["key", "version", "start", "stop", "digest", "check"])
-            out["key"] = out["key"].astype("Int64")
-            yield out
+                    starts.append(start)
+                    stops.append(stop)
+                    digests.append(xxhash.xxh3_128_digest(words.encode("utf-8", "replace")))
+                sizes.append(len(starts) - before)
+            both = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
+            at = np.repeat(np.arange(len(b)), sizes)
+            keys = b["key"].astype("Int64").array[at]
+            yield pd.DataFrame(
+                {
+                    "key": keys, "version": b["version"].to_numpy()[at], "start": np.array(starts, dtype=np.int32),
+                    "stop": np.array(stops, dtype=np.int32), "digest": both[:, 0], "check": both[:, 1],
+                }
+            )
 
     picked = docs.select(F.col(key).cast("long").alias("key"), version(text_of(text)).alias("version"), text_of(text).alias("text"))
     return picked.mapInPandas(run, UNITS)
