@@ -20,7 +20,7 @@ LONG, PART, PICK = 24, 12, 6
 #: A sentence: up to a full stop, exclamation or question mark before white space, or to the end of the line.
 SENTENCE = re.compile(r"[^\n]*?[.!?]+(?=\s|$)|[^\n]+")
 WORD = re.compile(r"\S+")
-UNITS = "key long, version long, start int, stop int, digest long, check long"
+UNITS = "key long, version int, start int, stop int, digest long, check int"
 NO_KEY = 2**63 - 1
 #: Texts handled at a time by a Python worker.
 TEXTS = 1000
@@ -39,7 +39,7 @@ def _parts(start: int, raw: str) -> Iterator[tuple[int, str]]:
 
 
 def passage_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, str]]:
-    """(start, stop, normalised text): the last `min_words` words at each sentence end, and each longer sentence.
+    """(start, stop, normalised text): the last `min_words` words at each sentence end, and each sentence half as long again.
 
     The words before an end may reach into earlier sentences. So a passage is found from its first sentence
     end on that has enough of its words before it, also where it starts within another sentence.
@@ -71,16 +71,17 @@ def passage_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int,
                     while text[start].isspace():
                         start += 1
                 yield start, stop, " ".join(words[j][-need:] + tail)
-            if len(words[last]) > min_words:
+            if len(words[last]) > 1.5 * min_words:
                 yield starts[last], stop, " ".join(words[last])
 
 
 def version(text: Column) -> Column:
-    return F.xxhash64(text)
+    """A hash that tells texts with one key apart."""
+    return F.hash(F.xxhash64(text))
 
 
 def units(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per unit of every whole text; digests have 128 bits."""
+    """One row per unit of every whole text; digests have 96 bits."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in (x.iloc[i : i + TEXTS] for x in batches for i in range(0, len(x), TEXTS)):
@@ -98,7 +99,7 @@ def units(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: i
             yield pd.DataFrame(
                 {
                     "key": keys, "version": b["version"].to_numpy()[at], "start": np.array(starts, dtype=np.int32),
-                    "stop": np.array(stops, dtype=np.int32), "digest": both[:, 0], "check": both[:, 1],
+                    "stop": np.array(stops, dtype=np.int32), "digest": both[:, 0], "check": both[:, 1].astype(np.int32),
                 }
             )
 
