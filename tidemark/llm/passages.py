@@ -39,10 +39,11 @@ def _parts(start: int, raw: str) -> Iterator[tuple[int, str]]:
 
 
 def passage_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, str]]:
-    """(start, stop, normalised text): the last `min_words` words at each sentence end, and each sentence half as long again.
+    """(start, stop, normalised text) of the units of a text.
 
-    The words before an end may reach into earlier sentences. So a passage is found from its first sentence
-    end on that has enough of its words before it, also where it starts within another sentence.
+    Each sentence of more than `min_words` words is a unit. At the end of each sentence that is shorter, or half
+    as long again, its last `min_words` words are one, which may reach into earlier sentences. So a passage is
+    found from an early sentence end on, also where it starts within another sentence.
     Normalised: lower case, single spaces.
     """
     starts: list[int] = []
@@ -60,6 +61,10 @@ def passage_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int,
             words.append(found if len(found) <= LONG else short.lower().split())
             last = len(words) - 1
             stop = starts[last] + len(short)
+            if len(words[last]) > min_words:
+                yield starts[last], stop, " ".join(words[last])
+                if len(words[last]) <= 1.5 * min_words:
+                    continue
             need, tail, j = min_words, [], last
             while j >= 0 and len(words[j]) < need:
                 tail, need, j = words[j] + tail, need - len(words[j]), j - 1
@@ -71,8 +76,6 @@ def passage_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int,
                     while text[start].isspace():
                         start += 1
                 yield start, stop, " ".join(words[j][-need:] + tail)
-            if len(words[last]) > 1.5 * min_words:
-                yield starts[last], stop, " ".join(words[last])
 
 
 def version(text: Column) -> Column:
