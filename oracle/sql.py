@@ -167,22 +167,22 @@ SQL: dict[str, str] = {
         where year = 1998 and month <= 6 group by 1, 2""",
     "explode_rates": _rates("events", "2024-02-01T00:00:00+00:00"),
     "time_spine": """
-        select cast(d as date) as date_day, coalesce(n, 0) as events
+        select coalesce(cast(d as date), day) as date_day, coalesce(n, 0) as events
         from range(timestamp '2023-01-01', timestamp '2027-01-01', interval 1 day) s(d)
-        left join (select cast(event_timestamp as date) as day, count(*) as n from stg_events group by 1)
+        full join (select cast(event_timestamp as date) as day, count(*) as n from stg_events group by 1)
         on cast(d as date) = day""",
     "date_spine": """
-        select cast(d as date) as spine_date, coalesce(n, 0) as orders
+        select coalesce(cast(d as date), q) as spine_date, coalesce(n, 0) as orders
         from range(timestamp '1994-01-01', timestamp '2003-01-01', interval 3 month) s(d)
-        left join (select cast(date_trunc('quarter', order_timestamp) as date) as q, count(*) as n
+        full join (select cast(date_trunc('quarter', order_timestamp) as date) as q, count(*) as n
                    from stg_orders group by 1) on cast(d as date) = q""",
     "fill_gaps": """
-        select cast(d as date) as event_date, coalesce(dau, 0) as dau, coalesce(wau, 0) as wau,
+        select coalesce(cast(d as date), event_date) as event_date, coalesce(dau, 0) as dau, coalesce(wau, 0) as wau,
                coalesce(mau, 0) as mau, coalesce(purchases, 0) as purchases,
                coalesce(stickiness_ratio, 0) as stickiness_ratio,
                coalesce(purchase_conversion_rate, 0) as purchase_conversion_rate
         from range(timestamp '2023-12-01', timestamp '2024-03-01', interval 1 day) s(d)
-        left join growth_metrics on cast(d as date) = event_date""",
+        full join growth_metrics on cast(d as date) = event_date""",
     # Cleaning and functions
     "dedup_latest": """
         select * exclude (rn) from (select *, row_number() over (partition by order_id
@@ -205,8 +205,9 @@ SQL: dict[str, str] = {
         select cast(event_timestamp + interval '5 hours 30 minutes' as date) as local_date, count(*) as events
         from stg_events group by 1""",
     "surrogate_key": """
-        select user_id, md5(user_id || '-' || coalesce(country, '') || '-' || coalesce(acquisition_channel, ''))
-            as user_key from stg_users""",
+        select user_id, md5(coalesce(length(user_id) || ':' || user_id, '-')
+            || coalesce(length(country) || ':' || country, '-')
+            || coalesce(length(acquisition_channel) || ':' || acquisition_channel, '-')) as user_key from stg_users""",
     "safe_divide": f"""
         select order_id, {sdiv("total_refund_amount", "order_amount")} as refund_rate from fct_revenue""",
     # Joins, revenue

@@ -29,7 +29,7 @@ def test_safe_divide(spark, rows):
 def test_surrogate_key_and_local_date(spark):
     df = spark.createDataFrame([("a", None, ts("2024-01-01 18:29:59")), ("a", "b", ts("2024-01-01 18:30"))], "x string, y string, t timestamp_ntz")
     out = df.select(fn.surrogate_key("x", "y").alias("k"), fn.local_date("t").alias("d")).collect()
-    assert [r.k for r in out] == [hashlib.md5(b"a-").hexdigest(), hashlib.md5(b"a-b").hexdigest()]
+    assert [r.k for r in out] == [hashlib.md5(b"1:a-").hexdigest(), hashlib.md5(b"1:a1:b").hexdigest()]
     assert [r.d for r in out] == [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
 
 
@@ -239,6 +239,17 @@ def test_segment_change(spark, rows):
     ]
 
 
+def test_surrogate_keys_do_not_meet(spark):
+    df = spark.createDataFrame([("a-b", "c"), ("a", "b-c"), ("a", None), ("a", ""), (None, "a"), ("1:a", "")], "x string, y string")
+    assert df.select(fn.surrogate_key("x", "y")).distinct().count() == 6
+
+
+def test_fill_gaps_keeps_rows_outside(spark):
+    df = spark.createDataFrame([(dt.date(2024, 1, 2), 5), (dt.date(2025, 1, 1), 7)], "d date, n long")
+    got = activity.fill_gaps(df, "d", "2024-01-01", "2024-01-03", ["n"])
+    assert [r.n for r in got.orderBy("d").collect()] == [0, 5, 0, 7]
+
+
 def test_fill_gaps(spark, rows):
     df = spark.createDataFrame([(dt.date(2024, 1, 2), 5)], "d date, n long")
     got = activity.fill_gaps(df, "d", "2024-01-01", "2024-01-03", ["n"])

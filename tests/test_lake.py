@@ -98,6 +98,19 @@ def test_incremental_equals_rebuild(spark, tmp_path, rows):
         assert again == 0
 
 
+def test_incremental_finds_corrections_and_late_loads(spark, tmp_path, rows):
+    users = small_warehouse(spark).stg_users
+    orders = [("1", "1", "2024-01-01", 100), ("2", "2", "2024-01-02", 100), ("3", "3", "2024-01-03", 30)]
+    before = staged(spark, orders, [("r1", "3", 1, "2024-01-03")])
+    # Order 1 gets another amount, order 2 a refund from before `since` that was loaded only now.
+    after = staged(spark, [("1", "1", "2024-01-01", 999), *orders[1:]], [("r1", "3", 1, "2024-01-03"), ("r2", "2", 40, "2024-01-04")])
+    path = str(tmp_path / "fact")
+    incremental.write_fact(fct_revenue_from_staging(before[0], users, order_refunds(before[1])), path)
+    n = incremental.incremental_revenue(spark, path, after[0], users, after[1], as_of="2024-03-01", since="2024-02-28")
+    rebuilt = fct_revenue_from_staging(after[0], users, order_refunds(after[1]))
+    assert n == 2 and rows(incremental.read_fact(spark, path)) == rows(rebuilt)
+
+
 def test_stored_warehouse_passes_its_rules(spark, tmp_path):
     w = small_warehouse(spark)
     stored = w.save(str(tmp_path), MODELS)

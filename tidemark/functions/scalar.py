@@ -59,7 +59,11 @@ def local_date(ts: Column | str, tz: str = "Asia/Kolkata") -> Column:
     return F.to_date(F.from_utc_timestamp(_col(ts).cast("timestamp"), tz))
 
 
-def surrogate_key(*cols: Column | str, null_token: str = "") -> Column:
-    """MD5 over the columns' text joined by '-'; NULL counts as `null_token`."""
-    parts = [F.coalesce(_col(c).cast("string"), F.lit(null_token)) for c in cols]
-    return F.md5(F.concat_ws("-", *parts))
+def surrogate_key(*cols: Column | str) -> Column:
+    """MD5 over the columns' text, each with its length in front, so that different rows never join to one text.
+
+    NULL is a '-' without length and so differs from the empty text.
+    """
+    texts = [_col(c).cast("string") for c in cols]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.md5(F.concat(*parts))

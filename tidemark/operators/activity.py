@@ -182,8 +182,8 @@ def feature_adoption(ev: DataFrame) -> DataFrame:
 
 
 def fill_gaps(df: DataFrame, date_col: str, start: str, end: str, zero_cols: Sequence[str]) -> DataFrame:
-    """Add a row for every missing date of the range, with 0 in the given columns."""
+    """Add a row for every missing date of the range, with 0 in the given columns; rows outside the range stay."""
     spine = date_spine(df.sparkSession, "day", start, end, name=date_col)
-    joined = spine.join(df, date_col, "left")
+    joined = spine.join(df, date_col, "full")
     zeros = {c: F.coalesce(F.col(c), F.lit(0)).cast(df.schema[c].dataType) for c in zero_cols}
     return joined.withColumns(zeros).select(*df.columns)

@@ -61,9 +61,11 @@ def scd2_apply(
 
     Without `tracked` a row counts as changed when its `updated_at` is later than the open version's.
     With it, when any of these columns differs, whatever the timestamp says; such a version starts at
-    `as_of`, or at `updated_at` where that is not given. Closed versions pass through; keys missing from
+    `as_of`, which is then needed: a change under an unmoved timestamp would start where it ends. Closed versions pass through; keys missing from
     the batch stay open.
     """
+    if tracked is not None and as_of is None:
+        raise ValueError("changes of tracked columns need as_of, the time from which they hold")
     attributes = [c for c in batch.columns if c != key]
     closed, opened = current.where(~F.col("is_current")), current.where(F.col("is_current"))
     old, new = opened.alias("old"), batch.alias("new")
@@ -76,7 +78,7 @@ def scd2_apply(
             F.struct(*[F.col(f"old.{c}") for c in tracked])
         )
     start = F.col(f"new.{updated_at}")
-    if tracked is not None and as_of is not None:
+    if tracked is not None:
         # The first version of a key starts with its own timestamp; later ones when they were seen.
         start = F.when(F.col(f"old.{key}").isNull(), start).otherwise(F.lit(as_of).cast("timestamp_ntz"))
     both = F.col(f"old.{key}").isNotNull() & F.col(f"new.{key}").isNotNull()

@@ -150,22 +150,22 @@ def explode_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def time_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events per day of the metric calendar."""
+    """Events per day of the metric calendar, and of days with events outside it."""
     days = _warehouse(spark, sf_dir).stg_events.groupBy(F.to_date("event_timestamp").alias("date_day")).agg(
         F.count(F.lit(1)).alias("events")
     )
-    return fn.time_spine(spark).join(days, "date_day", "left").select(
+    return fn.time_spine(spark).join(days, "date_day", "full").select(
         "date_day", F.coalesce("events", F.lit(0)).alias("events")
     )
 
 
 @query
 def date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders per quarter of a continuous range of quarters."""
+    """Orders per quarter of a continuous range of quarters, and of quarters with orders outside it."""
     quarter = F.to_date(F.date_trunc("quarter", "order_timestamp")).alias("spine_date")
     orders = _warehouse(spark, sf_dir).stg_orders.groupBy(quarter).agg(F.count(F.lit(1)).alias("orders"))
     spine = fn.date_spine(spark, "quarter", "1994-01-01", "2002-12-31")
-    return spine.join(orders, "spine_date", "left").select(
+    return spine.join(orders, "spine_date", "full").select(
         "spine_date", F.coalesce("orders", F.lit(0)).alias("orders")
     )
 
