@@ -128,6 +128,16 @@ def test_stream_dedup(spark, salts):
     assert got.count() == stored.count() == 2
 
 
+def test_late_first_deliveries_stay(spark, tmp_path):
+    days = {1: "2024-01-10 00:00", 2: "2024-01-10 01:00", 3: "2024-01-05 00:00", 4: "2024-01-10 02:00"}
+    for i, ids in enumerate([[1, 1], [2, 1], [3], [4, 3, 2]]):
+        part = spark.createDataFrame([(k, days[k]) for k in ids], "event_id long, at string")
+        part.select("event_id", F.to_timestamp("at").alias("event_timestamp")).coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+    stream = spark.readStream.schema("event_id long, event_timestamp timestamp").option("maxFilesPerTrigger", "1")
+    got = operators.run_dedup(stream.parquet(str(tmp_path / "in/*")), fresh_dir(spark, "stream"))
+    assert sorted(r.event_id for r in got.collect()) == [1, 2, 3, 4]
+
+
 def test_daily_metrics(spark):
     live, _ = written_events(spark, [(f"u{i % 7}", "purchase" if i % 2 else "x", f"2024-01-0{1 + i % 3} 10:00") for i in range(90)])
     got = io.run_complete(operators.stream_daily_metrics(live), fresh_dir(spark, "stream"))

@@ -924,8 +924,7 @@ def bounded_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    once = stream_ops.stream_dedup(_activity_stream(spark, sf_dir))
-    stored = stream_io.run_append(once, fresh_dir(spark, "stream"))
+    stored = stream_ops.run_dedup(_activity_stream(spark, sf_dir), fresh_dir(spark, "stream"))
     return stored.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
 
 

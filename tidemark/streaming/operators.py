@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.order_events import last_n, mean_of_last, with_reject_reason
+from tidemark.sources.readers import read_parquet_prefix
 from tidemark.streaming.io import batch_folder, bounded_run, read_version, store_version
 
 
@@ -19,6 +20,8 @@ def stream_dedup(
 ) -> DataFrame:
     """Repeated deliveries of an event are dropped while they arrive within the watermark.
 
+    Events more than the watermark behind the newest one are lost, copies or not; `run_dedup` keeps them.
+
     Copies are first dropped per (key, salt), so that an event delivered very many times does not send
     all its copies to one task; at most one copy per salt reaches the second step, which decides. With
     `salts=1` there is only that step, and state is kept once instead of twice.
@@ -30,6 +33,24 @@ def stream_dedup(
     return rows.dropDuplicatesWithinWatermark([key])
 
 
+def run_dedup(stream: DataFrame, root: str, key: str = "event_id") -> DataFrame:
+    """Run to the end of the available data and return the first delivery of every event, however late.
+
+    Each batch drops its own copies, then the events of earlier batches, whose keys are read from what is
+    stored. A repeated batch replaces itself and does not see itself. Events without a key are kept once a batch.
+    """
+    out = f"{root}/out"
+    full = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        stored = read_parquet_prefix(batch.sparkSession, out, "", full).where(F.col("batch_id") < batch_id)
+        fresh = batch.dropDuplicates([key]).join(stored.select(key), key, "left_anti")
+        fresh.select(*stream.columns).write.mode("overwrite").parquet(batch_folder(out, batch_id))
+
+    bounded_run(stream, write, f"{root}/checkpoint")
+    return read_parquet_prefix(stream.sparkSession, out, "", full).select(*stream.columns)
+
+
 def stream_sessions(
     stream: DataFrame, gap_minutes: int = 30, watermark: str = "1 hour", ts: str = "event_timestamp"
 ) -> DataFrame:
