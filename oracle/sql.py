@@ -157,6 +157,14 @@ def _metrics(period: str, keys: str, cols: str, source: str, where: str = "") ->
 AOV = f"{dbl('sum(order_amount)')} / count(order_id) as average_order_value"
 GROSS = "cast(sum(order_amount) as decimal(38,9)) as total_revenue"
 
+# An amount that is no number is found out where a missing one would be.
+REFUSED = """
+    select order_id, case when cast(order_id as bigint) % 73 = 0 then 'malformed json'
+        when cast(order_id as bigint) % 79 = 0 and reject_reason in ('missing order_id', 'missing customer_id') then reject_reason
+        when cast(order_id as bigint) % 79 = 0 then 'bad amount' else reject_reason end as reject_reason{}
+    from order_events_marked
+    where reject_reason is not null or cast(order_id as bigint) % 73 = 0 or cast(order_id as bigint) % 79 = 0"""
+
 SQL: dict[str, str] = {
     # Scans
     "read_raw": "select * from orders_raw",
@@ -292,6 +300,34 @@ SQL: dict[str, str] = {
     "rolling_active_users_approx": """
         select distinct cast(event_timestamp as date) as event_date, true as dau_close, true as wau_close,
                true as mau_close from stg_events""",
+    "product_metrics_local": TABLES["product_metrics"].replace(
+        "cast(event_timestamp as date)", "cast(event_timestamp + interval '5 hours 30 minutes' as date)"
+    ),
+    "growth_accounting_by_channel": f"""
+        select acquisition_channel, activity_date, count(user_id) filter (previous is null) as new_users,
+               count(user_id) filter (activity_date - previous <= 7) as retained_users,
+               count(user_id) filter (activity_date - previous > 7) as resurrected_users, count(user_id) as dau,
+               {sdiv("count(user_id) filter (activity_date - previous <= 7)", "count(user_id)")} as retention_ratio,
+               {sdiv("count(user_id) filter (previous is null)", "count(user_id)")} as new_user_ratio
+        from (select *, lag(activity_date) over (partition by user_id order by activity_date) as previous
+              from (select distinct e.user_id, acquisition_channel, cast(event_timestamp as date) as activity_date
+                    from stg_events e left join stg_users u on e.user_id = u.user_id))
+        group by 1, 2""",
+    "metric_query_filtered_each": """
+        select coalesce(g.period, r.period) as period, daily_active_users, order_count
+        from (select cast(date_trunc('year', event_date) as date) as period,
+                     cast(sum(dau) as bigint) as daily_active_users from growth_metrics where dau > 1 group by 1) g
+        full join (select cast(date_trunc('year', order_date) as date) as period, count(order_id) as order_count
+                   from fct_revenue where currency = 'USD' group by 1) r on g.period = r.period""",
+    "split_messages_refused": REFUSED.format(", cast(order_id as bigint) % 73 = 0 as cut"),
+    "stream_split_messages_refused": REFUSED.format(""),
+    "check_unique_columns": _check(
+        "experiment_assignments_raw",
+        "user_id, experiment_id",
+        "unique",
+        """select count(*) as failures from (select user_id, experiment_id from assignments_raw
+           where user_id is not null and experiment_id is not null group by 1, 2 having count(*) > 1)""",
+    ),
     "growth_accounting_purchases": growth_accounting_sql(
         "(select * from stg_events where event_name = 'purchase')"
     ),

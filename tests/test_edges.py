@@ -274,3 +274,34 @@ def test_money_keeps_nine_digits(spark):
     )
     refunds = spark.createDataFrame([("1", tiny)], "order_id string, total_refunded_amount decimal(38,9)")
     assert revenue.net_orders(orders, refunds).first().net_revenue == Decimal("4.999999999")
+
+
+def test_refused_messages_keep_what_came(spark):
+    cases = {
+        b"not json": "malformed json",
+        b'{"order_id": "1", "customer_id": "c"': "malformed json",
+        b"[1]": "malformed json",
+        b'{"order_id": "1", "customer_id": "c", "amount": "free", "city": "x"}': "bad amount",
+        b'{"order_id": "1", "customer_id": "c", "city": "x"}': "missing amount",
+        b'{"order_id": "1", "customer_id": "c", "amount": null, "city": "x"}': "missing amount",
+    }
+    messages = spark.createDataFrame([(b"k", v) for v in [*cases, None]], schemas.KEYED_MESSAGE)
+    valid, refused = order_events.split_messages(messages)
+    got = {None if r.value is None else bytes(r.value): r.reject_reason for r in refused.collect()}
+    assert valid.count() == 0 and got == {**cases, None: "malformed json"}
+
+
+def test_metric_query_conditions_per_model(spark):
+    revenue_rows = spark.createDataFrame([("1", "USD", 5.0), ("2", "INR", 7.0)], "order_id string, currency string, order_amount double")
+    growth = spark.createDataFrame([(3,), (4,)], "dau int")
+    tables = {"revenue": revenue_rows, "growth_metrics": growth}
+    names = ["daily_active_users", "order_count"]
+    got = semantic.metric_query(tables, names, where={"revenue": "currency = 'USD'"}).first()
+    assert (got.daily_active_users, got.order_count) == (7, 1)
+    with pytest.raises(ValueError, match="growth_metrics"):
+        semantic.metric_query(tables, names, where="currency = 'USD'")
+
+
+def test_unique_over_several_columns(spark):
+    df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (1, None), (1, None)], "a int, b int")
+    assert quality.check_unique(df, "a, b", "t").first().failures == 1

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from samples import small_warehouse, ts
@@ -134,3 +135,20 @@ def test_shared_models_are_kept_and_released(spark):
         assert kept.stg_events.is_cached
         assert "InMemoryTableScan" in kept.mart_growth_metrics._jdf.queryExecution().executedPlan().toString()
     assert not w.stg_events.is_cached
+
+
+def test_saving_twice_and_failing_once(spark, tmp_path, rows):
+    w = small_warehouse(spark)
+    first = w.save(str(tmp_path), ["stg_orders", "fct_revenue"])
+    expected = rows(first["fct_revenue"])
+    again = w.save(str(tmp_path), ["stg_orders", "fct_revenue"])
+    assert rows(again["fct_revenue"]) == rows(first["fct_revenue"]) == expected
+    path = f"{tmp_path}/fct_revenue"
+    with pytest.raises(Exception, match="broken"):
+        broken = again["fct_revenue"].withColumn("order_id", F.raise_error(F.lit("broken")).cast("string"))
+        writers.write_table(broken, path, ["order_date"])
+    stored = writers.read_table(spark, path, first["fct_revenue"].schema).select(*first["fct_revenue"].columns)
+    assert rows(stored) == expected
+    one_day = first["fct_revenue"].where(F.col("order_date") == "2024-01-01")
+    text = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_date" in text

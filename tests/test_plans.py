@@ -38,6 +38,8 @@ def test_dedup_limits_before_the_shuffle(spark):
 def test_last_n_limits_before_the_shuffle(spark):
     text = plan(QUERIES["rolling_last_n_avg_by_city"](spark, SF))
     assert "row_number(), 100, Partial" in text
+    events = star_schema.order_events(spark, SF)
+    assert "row_number(), 5000, Partial" in plan(order_events.rolling_last_n_avg(events, 5000, "city"))
     assert "TakeOrderedAndProject" in plan(order_events.top_cities(star_schema.order_events(spark, SF)))
 
 

@@ -37,8 +37,8 @@ def clicks(spark):
     return events(spark, data).cache()
 
 
-@pytest.mark.parametrize("bucket", ["day", "month"])
-def test_running_equals_plain_window(orders, rows, bucket):
+@pytest.mark.parametrize("pieces", [1, 7])
+def test_running_equals_plain_window(orders, rows, pieces):
     plain_w = W.partitionBy("user_id").orderBy("created_at", "order_id")
     plain = orders.select(
         "*",
@@ -47,7 +47,7 @@ def test_running_equals_plain_window(orders, rows, bucket):
         money(F.sum(money("amount")).over(plain_w.rowsBetween(W.unboundedPreceding, 0))).alias("run"),
     )
     got = ordered.with_running(
-        orders, ["user_id"], ["created_at", "order_id"], "n", {"prev": "amount"}, {"run": "amount"}, bucket
+        orders, ["user_id"], ["created_at", "order_id"], "n", {"prev": "amount"}, {"run": "amount"}, pieces
     )
     assert rows(got) == rows(plain)
 
@@ -145,25 +145,25 @@ def changes(spark):
     return spark.createDataFrame(data, "user_id string, plan string, updated_at timestamp_ntz").cache()
 
 
-@pytest.mark.parametrize("bucket", ["day", "year"])
-def test_history_equals_plain_window(changes, rows, bucket):
+@pytest.mark.parametrize("pieces", [1, 7])
+def test_history_equals_plain_window(changes, rows, pieces):
     per_time = changes.groupBy("user_id", "updated_at").agg(F.max("plan").alias("plan"))
     w = W.partitionBy("user_id").orderBy("updated_at")
     plain = per_time.select(
         "user_id", "plan", F.col("updated_at").alias("valid_from"), F.lead("updated_at").over(w).alias("valid_to")
     )
-    got = history.scd2_history(changes, "user_id", "updated_at", bucket=bucket)
+    got = history.scd2_history(changes, "user_id", "updated_at", pieces=pieces)
     assert rows(got.drop("is_current")) == rows(plain)
     collapsed = per_time.withColumn("was", F.lag("plan").over(w)).where(~F.col("was").eqNullSafe(F.col("plan")))
     plain = collapsed.select(
         "user_id", "plan", F.col("updated_at").alias("valid_from"), F.lead("updated_at").over(w).alias("valid_to")
     )
-    got = history.scd2_history(changes, "user_id", "updated_at", ["plan"], bucket)
+    got = history.scd2_history(changes, "user_id", "updated_at", ["plan"], pieces)
     assert rows(got.drop("is_current")) == rows(plain)
 
 
-@pytest.mark.parametrize("bucket", ["day", "year"])
-def test_asof_by_brute_force(changes, orders, bucket):
+@pytest.mark.parametrize("pieces", [1, 7])
+def test_asof_by_brute_force(changes, orders, pieces):
     versions = history.scd2_history(changes, "user_id", "updated_at")
     # Leave gaps: times for which no version is valid.
     versions = versions.where(F.pmod(F.xxhash64("valid_from"), F.lit(4)) != 0)
@@ -176,7 +176,7 @@ def test_asof_by_brute_force(changes, orders, bucket):
     expected = sorted(
         ((o, u, t, plan_at(u, t)) for o, u, t in (tuple(r) for r in facts.collect())), key=lambda r: r[0]
     )
-    got = history.asof_user_attributes(facts, versions, "user_id", "created_at", bucket)
+    got = history.asof_user_attributes(facts, versions, "user_id", "created_at", pieces)
     assert sorted((tuple(r) for r in got.collect()), key=lambda r: r[0]) == expected
 
 
@@ -212,3 +212,24 @@ def test_scd2_apply_rules(spark, rows):
     }
     again = history.scd2_apply(by_value, batch, "user_id", "seen", tracked=["country"], as_of="2024-04-01")
     assert rows(again) == rows(by_value)
+
+
+def test_one_key_at_one_instant_is_spread(spark):
+    moment = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    even = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("user_id"),
+        F.when(F.col("id") % 2 == 0, moment).otherwise(moment + F.make_interval(mins=F.col("id").cast("int"))).alias("t"),
+        F.col("id").alias("order_id"),
+    )
+    sizes = [r["count"] for r in ordered.in_pieces(even, "user_id", "t", "order_id", pieces=8).groupBy(ordered.PIECE).count().collect()]
+    assert len(sizes) == 8 and sum(sizes) == 20_000 and max(sizes) <= 2 * 20_000 / 8
+
+
+def test_facts_without_key_or_time_keep_nulls(spark):
+    facts = spark.createDataFrame([("a", None), (None, START), ("a", START), ("b", START)], "u string, t timestamp_ntz")
+    versions = history.open_history(spark.createDataFrame([("a", START, "x")], "u string, t timestamp_ntz, plan string"), "u", "t")
+    for pieces in (1, 4):
+        got = history.asof_user_attributes(facts, versions.drop("t"), "u", "t", pieces)
+        assert sorted(((r.u, r.t, r.plan) for r in got.collect()), key=str) == sorted(
+            [("a", None, None), (None, START, None), ("a", START, "x"), ("b", START, None)], key=str
+        )

@@ -9,16 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.functions import date_spine, safe_divide
+from tidemark.functions import date_spine, local_date, safe_divide
 
 
-def user_days(ev: DataFrame, *extra: str) -> DataFrame:
+def _day(tz: str | None) -> Column:
+    """Date of an event, in UTC or in the business's own time zone."""
+    return F.to_date("event_timestamp") if tz is None else local_date("event_timestamp", tz)
+
+
+def user_days(ev: DataFrame, *extra: str, tz: str | None = None) -> DataFrame:
     """Distinct (user, day)."""
-    return ev.select("user_id", F.to_date("event_timestamp").alias("activity_date"), *extra).distinct()
+    return ev.select("user_id", _day(tz).alias("activity_date"), *extra).distinct()
 
 
 def _is(name: str):
@@ -26,10 +31,17 @@ def _is(name: str):
 
 
 def product_metrics(
-    ev: DataFrame, purchase: str = "purchase", view: str = "view_product", cart: str = "add_to_cart"
+    ev: DataFrame,
+    purchase: str = "purchase",
+    view: str = "view_product",
+    cart: str = "add_to_cart",
+    tz: str | None = None,
 ) -> DataFrame:
-    """Daily users, events, purchases, views, cart additions and purchases per active user."""
-    daily = ev.groupBy(F.to_date("event_timestamp").alias("event_date")).agg(
+    """Daily users, events, purchases, views, cart additions and purchases per active user.
+
+    Days are those of `tz`, or UTC.
+    """
+    daily = ev.groupBy(_day(tz).alias("event_date")).agg(
         F.countDistinct("user_id").alias("daily_active_users"),
         F.count(F.lit(1)).alias("total_events"),
         F.count_if(_is(purchase)).alias("purchases"),
@@ -40,14 +52,14 @@ def product_metrics(
     return daily.withColumn("purchase_conversion_rate", F.round(rate, 4))
 
 
-def growth_metrics_as_written(ev: DataFrame, purchase: str = "purchase") -> DataFrame:
+def growth_metrics_as_written(ev: DataFrame, purchase: str = "purchase", tz: str | None = None) -> DataFrame:
     """Daily users with weekly and monthly users set to the daily number, so stickiness is 1.
 
     `rolling_active_users` has the true weekly and monthly numbers.
     """
     dau = F.col("dau")
     return (
-        ev.groupBy(F.to_date("event_timestamp").alias("event_date"))
+        ev.groupBy(_day(tz).alias("event_date"))
         .agg(F.countDistinct("user_id").alias("dau"), F.count_if(_is(purchase)).alias("purchases"))
         .select(
             "event_date",
@@ -107,18 +119,24 @@ def rolling_active_users(
     return out.select("event_date", *names, safe_divide("dau", "mau").alias("stickiness_ratio"))
 
 
-def growth_accounting(ev: DataFrame, resurrect_after_days: int = 7) -> DataFrame:
-    """Daily actives split into new, retained and resurrected users."""
-    previous = F.lag("activity_date").over(W.partitionBy("user_id").orderBy("activity_date"))
+def growth_accounting(
+    ev: DataFrame, resurrect_after_days: int = 7, by: Sequence[str] = (), tz: str | None = None
+) -> DataFrame:
+    """Daily actives split into new, retained and resurrected users.
+
+    `by` names columns of `ev` that split the users, such as their channel: a user is new in each value
+    of them. Days are those of `tz`, or UTC.
+    """
+    previous = F.lag("activity_date").over(W.partitionBy(*by, "user_id").orderBy("activity_date"))
     gap = F.datediff("activity_date", "previous")
 
     def users_if(condition):
         return F.count(F.when(condition, F.col("user_id")))
 
     per_day = (
-        user_days(ev)
+        user_days(ev, *by, tz=tz)
         .withColumn("previous", previous)
-        .groupBy("activity_date")
+        .groupBy(*by, "activity_date")
         .agg(
             users_if(F.col("previous").isNull()).alias("new_users"),
             users_if(gap <= resurrect_after_days).alias("retained_users"),
@@ -130,7 +148,7 @@ def growth_accounting(ev: DataFrame, resurrect_after_days: int = 7) -> DataFrame
         "*",
         safe_divide("retained_users", "dau").alias("retention_ratio"),
         safe_divide("new_users", "dau").alias("new_user_ratio"),
-    ).orderBy("activity_date")
+    ).orderBy("activity_date", *by)
 
 
 def churned_users(ev: DataFrame) -> DataFrame:
@@ -156,8 +174,8 @@ def churned_users(ev: DataFrame) -> DataFrame:
 def feature_adoption(ev: DataFrame) -> DataFrame:
     """Share of all users that used each feature.
 
-    One pass: the total is the number of users' first features, so it needs no second scan. The last
-    window runs over one row per feature.
+    The total is the number of users' first features, so it needs no second scan: it is the sum over the rows
+    per feature, one number.
     """
     pairs = ev.groupBy("user_id", F.col("event_name").alias("feature")).agg(F.lit(1).alias("used"))
     first = F.row_number().over(W.partitionBy("user_id").orderBy("feature")) == 1
@@ -169,8 +187,9 @@ def feature_adoption(ev: DataFrame) -> DataFrame:
             F.count_if(F.col("first") & F.col("user_id").isNotNull()).alias("firsts"),
         )
     )
+    total = per_feature.agg(F.sum("firsts")).scalar()
     return (
-        per_feature.withColumn("total_users", F.sum("firsts").over(W.partitionBy()))
+        per_feature.withColumn("total_users", total)
         .select(
             "feature",
             "users_using_feature",

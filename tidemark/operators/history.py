@@ -9,31 +9,29 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import dedup_latest
-from tidemark.operators.ordered import with_running
+from tidemark.operators.ordered import PIECE, in_pieces, running_in_pieces
 
 VALIDITY = ("valid_from", "valid_to", "is_current")
 
 
 def scd2_history(
-    changes: DataFrame, key: str, updated_at: str, tracked: Sequence[str] | None = None, bucket: str = "month"
+    changes: DataFrame, key: str, updated_at: str, tracked: Sequence[str] | None = None, pieces: int | None = None
 ) -> DataFrame:
     """All versions of each key from a table of changes.
 
     One version per key and time; it is valid until the next one. With `tracked`, a row that leaves
-    these columns as they were starts no version. The next version is looked up within (key, bucket);
-    the last one of a bucket gets the first time of the following bucket.
+    these columns as they were starts no version. The next version is looked up within even ranges of
+    (key, time), see `ordered`; the last one of a range gets the first time of the key's following range.
     """
-    rows = dedup_latest(changes, [key, updated_at], updated_at)
+    rows = in_pieces(dedup_latest(changes, [key, updated_at], updated_at), key, updated_at, pieces=pieces)
     if tracked is not None:
         now = rows.withColumn("__now", F.struct(*tracked))
-        seen = with_running(now, [key], [updated_at], rank="__rank", lags={"__was": "__now"}, bucket=bucket)
+        seen = running_in_pieces(now, [key], [updated_at], rank="__rank", lags={"__was": "__now"})
         changed = (F.col("__rank") == 1) | ~F.col("__was").eqNullSafe(F.col("__now"))
-        rows = seen.where(changed).select(*changes.columns)
-    rows = rows.withColumn(
-        "__key", F.struct(F.col(key), F.date_trunc(bucket, updated_at).alias("__bucket"))
-    )
+        rows = seen.where(changed).select(*changes.columns, PIECE)
+    rows = rows.withColumn("__key", F.struct(key, PIECE))
     firsts = rows.groupBy("__key").agg(F.min(updated_at).alias("__first"))
-    following = F.lead("__first").over(W.partitionBy(f"__key.{key}").orderBy("__key.__bucket"))
+    following = F.lead("__first").over(W.partitionBy(f"__key.{key}").orderBy(f"__key.{PIECE}"))
     inside = F.lead(updated_at).over(W.partitionBy("__key").orderBy(updated_at))
     attributes = [c for c in changes.columns if c not in (key, updated_at)]
     joined = rows.withColumn("__next", inside).join(
@@ -116,40 +114,40 @@ def open_history(batch: DataFrame, key: str, updated_at: str) -> DataFrame:
 
 
 def asof_user_attributes(
-    facts: DataFrame, history: DataFrame, key: str, ts_col: str, bucket: str = "month"
+    facts: DataFrame, history: DataFrame, key: str, ts_col: str, pieces: int | None = None
 ) -> DataFrame:
-    """Facts with the attribute version valid at their time; facts without one keep NULLs.
+    """Facts with the attribute version valid at their time; facts without one, or without a key, keep NULLs.
 
-    Facts and versions are lined up by time within (key, bucket) and each fact takes the last version
-    before it, so the work grows with facts plus versions, never with their product. The version a
-    bucket starts with is carried in from earlier buckets, worked out on one row per bucket.
+    Facts and versions are lined up by time in even ranges of (key, time), see `ordered`, and each fact takes
+    the last version before it, so the work grows with facts plus versions, never with their product. The
+    version a range starts with is carried in from the key's earlier ranges, on one row per key and range.
+    Facts of one key and instant are told apart by a hash of the row.
     """
     attributes = [c for c in history.columns if c not in (key, *VALIDITY)]
     version = F.struct(*attributes, "valid_from", "valid_to")
-    place = F.struct(F.col(key).alias("k"), F.date_trunc(bucket, "__t").alias("b"))
-    versions = (
-        history.where(F.col(key).isNotNull())
-        .withColumn("__t", F.col("valid_from"))
-        .select(place.alias("place"), version.alias("version"))
-    )
-    moved = facts.withColumn("__t", F.col(ts_col)).select(place.alias("place"), F.struct(*facts.columns).alias("fact"))
-
-    last = versions.groupBy("place").agg(F.max_by("version", "version.valid_from").alias("version"))
-    needed = moved.select("place").distinct().withColumn("needed", F.lit(True))
-    earlier = W.partitionBy("place.k").orderBy("place.b").rowsBetween(W.unboundedPreceding, -1)
-    carried = (
-        last.unionByName(needed, allowMissingColumns=True)
-        .groupBy("place")
-        .agg(F.first("version", ignorenulls=True).alias("version"), F.max("needed").alias("needed"))
-        .select("place", F.last("version", ignorenulls=True).over(earlier).alias("version"), "needed")
-        .where(F.col("needed") & F.col("version").isNotNull())
-        .drop("needed")
-    )
-    lined_up = moved.unionByName(versions.unionByName(carried), allowMissingColumns=True)
-    at = F.coalesce(F.col("version.valid_from"), F.col(f"fact.{ts_col}"))
-    upto = W.partitionBy("place").orderBy(at, F.col("fact").isNotNull()).rowsBetween(W.unboundedPreceding, 0)
-    found = lined_up.withColumn("version", F.last("version", ignorenulls=True).over(upto)).where(
-        F.col("fact").isNotNull()
+    keyed, keyless = facts.where(F.col(key).isNotNull()), facts.where(F.col(key).isNull())
+    versions = history.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("k"), F.col("valid_from").alias("t"), F.lit(0).alias("after"), F.lit(0).cast("bigint").alias("tie"),
+        version.alias("version"),
+    )
+    moved = keyed.select(
+        F.col(key).alias("k"), F.col(ts_col).alias("t"), F.lit(1).alias("after"), F.xxhash64(*facts.columns).alias("tie"),
+        F.struct(*facts.columns).alias("fact"),
+    )
+    lined_up = in_pieces(
+        moved.unionByName(versions, allowMissingColumns=True), "k", "t", "after", "tie", pieces=pieces
+    ).withColumn("place", F.struct("k", PIECE))
+
+    last = lined_up.groupBy("place").agg(F.max_by("version", "version.valid_from").alias("carried"))
+    earlier = W.partitionBy("place.k").orderBy(f"place.{PIECE}").rowsBetween(W.unboundedPreceding, -1)
+    inherited = last.select("place", F.last("carried", ignorenulls=True).over(earlier).alias("carried"))
+    upto = W.partitionBy("place").orderBy("t", "after").rowsBetween(W.unboundedPreceding, 0)
+    found = (
+        lined_up.withColumn("version", F.last("version", ignorenulls=True).over(upto))
+        .where(F.col("fact").isNotNull())
+        .join(inherited, "place", "left")
+        .select("fact", F.coalesce("version", "carried").alias("version"))
     )
     valid = F.col("version.valid_to").isNull() | (F.col(f"fact.{ts_col}") < F.col("version.valid_to"))
-    return found.select("fact.*", *[F.when(valid, F.col(f"version.{c}")).alias(c) for c in attributes])
+    matched = found.select("fact.*", *[F.when(valid, F.col(f"version.{c}")).alias(c) for c in attributes])
+    return matched.unionByName(keyless, allowMissingColumns=True)

@@ -52,6 +52,30 @@ def with_reject_reason(events: DataFrame) -> DataFrame:
     return events.withColumn("reject_reason", reason)
 
 
+def parse_with_message(messages: DataFrame) -> DataFrame:
+    """Order events as parsed, next to the `key` and `value` they came with and their `reject_reason`.
+
+    Text that is no JSON object is "malformed json"; an amount that is there but no number is a "bad amount".
+    """
+    text = F.col("value").cast("string")
+    doc = F.from_json(text, ORDER_EVENT)
+    parsed = messages.select("key", "value", doc.alias("doc")).select("key", "value", "doc.*")
+    is_object = F.coalesce(F.json_object_keys(text).isNotNull(), F.lit(False))
+    unread = F.col("amount").isNull() & F.get_json_object(text, "$.amount").isNotNull() & (F.col("reject_reason") == "missing amount")
+    marked = with_reject_reason(parsed)
+    return marked.withColumn(
+        "reject_reason",
+        F.when(~is_object, "malformed json").when(unread, "bad amount").otherwise(F.col("reject_reason")),
+    )
+
+
+def split_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Valid events, and refused messages as they came (`key`, `value`) with the reason, to be mended and sent again."""
+    marked = parse_with_message(messages)
+    valid = marked.where(F.col("reject_reason").isNull()).drop("key", "value", "reject_reason")
+    return valid, marked.where(F.col("reject_reason").isNotNull()).select("key", "value", "reject_reason")
+
+
 def split_valid_invalid(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Valid events, and refused ones with the reason. Every event is in exactly one of the two."""
     marked = with_reject_reason(events)

@@ -1,9 +1,9 @@
 """Row number, lag, running sum and moving mean per key, for keys of any size.
 
-A plain window sends all rows of a key to one task. Here rows are windowed within (key, time bucket);
-what a bucket inherits from the ones before it (row count, sum, last value) is worked out on one row
-per bucket and added back. The order inside a key starts with the timestamp the bucket is cut from, so
-the result equals that of the plain window.
+A plain window sends all rows of a key to one task. Here rows are first cut into ranges of (key, order), which
+are even whatever the keys are, and windowed within (key, range); what a range inherits from the ones before it
+(row count, sum, last value) is worked out on one row per key and range and added back. The result equals that
+of the plain window.
 """
 
 from __future__ import annotations
@@ -15,6 +15,23 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions import add_money, less_money, money
+from tidemark.session import fresh_dir
+
+PIECE = "__piece"
+
+
+def in_pieces(df: DataFrame, *order: str, pieces: int | None = None) -> DataFrame:
+    """The rows cut into `pieces` ranges of `order` (as many as shuffle partitions), numbered in `__piece`.
+
+    They are stored in the shared folder: range bounds come from a sample, so working them out twice could
+    place a row twice or nowhere. Only rows equal in all of `order` cannot be told apart.
+    """
+    spark = df.sparkSession
+    n = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(n, *order).withColumn(PIECE, F.spark_partition_id())
+    path = fresh_dir(spark, "pieces")
+    placed.write.parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
 
 
 def with_running(
@@ -24,31 +41,41 @@ def with_running(
     rank: str | None = None,
     lags: Mapping[str, str] | None = None,
     sums: Mapping[str, str] | None = None,
-    bucket: str = "day",
+    pieces: int | None = None,
 ) -> DataFrame:
     """Add row number, previous value and running (exact, decimal) sum per key.
 
-    `order` starts with a timestamp or date column and should identify a row within its key. `lags`
-    and `sums` map new column names to existing ones. Buckets are calendar units of the first order
-    column.
+    `order` should identify a row within its key. `lags` and `sums` map new column names to existing ones.
     """
+    placed = in_pieces(df, *keys, *order, pieces=pieces)
+    return running_in_pieces(placed, keys, order, rank, lags, sums).drop(PIECE)
+
+
+def running_in_pieces(
+    placed: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    rank: str | None = None,
+    lags: Mapping[str, str] | None = None,
+    sums: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """`with_running` on rows that `in_pieces` has cut by `keys` and `order`."""
     lags, sums = dict(lags or {}), dict(sums or {})
     # A struct compares NULL fields as equal, so NULL keys join like any other key.
-    key = F.struct(*[F.col(k) for k in keys], F.date_trunc(bucket, order[0]).alias("__bucket"))
-    rows = df.withColumn("__key", key)
+    rows = placed.withColumn("__key", F.struct(*keys, PIECE))
     position = F.struct(*order)
 
     totals = [F.count(F.lit(1)).alias("__n")]
     totals += [F.sum(money(src)).alias(f"__sum_{out}") for out, src in sums.items()]
     totals += [F.max_by(F.struct(src), position).alias(f"__last_{out}") for out, src in lags.items()]
-    per_bucket = rows.groupBy("__key").agg(*totals)
+    per_piece = rows.groupBy("__key").agg(*totals)
 
-    across = W.partitionBy(*[F.col(f"__key.{k}") for k in keys]).orderBy("__key.__bucket")
+    across = W.partitionBy(*[F.col(f"__key.{k}") for k in keys]).orderBy(f"__key.{PIECE}")
     before = across.rowsBetween(W.unboundedPreceding, -1)
     carried = [F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n")]
     carried += [F.sum(f"__sum_{out}").over(before).alias(f"__sum_{out}") for out in sums]
     carried += [F.lag(f"__last_{out}").over(across).alias(f"__last_{out}") for out in lags]
-    inherited = per_bucket.select("__key", *carried)
+    inherited = per_piece.select("__key", *carried)
 
     inside = W.partitionBy("__key").orderBy(*order)
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -59,7 +86,6 @@ def with_running(
         *[F.lag(src).over(inside).alias(f"__prev_{out}") for out, src in lags.items()],
     )
     joined = local.join(inherited, "__key", "left")
-    out_cols = list(df.columns)
     exprs = []
     if rank:
         exprs.append((F.col("__row") + F.col("__n")).cast("bigint").alias(rank))
@@ -69,7 +95,7 @@ def with_running(
     for out in sums:
         part, past = F.col(f"__part_{out}"), F.col(f"__sum_{out}")
         exprs.append(F.when(past.isNull(), part).when(part.isNull(), past).otherwise(add_money(part, past)).alias(out))
-    return joined.select(*out_cols, *exprs)
+    return joined.select(*placed.columns, *exprs)
 
 
 def moving_average(
@@ -79,8 +105,8 @@ def moving_average(
     value: str,
     n: int = 100,
     out: str = "moving_avg",
-    bucket: str = "day",
     chunk_rows: int = 100_000,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Mean of the last n rows (the current one included) per key.
 
@@ -92,7 +118,7 @@ def moving_average(
         raise ValueError("a chunk must hold at least one full frame")
     known = df.withColumn("__known", F.when(F.col(value).isNull(), 0).otherwise(1))
     summed = with_running(
-        known, keys, order, rank="__rank", sums={"__sum": value, "__count": "__known"}, bucket=bucket
+        known, keys, order, rank="__rank", sums={"__sum": value, "__count": "__known"}, pieces=pieces
     )
     position = F.col("__rank") - 1
     chunk = F.floor(position / chunk_rows).cast("bigint")

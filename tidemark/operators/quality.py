@@ -67,9 +67,14 @@ class RowCount:
 
 @dataclass(frozen=True)
 class Unique:
-    """Fails once per value that occurs more than once; NULL passes."""
+    """Fails once per value that occurs more than once; NULL passes. Several columns are given as "a, b"."""
 
     column: str
+
+    @property
+    def columns(self) -> list[str]:
+        return [c.strip() for c in self.column.split(",")]
+
     name = "unique"
 
 
@@ -104,7 +109,8 @@ def run_table_checks(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFr
         parts.append(totals.select(F.inline(F.array(*rows))))
     for rule in rules:
         if isinstance(rule, Unique):
-            counted = df.where(F.col(rule.column).isNotNull()).groupBy(rule.column).agg(F.count(F.lit(1)).alias("n"))
+            known = df.dropna("any", subset=rule.columns)
+            counted = known.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("n"))
             parts.append(
                 counted.agg(F.count_if(F.col("n") > 1).alias("failures")).select(
                     F.lit(table).alias("table_name"),

@@ -71,7 +71,6 @@ def user_order_windows(orders: DataFrame) -> DataFrame:
         rank="order_rank",
         lags={"prev_amount": "amount"},
         sums={"running_total": "amount"},
-        bucket="month",
     ).select(
         "user_id",
         "order_id",

@@ -162,10 +162,11 @@ def segment_change(
 
     sums = [total(period_a).alias("value_a"), total(period_b).alias("value_b")]
     change = less_money(F.col("value_b"), F.col("value_a"))
-    overall = df.agg(*sums).select(change.alias("change")).scalar()
+    per_segment = df.groupBy(F.col(segment).alias("segment")).agg(*sums)
+    # From the rows per segment, so that the input is read once.
+    overall = per_segment.agg(less_money(money(F.sum("value_b")), money(F.sum("value_a")))).scalar()
     return (
-        df.groupBy(F.col(segment).alias("segment"))
-        .agg(*sums)
+        per_segment
         .select(
             "segment",
             "value_a",

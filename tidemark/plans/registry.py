@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -344,6 +345,35 @@ def growth_accounting_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.growth_accounting(ev.where(F.col("event_name") == "purchase"))
 
 
+@query
+def product_metrics_local(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product metrics by the business's own days."""
+    w = _warehouse(spark, sf_dir)
+    words = w.words
+    return activity.product_metrics(w.stg_events, words.purchase, words.view, words.cart, tz="Asia/Kolkata")
+
+
+@query
+def growth_accounting_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New, retained and resurrected users of each acquisition channel."""
+    w = _warehouse(spark, sf_dir)
+    # Users' days before the join: a user's many events weigh no more than their days.
+    days = activity.user_days(w.stg_events).withColumnRenamed("activity_date", "event_timestamp")
+    channels = w.stg_users.select("user_id", "acquisition_channel")
+    return activity.growth_accounting(days.join(channels, "user_id", "left"), by=["acquisition_channel"])
+
+
+@query
+def metric_query_filtered_each(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of both models, each under its own condition."""
+    return semantic.metric_query(
+        _metric_tables(spark, sf_dir),
+        ["daily_active_users", "order_count"],
+        grain="year",
+        where={"revenue": "currency = 'USD'", "growth_metrics": "dau > 1"},
+    )
+
+
 @query
 def churned_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.churned_users(_warehouse(spark, sf_dir).stg_events)
@@ -600,6 +630,13 @@ def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check_unique(star_schema.events_raw(spark, sf_dir), "event_id", "events_raw")
 
 
+@query
+def check_unique_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rule over several columns: a user is assigned to an experiment once."""
+    assigned = star_schema.experiment_assignments_raw(spark, sf_dir)
+    return quality.check_unique(assigned, "user_id, experiment_id", "experiment_assignments_raw")
+
+
 @query
 def check_between(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check_between(star_schema.orders_raw(spark, sf_dir), "amount", 0, 250000, "orders_raw")
@@ -628,7 +665,8 @@ def check_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared checks on the stored warehouse."""
-    stored = _warehouse(spark, sf_dir).save(fresh_dir(spark, "warehouse"), MODELS)
+    # The checks read whole tables, so folders by date would only cost time.
+    stored = _warehouse(spark, sf_dir).save(fresh_dir(spark, "warehouse"), MODELS, layout={})
     return quality.run_checks(stored, RULES)
 
 
@@ -661,7 +699,7 @@ def row_count_minimums(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline_monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("stg_orders", "stg_users", "fct_revenue", "mart_growth_metrics", "mart_user_retention", "mart_ab_test_results")
     w = _warehouse(spark, sf_dir)
-    return w.monitored(w.save(fresh_dir(spark, "monitored"), names))
+    return w.monitored(w.save(fresh_dir(spark, "monitored"), names, layout={}))
 
 
 # --- History -----------------------------------------------------------------------------------
@@ -841,6 +879,31 @@ def stream_parse_order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_io.run_append(order_events.parse_order_events(_topic(spark, sf_dir, root)), root)
 
 
+def _mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order events as messages; some are cut short, some have an amount that is no number."""
+    messages = order_events.to_keyed_json(star_schema.order_events(spark, sf_dir))
+    text, number = F.col("value").cast("string"), F.col("key").cast("string").cast("bigint")
+    worded = F.regexp_replace(text, '"amount":[^,}]*', '"amount":"free"')
+    sent = F.when(number % 73 == 0, F.substring(text, 1, 20)).when(number % 79 == 0, worded).otherwise(text)
+    return messages.withColumn("value", sent.cast("binary"))
+
+
+@query
+def split_messages_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why messages were refused; their key and value are kept as they came."""
+    refused = order_events.split_messages(_mixed_messages(spark, sf_dir))[1]
+    cut = (F.length("value") <= 20).alias("cut")
+    return refused.select(F.col("key").cast("string").alias("order_id"), "reject_reason", cut)
+
+
+@query
+def stream_split_messages_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = fresh_dir(spark, "stream")
+    stream_io.write_topic(_mixed_messages(spark, sf_dir), f"{root}/topic")
+    refused = stream_ops.run_split_messages(stream_io.stream_source(spark, path=f"{root}/topic"), root)[1]
+    return refused.select(F.col("key").cast("string").alias("order_id"), "reject_reason")
+
+
 @query
 def stream_split_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_dir(spark, "stream")
@@ -898,16 +961,27 @@ def stream_rolling_last_n_avg_by_city(spark: SparkSession, sf_dir: str) -> DataF
 
 @query
 def commit_after_success(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs over one checkpoint: the second takes up where the first ended, nothing comes twice."""
+    """A continuous run whose first batch fails after its output is stored; the next run repeats that batch."""
     root = fresh_dir(spark, "stream")
-    events = order_events.to_keyed_json(star_schema.order_events(spark, sf_dir))
     path, out = f"{root}/topic", f"{root}/out"
-    first = F.pmod(F.xxhash64("key"), F.lit(2)) == 0
-    for part in (first, ~first):
-        stream_io.write_topic(events.where(part), path)
-        stream_io.bounded_run(
-            stream_io.stream_source(spark, path=path), stream_io.append_batches(out), f"{root}/checkpoint"
-        )
+    stream_io.write_topic(order_events.to_keyed_json(star_schema.order_events(spark, sf_dir)), path)
+    write = stream_io.append_batches(out)
+
+    def fails(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        raise RuntimeError("lost after the output was stored")
+
+    messages = stream_io.stream_source(spark, path=path)
+    broken = stream_io.commit_after_success(messages, fails, f"{root}/checkpoint")
+    try:
+        broken.awaitTermination()
+    except StreamingQueryException:
+        pass  # the failure above; nothing is committed
+    running = stream_io.commit_after_success(messages, write, f"{root}/checkpoint")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
     stored = spark.read.schema(schemas.KEYED_MESSAGE).parquet(out)
     return order_events.parse_order_events(stored)
 

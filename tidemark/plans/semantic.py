@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,13 +92,14 @@ def metric_query(
     metrics: Sequence[str],
     group_by: Sequence[str] = (),
     grain: str | None = None,
-    where: str | Column | None = None,
+    where: str | Column | Mapping[str, str | Column] | None = None,
     models: Sequence[SemanticModel] = (REVENUE, GROWTH),
 ) -> DataFrame:
     """Metrics by dimensions and, with `grain`, by period.
 
     Each model is filtered and aggregated on its own in one pass; results of several models meet as
     rows and are merged on the group columns, so NULL groups stay together and nothing is multiplied.
+    `where` holds for every model, or names a condition per model; a model that lacks its columns is an error.
     """
     wanted = [METRICS[name] for name in metrics]
     needed = list(dict.fromkeys(m for metric in wanted for m in metric.measures))
@@ -111,8 +113,13 @@ def metric_query(
         if unknown:
             raise ValueError(f"model {model.name} has no dimension {unknown}")
         rows = tables[model.name]
-        if where is not None:
-            rows = rows.where(where)
+        condition = where.get(model.name) if isinstance(where, Mapping) else where
+        if condition is not None:
+            try:
+                rows = rows.where(condition)
+                rows.schema  # noqa: B018 - resolves the condition
+            except AnalysisException as error:
+                raise ValueError(f"model {model.name} cannot be filtered by {condition}; give one condition per model") from error
         groups = [F.to_date(F.date_trunc(grain, model.time)).alias("period")] if grain else []
         groups += [F.col(d) for d in group_by]
         parts.append(rows.groupBy(*groups).agg(*[m.column().alias(f"__{n}") for n, m in mine.items()]))

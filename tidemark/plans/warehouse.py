@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -14,6 +14,8 @@ from tidemark.operators import activity, cleaning, experiments, funnels, quality
 from tidemark.sinks.writers import write_table
 from tidemark.sources import star_schema
 
+Layout = Mapping[str, tuple[Sequence[str], Sequence[str]]]
+
 
 @dataclass(frozen=True)
 class Vocabulary:
@@ -176,15 +178,24 @@ class Warehouse:
             for df in kept:
                 df.unpersist()
 
-    def save(self, root: str, models: Iterable[str]) -> dict[str, DataFrame]:
-        """Store models as tables, in the given order; later ones read the stored earlier ones."""
-        stored = {}
+    def save(self, root: str, models: Iterable[str], layout: Layout | None = None) -> dict[str, DataFrame]:
+        """Store models as tables, in the given order; later ones read the stored earlier ones.
+
+        `layout` names folder columns and clustering columns per model; by default the fact has a folder per day.
+
+        Saving again to the same root stores new versions; the ones before stay until somebody deletes them.
+        """
+        stored, layout = {}, LAYOUT if layout is None else layout
         for name in models:
-            stored[name] = write_table(getattr(self, name), f"{root}/{name}")
+            folders, clusters = layout.get(name, ((), ()))
+            stored[name] = write_table(getattr(self, name), f"{root}/{name}", folders, clusters)
             self.__dict__[name] = stored[name]
         return stored
 
 
+#: Folder columns and the columns that rows are clustered by, of tables that are read by date.
+LAYOUT: Layout = {"fct_revenue": (("order_date",), ("user_id",))}
+
 MODELS = (
     "stg_orders",
     "stg_users",

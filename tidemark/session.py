@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     # A join followed by an aggregate on the same key keeps its partitioning, which would
     # otherwise stop Spark from splitting a hot key; an extra shuffle is the smaller cost.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # "The last n per key" is cut to n rows in every map task, also for a large n.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     # Session windows are merged inside each map task before the shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
@@ -53,7 +55,7 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
+    """Apply the runtime settings, the time zone included, to a session somebody else built; they stay set."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark

@@ -2,18 +2,37 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.sources.readers import list_files
 
 
-def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Replace a table and return what was stored."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
+    """Replace a table and return what was stored.
+
+    Each version has a folder of its own, and a row in the table `versions` names it once it is complete. So a
+    failed write leaves the version before it, and the rows may come from the very table they replace.
+    """
+    spark, version = df.sparkSession, uuid.uuid4().hex
+    if partition_by:
+        write_partitioned(df, f"{path}/{version}", partition_by, sort_by, mode="errorifexists")
+    else:
+        df.write.parquet(f"{path}/{version}")
+    done = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("stored_at"))
+    done.coalesce(1).write.mode("append").parquet(f"{path}/versions")
+    return spark.read.schema(df.schema).parquet(f"{path}/{version}").select(*df.columns)
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The latest complete version of a table that `write_table` stored."""
+    version = spark.read.parquet(f"{path}/versions").agg(F.max_by("version", "stored_at").alias("v")).first().v
+    stored = spark.read.schema(schema) if schema is not None else spark.read
+    return stored.parquet(f"{path}/{version}")
 
 
 def write_snappy_parquet(df: DataFrame, path: str) -> None:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.order_events import last_n, mean_of_last, with_reject_reason
+from tidemark.operators.order_events import last_n, mean_of_last, parse_with_message, with_reject_reason
 from tidemark.sources.readers import read_parquet_prefix
 from tidemark.streaming.io import batch_folder, bounded_run, read_version, store_version
 
@@ -96,9 +98,17 @@ def stream_daily_metrics(
     )
 
 
-def run_split(events: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+def run_split_messages(messages: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """Valid events, and refused messages with key, value and reason, of a stream of messages."""
+    valid, refused = run_split(messages, root, parse_with_message)
+    return valid.drop("key", "value"), refused.select("key", "value", "reject_reason")
+
+
+def run_split(
+    events: DataFrame, root: str, mark: Callable[[DataFrame], DataFrame] = with_reject_reason
+) -> tuple[DataFrame, DataFrame]:
     """Store valid and refused events of a stream in one write per batch; returns both tables."""
-    out, marked = f"{root}/out", with_reject_reason(events)
+    out, marked = f"{root}/out", mark(events)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         routed = batch.withColumn("valid", F.col("reject_reason").isNull())
@@ -108,8 +118,8 @@ def run_split(events: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
     folders = [T.StructField("batch_id", T.LongType()), T.StructField("valid", T.BooleanType())]
     schema = T.StructType([*marked.schema.fields, *folders])
     stored = events.sparkSession.read.schema(schema).parquet(out)
-    valid = stored.where(F.col("valid")).select(*events.columns)
-    return valid, stored.where(~F.col("valid")).select(*events.columns, "reject_reason")
+    columns = [c for c in marked.columns if c != "reject_reason"]
+    return stored.where(F.col("valid")).select(*columns), stored.where(~F.col("valid")).select(*columns, "reject_reason")
 
 
 def run_last_n(events: DataFrame, root: str, n: int = 100, key: str | None = None) -> DataFrame:
