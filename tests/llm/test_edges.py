@@ -92,6 +92,22 @@ def test_passage_inside_another_sentence(awkward):
     assert out[9].n_removed > 0.8 * len(shared)
 
 
+def test_rows_that_share_a_key_meet_only_their_own_sets(spark, monkeypatch):
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join([*words, f"x{i}"]) for i in range(60)]
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(7, t) for t in texts[:5]], "doc_id long, text string")
+    frames, whole = [], jaccard._sets
+
+    def watched(*args):
+        frames.append(whole(*args))
+        return frames[-1]
+
+    monkeypatch.setattr(jaccard, "_sets", watched)
+    got = jaccard.near_duplicates(docs).collect()
+    assert frames[0].count() == 60  # not 60 times 60
+    assert {r.class_id for r in got} == {7} and {r.n_texts for r in got} == {59} and {r.n_links for r in got} == {64}
+
+
 def test_large_blocks_are_split_exactly(spark, monkeypatch):
     rng = np.random.default_rng(3)
     base = [f"w{i}" for i in range(150)]

@@ -116,7 +116,10 @@ def signatures(docs: DataFrame, bands: Bands, text: str = "text", key: str = "do
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, text: str, key: str, n: int) -> DataFrame:
-    """(set_id, grams) of the wanted sets, cut again from the text of one document each: (key, set_id)."""
+    """(set_id, grams) of the wanted sets, cut again from the text of one document each: (key, version, set_id).
+
+    The hash of the text is part of the join, so rows that share a key do not each meet all sets of that key.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
@@ -124,12 +127,13 @@ def _sets(docs: DataFrame, wanted: DataFrame, text: str, key: str, n: int) -> Da
             rows = []
             for t, set_id in zip(b["text"], b["set_id"]):
                 s = shingles(t, hashes, n)
-                if _digest(s) == bytes(set_id):  # rows may repeat a key with another text
+                if _digest(s) == bytes(set_id):  # two texts of a key might share their hash
                     rows.append((set_id, s.tobytes()))
             yield pd.DataFrame(rows, columns=["set_id", "grams"])
 
-    picked = docs.select(F.col(key).cast("long").alias("_k"), text_of(text).alias("text"))
-    joined = picked.join(wanted, picked["_k"].eqNullSafe(wanted["key"])).select("text", "set_id")
+    picked = docs.select(F.col(key).cast("long").alias("_k"), F.xxhash64(text_of(text)).alias("_v"), text_of(text).alias("text"))
+    same = picked["_k"].eqNullSafe(wanted["key"]) & (picked["_v"] == wanted["version"])
+    joined = picked.join(wanted, same).select("text", "set_id")
     return joined.mapInPandas(run, "set_id binary, grams binary")
 
 
@@ -237,10 +241,11 @@ def near_duplicates(
     """
     bands = bands_for(recall, similarity)
     signed = store(signatures(docs, bands, text, key, n), "signatures")
+    least = F.min(F.struct(F.col("key").isNull().alias("late"), "key", "version")).alias("least")
     sets = signed.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(
-        F.min("key").alias("key"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("bands").alias("bands")
+        least, F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("bands").alias("bands")
     )
-    sets = store(sets, "sets")
+    sets = store(sets.select("set_id", "least.key", "least.version", "copies", "size", "bands"), "sets")
     banded = sets.select("set_id", "size", F.posexplode("bands").alias("band", "bucket"))
     buckets = banded.groupBy("band", "bucket").agg(
         F.count(F.lit(1)).alias("n"), F.sum("size").alias("grams"),
@@ -253,7 +258,7 @@ def near_duplicates(
     member = banded.drop("size").join(buckets, ["band", "bucket"])
     member = member.withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
     member = store(member, "members")
-    wanted = member.select("set_id").distinct().join(sets.select("set_id", "key"), "set_id")
+    wanted = member.select("set_id").distinct().join(sets.select("set_id", "key", "version"), "set_id")
     grams = _sets(docs, wanted, text, key, n).dropDuplicates(["set_id"])
     grams = grams.join(sets.select("set_id", "copies", "bands"), "set_id")
     met = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
