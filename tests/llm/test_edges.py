@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import collections
+import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tests.llm.conftest import LEXICON, prose
 from tests.llm.test_queries import brute_bytes, brute_links
 from tidemark.llm import compression, host_rules, jaccard, katz, licenses, mixing, multiprobe, packing, passages, repeats
 from tidemark.llm.common import store
@@ -210,3 +212,51 @@ def test_long_chains_become_one_component(spark):
 def test_bands_keep_the_recall():
     bands = jaccard.bands_for()
     assert bands.recall(jaccard.SIMILARITY) >= jaccard.RECALL and bands.count * bands.rows <= 128
+
+
+def later_words(texts, run=50):
+    """By document, the words (places) of all runs of `run` words that occur earlier."""
+    seen, out = set(), {}
+    for k in sorted(texts):
+        words = texts[k].lower().split()
+        out[k] = set()
+        for i in range(len(words) - run + 1):
+            unit = tuple(words[i : i + run])
+            if unit in seen:
+                out[k].update(range(i, i + run))
+            seen.add(unit)
+    return out
+
+
+def test_runs_of_50_words_are_found_whole(spark):
+    rng = random.Random(8)
+    bare = lambda n: " ".join(rng.choice(LEXICON) for _ in range(n))
+    shared = [bare(50), bare(63), prose(rng, 52), prose(rng, 90), prose(rng, 50).replace(".", "").lower()]
+    texts = {}
+    for i in range(40):
+        parts = [make(rng.randint(3, 60)) for make in (bare, lambda n: prose(rng, n))]
+        parts.insert(rng.randint(0, 2), shared[i % 5])
+        texts[i] = rng.choice([" ", "  \n"]).join(parts)
+    texts[40] = "word " * 200
+    long = shared[3].split()  # Parts of it, so that places of one gram agree in some words only.
+    texts |= {41 + i: " ".join(long[i : i + 60]) + " " + bare(9) for i in range(0, 30, 7)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.removed for r in passages.remove_repeats(docs.repartition(3)).collect()}
+    want = later_words(texts)
+    assert sum(map(len, want.values())) > 1500
+    for k, t in texts.items():
+        gone = {i for i, m in enumerate(passages.WORD.finditer(t)) if any(s.start <= m.start() and m.end() <= s.stop for s in got[k])}
+        assert want[k] <= gone, k
+        starts = {}
+        for j in sorted(texts):
+            if j > k:
+                break
+            for start, stop, words in passages.passage_units(texts[j]):
+                starts.setdefault(words, (j, start))
+        units = [(a, b) for a, b, w in passages.passage_units(t) if starts[w] != (k, a)]
+        assert gone == {i for i, m in enumerate(passages.WORD.finditer(t)) if any(a <= m.start() and m.end() <= b for a, b in units)}
+
+
+def test_each_sentence_gives_its_end_too():
+    ten = "one two three four five six seven eight nine ten."
+    assert {w for _, _, w in passages.passage_units(ten)} == {ten, ten.split(" ", 2)[2]}

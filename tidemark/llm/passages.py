@@ -1,4 +1,4 @@
-"""Passage dedup: hashed sentences and sentence ends, of which only the earliest occurrence stays."""
+"""Passage dedup: hashed sentences, sentence ends and runs of 50 words, of which only the earliest occurrence stays."""
 
 from __future__ import annotations
 
@@ -13,14 +13,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import store, text_of, unused
+from tidemark.llm.repeats import Grams, sliding_min
 
 MIN_WORDS = 8
+#: Every run of so many words is a unit, wherever it starts.
+RUN = 50
+#: Words that hash a place, the smallest of which in a run is the run's anchor.
+GRAM = 16
 #: Longer sentences are also cut after words that a hash picks, one in `PICK`, at this many words or more.
 LONG, PART, PICK = 24, 12, 6
 #: A sentence: up to a full stop, exclamation or question mark before white space, or to the end of the line.
 SENTENCE = re.compile(r"[^\n]*?[.!?]+(?=\s|$)|[^\n]+")
 WORD = re.compile(r"\S+")
 UNITS = "key long, version int, start int, stop int, digest long, check int"
+ANCHORS = "key long, version int, start int, stop int, lo int, hi int, gram long, whole long"
+#: Hashes of words kept by a Python worker.
+CACHE_WORDS = 500_000
 NO_KEY = 2**63 - 1
 #: Texts handled at a time by a Python worker.
 TEXTS = 1000
@@ -41,11 +49,20 @@ def _parts(start: int, raw: str) -> Iterator[tuple[int, str]]:
 def passage_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, str]]:
     """(start, stop, normalised text) of the units of a text.
 
-    Each sentence of more than `min_words` words is a unit. At the end of each sentence that is shorter, or half
-    as long again, its last `min_words` words are one, which may reach into earlier sentences. So a passage is
-    found from an early sentence end on, also where it starts within another sentence.
+    Each sentence of more than `min_words` words is a unit. At the end of each sentence its last `min_words`
+    words are one, which may reach into earlier sentences. Each run of `RUN` words is one, so a passage of so
+    many words is found from its first word to its last, wherever it starts and whatever marks it has.
     Normalised: lower case, single spaces.
     """
+    yield from sentence_units(text, min_words)
+    places = [m.span() for m in WORD.finditer(text)]
+    norm = text.lower().split()
+    for i in range(len(norm) - RUN + 1):
+        yield places[i][0], places[i + RUN - 1][1], " ".join(norm[i : i + RUN])
+
+
+def sentence_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, str]]:
+    """The units of `passage_units` that end with a sentence, or a piece of a long one."""
     starts: list[int] = []
     raws: list[str] = []
     words: list[list[str]] = []
@@ -63,8 +80,6 @@ def passage_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int,
             stop = starts[last] + len(short)
             if len(words[last]) > min_words:
                 yield starts[last], stop, " ".join(words[last])
-                if len(words[last]) <= 1.5 * min_words:
-                    continue
             need, tail, j = min_words, [], last
             while j >= 0 and len(words[j]) < need:
                 tail, need, j = words[j] + tail, need - len(words[j]), j - 1
@@ -84,14 +99,14 @@ def version(text: Column) -> Column:
 
 
 def units(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per unit of every whole text; digests have 96 bits."""
+    """One row per sentence unit of every whole text; digests have 96 bits."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in (x.iloc[i : i + TEXTS] for x in batches for i in range(0, len(x), TEXTS)):
             digests, starts, stops, sizes = [], [], [], []
             for t in b["text"]:
                 before = len(starts)
-                for start, stop, words in passage_units(t, min_words):
+                for start, stop, words in sentence_units(t, min_words):
                     starts.append(start)
                     stops.append(stop)
                     digests.append(xxhash.xxh3_128_digest(words.encode("utf-8", "replace")))
@@ -106,27 +121,148 @@ def units(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: i
                 }
             )
 
-    picked = docs.select(F.col(key).cast("long").alias("key"), version(text_of(text)).alias("version"), text_of(text).alias("text"))
-    return picked.mapInPandas(run, UNITS)
+    return _picked(docs, text, key).mapInPandas(run, UNITS)
 
 
-def removed_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """(key, version, spans): character spans of all units that occur earlier, merged, per text that has any.
+def _picked(docs: DataFrame, text: str, key: str) -> DataFrame:
+    return docs.select(F.col(key).cast("long").alias("key"), version(text_of(text)).alias("version"), text_of(text).alias("text"))
 
-    Earlier is by (key, version, place), NULL keys last; `version` is a hash of the text, so rows that share
-    a key are told apart, and equal rows count as one document. The earliest occurrence of a digest forms in
-    the map tasks first, so a passage that a third of all texts share is one row per task; its join back is
-    split by Spark where it is skewed.
+
+class _WordHashes(dict):
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[word] = h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace"))
+        return h
+
+
+def _hashed(text: str, known: _WordHashes) -> np.ndarray:
+    return np.array([known[w] for w in text.lower().split()], dtype=np.uint64)
+
+
+def _other(x: np.ndarray) -> np.ndarray:
+    """A second hash of each word, a one-to-one function of the first."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _rows(kind: str, parts: list[tuple], keys: list, versions: list, sizes: list[int]) -> pd.DataFrame:
+    """Columns of arrays, one tuple of them per text, as rows with the text's key and version."""
+    names = [c.split()[0] for c in kind.split(", ")][2:]
+    cols = zip(*parts) if parts else [[np.zeros(0, dtype=np.int64)] for _ in names]
+    at = np.repeat(np.arange(len(sizes)), sizes)
+    frame = {"key": pd.array(keys, dtype="Int64")[at], "version": np.array(versions, dtype=np.int64)[at]}
+    return pd.DataFrame(frame | {n: np.concatenate(c) for n, c in zip(names, cols)})
+
+
+def run_anchors(picked: DataFrame) -> DataFrame:
+    """One row per anchor: the runs that start at words lo..hi of a text have the same smallest gram.
+
+    Equal runs have their anchor at equal distance. `gram` hashes the anchor's words and `whole` all words of
+    the runs and where the anchor is among them; start..stop are the characters that the runs cover.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, grams, wholes = _WordHashes(), Grams(GRAM), Grams(1)
+        for b in (x.iloc[i : i + TEXTS] for x in batches for i in range(0, len(x), TEXTS)):
+            parts, keys, versions, sizes = [], [], [], []
+            for k, v, t in zip(b["key"].astype("Int64"), b["version"], b["text"]):
+                words = _hashed(t, known)
+                n = len(words) - RUN + 1
+                if n < 1:
+                    continue
+                hashes = grams(words)
+                packed = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
+                at = (sliding_min(packed, RUN - GRAM + 1)[:n] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                lo = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+                hi, at = np.append(lo[1:], n) - 1, at[lo]
+                other = _other(words)
+                wholes(other)  # Makes its tables of powers long enough.
+                sums = np.concatenate([[np.uint64(0)], np.cumsum((other + np.uint64(1)) * wholes.up[: len(other)])])
+                whole = _other((sums[hi + RUN] - sums[lo]) * wholes.down[lo] + ((at - lo) * RUN + hi - lo).astype(np.uint64))
+                spans = np.array([m.span() for m in WORD.finditer(t)], dtype=np.int32)
+                parts.append((spans[lo, 0], spans[hi + RUN - 1, 1], lo, hi, hashes[at].view(np.int64), whole.view(np.int64)))
+                keys.append(k)
+                versions.append(v)
+                sizes.append(len(lo))
+            yield _rows(ANCHORS, parts, keys, versions, sizes)
+
+    return picked.mapInPandas(run, ANCHORS)
+
+
+def run_units(picked: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One row per run that starts at a word of the wanted ranges (key, version, lo, hi)."""
+    lists = wanted.groupBy("key", "version").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges")).toDF("_k", "_v", "ranges")
+    joined = picked.join(lists, F.col("key").eqNullSafe(F.col("_k")) & (F.col("version") == F.col("_v"))).drop("_k", "_v")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, runs = _WordHashes(), Grams(RUN)
+        for b in (x.iloc[i : i + TEXTS] for x in batches for i in range(0, len(x), TEXTS)):
+            parts, keys, versions, sizes = [], [], [], []
+            for k, v, t, ranges in zip(b["key"].astype("Int64"), b["version"], b["text"], b["ranges"]):
+                words = _hashed(t, known)
+                at = np.concatenate([np.arange(r["lo"], r["hi"] + 1) for r in ranges])
+                spans = np.array([m.span() for m in WORD.finditer(t)], dtype=np.int32)
+                digest, check = runs(words)[at].view(np.int64), runs(_other(words))[at].astype(np.uint32).view(np.int32)
+                parts.append((spans[at, 0], spans[at + RUN - 1, 1], digest, check))
+                keys.append(k)
+                versions.append(v)
+                sizes.append(len(at))
+            yield _rows(UNITS, parts, keys, versions, sizes)
+
+    return joined.mapInPandas(run, UNITS)
+
+
+def _place() -> Column:
+    return F.struct(F.coalesce("key", F.lit(NO_KEY)).alias("key"), "version", "start")
+
+
+def repeated_runs(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, version, start, stop) of runs of `RUN` words, or several that overlap, that occur earlier.
+
+    Runs alone with their gram occur once. Where anchors agree in `whole`, all runs of the later ones occur
+    earlier, and the first stands for them; only where a gram has several wholes are runs compared singly.
     """
-    found = units(docs, text, key, min_words)
-    place = F.struct(F.coalesce("key", F.lit(NO_KEY)).alias("key"), "version", "start")
-    firsts = found.groupBy("digest", "check").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    picked = _picked(docs, text, key)
+    found = store(run_anchors(picked), "run-anchors")
+    grams = found.groupBy("gram").agg(F.min(_place()).alias("_a"), F.max(_place()).alias("_z"), F.min("whole").alias("_w"), F.max("whole").alias("_x"))
+    grams = grams.filter(F.col("_a") != F.col("_z")).select("gram", (F.col("_w") != F.col("_x")).alias("mixed"))
+    repeated = store(found.join(store(grams, "repeated-grams"), "gram"), "repeated-anchors")
+    firsts = repeated.groupBy("gram", "whole").agg(F.min(_place()).alias("first")).toDF("_g", "_w", "first")
+    firsts = store(firsts, "first-anchors")
+    marked = repeated.join(firsts, (F.col("gram") == F.col("_g")) & (F.col("whole") == F.col("_w")))
+    cover = ["key", "version", "start", "stop"]
+    settled = marked.filter(F.col("first") != _place()).select(*cover)
+    wanted = marked.filter((F.col("first") == _place()) & F.col("mixed"))
+    compared = _later(store(run_units(picked, wanted), "runs"))
+    return settled.unionByName(compared.select(*cover))
+
+
+def _later(found: DataFrame) -> DataFrame:
+    """The units that occur earlier.
+
+    The earliest occurrence of a digest forms in the map tasks first, so a passage that a third of all texts
+    share is one row per task; its join back is split by Spark where it is skewed.
+    """
+    firsts = found.groupBy("digest", "check").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = firsts.filter("n > 1").select(F.col("digest").alias("_d"), F.col("check").alias("_c"), "first")
     # Stored, so that both sides of the join are read by a shuffle of their own and Spark can split a hot digest.
     firsts = store(firsts, "repeated")
     again = found.join(firsts, (F.col("digest") == F.col("_d")) & (F.col("check") == F.col("_c")))
-    again = again.filter(F.col("first") != place)
-    spans = F.sort_array(F.collect_list(F.struct("start", "stop")))
+    return again.filter(F.col("first") != _place())
+
+
+def removed_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
+    """(key, version, spans): character spans of all units that occur earlier, merged, per text that has any.
+
+    Earlier is by (key, version, place), NULL keys last; `version` is a hash of the text, so rows that share
+    a key are told apart, and equal rows count as one document.
+    """
+    cover = ["key", "version", "start", "stop"]
+    runs = store(repeated_runs(docs, text, key), "repeated-runs")
+    again = _later(units(docs, text, key, min_words)).select(*cover).unionByName(runs)
+    spans = F.sort_array(F.collect_set(F.struct("start", "stop")))
     return again.groupBy("key", "version").agg(_merge(spans).alias("spans"))
 
 
@@ -148,8 +284,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", min
     """All rows and columns of `docs`, the text without its repeated passages, plus `removed` and `n_removed`.
 
     `removed` holds the spans (start, stop) in characters of the original text, ascending; `n_removed` their
-    total length. A passage is found from the first sentence end that has `min_words` of its words before it up
-    to its last sentence end; see `passage_units`.
+    total length. A passage of `RUN` words or more is found from its first word to its last; of a shorter one what
+    lies between sentence ends is, see `passage_units`. Passages may overlap: of one word said over and over, or
+    of any period, what stays is the first period.
     NULL, empty and shorter texts stay as they are, with no spans. Rows with equal key and text are one
     document: the same is removed from each. Columns of `docs` named `removed` or `n_removed` are replaced.
     """
