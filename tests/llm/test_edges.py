@@ -260,3 +260,10 @@ def test_runs_of_50_words_are_found_whole(spark):
 def test_each_sentence_gives_its_end_too():
     ten = "one two three four five six seven eight nine ten."
     assert {w for _, _, w in passages.passage_units(ten)} == {ten, ten.split(" ", 2)[2]}
+
+
+def test_versions_tell_texts_apart_by_64_bits(spark):
+    docs = spark.createDataFrame([(None, f"text {i}") for i in range(200_000)], "doc_id long, text string")
+    assert dict(docs.select(passages.version(F.col("text")).alias("v")).dtypes)["v"] == "bigint"
+    assert docs.select(passages.version(F.col("text"))).distinct().count() == 200_000
+    assert dict(passages.removed_spans(docs.limit(1)).dtypes)["version"] == "bigint"

@@ -25,8 +25,8 @@ LONG, PART, PICK = 24, 12, 6
 #: A sentence: up to a full stop, exclamation or question mark before white space, or to the end of the line.
 SENTENCE = re.compile(r"[^\n]*?[.!?]+(?=\s|$)|[^\n]+")
 WORD = re.compile(r"\S+")
-UNITS = "key long, version int, start int, stop int, digest long, check int"
-ANCHORS = "key long, version int, start int, stop int, lo int, hi int, gram long, whole long"
+UNITS = "key long, version long, start int, stop int, digest long, check int"
+ANCHORS = "key long, version long, start int, stop int, lo int, hi int, gram long, whole long"
 #: Hashes of words kept by a Python worker.
 CACHE_WORDS = 500_000
 NO_KEY = 2**63 - 1
@@ -95,7 +95,7 @@ def sentence_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int,
 
 def version(text: Column) -> Column:
     """A hash that tells texts with one key apart."""
-    return F.hash(F.xxhash64(text))
+    return F.xxhash64(text)
 
 
 def units(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
