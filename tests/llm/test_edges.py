@@ -267,3 +267,20 @@ def test_versions_tell_texts_apart_by_64_bits(spark):
     assert dict(docs.select(passages.version(F.col("text")).alias("v")).dtypes)["v"] == "bigint"
     assert docs.select(passages.version(F.col("text"))).distinct().count() == 200_000
     assert dict(passages.removed_spans(docs.limit(1)).dtypes)["version"] == "bigint"
+
+
+def test_hot_words_come_from_exact_counts(spark, monkeypatch):
+    # 3,000 copies of one text, and a word that is frequent in the others only.
+    rows = [(i, "same old text") for i in range(3000)] + [(i, f"often a{i} b{i} c{i} often") for i in range(3000, 4000)]
+    rows += [(i, "rare " * 400) for i in range(4000, 4001)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    train = F.col("doc_id") % 2 == 0
+    whole = {r.doc_id: (r.n_known, round(r.score, 9)) for r in katz.score(docs, train).withColumnRenamed("key", "doc_id").collect()}
+    monkeypatch.setattr(katz, "BLOCK_TOKENS", 8000)
+    hashed = lambda w: int(np.array([katz.WordHashes()[w]], dtype=np.uint64).view(np.int64)[0])
+    counts, trained, everything = katz.hot_counts(docs, "text", train)
+    end = int(np.array([katz.END], dtype=np.uint64).view(np.int64)[0])
+    assert counts == {hashed(b"same"): 1500, hashed(b"old"): 1500, hashed(b"text"): 1500, hashed(b"often"): 1000, end: 2001}
+    assert (trained, everything) == (6000 + 3000 + 401, 12000 + 6000 + 401)
+    parts = {r.doc_id: (r.n_known, round(r.score, 9)) for r in katz.score(docs, train).withColumnRenamed("key", "doc_id").collect()}
+    assert parts == whole

@@ -27,8 +27,7 @@ K = 5
 END = np.uint64(0x5E9D0FE0D5E9D0FE)
 CHUNK_TOKENS = 5_000_000
 BLOCK_TOKENS = 2_000_000
-SAMPLE = 1000
-HOT_SHARE = 0.004
+HOT_PART = 8
 CACHE_WORDS = 500_000
 BLOCK = "block int, chunk long, w2 binary, n2 binary, w1 binary, i1 binary, doc binary, train binary, ids binary, known binary, sizes binary"
 COUNTS = [f"n{i}" for i in range(12)]
@@ -55,47 +54,41 @@ def spread(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def hot_words(docs: DataFrame, text: str) -> list[int]:
-    """Hashes of the words with at least `HOT_SHARE` of the tokens of a sample of `SAMPLE` texts: 250 at most.
+def word_counts(docs: DataFrame, text: str, train: Column) -> DataFrame:
+    """(h, n, trained): hash, tokens and training tokens of every word and of the end, over all texts."""
 
-    They only decide how work is dealt out, so any sample gives the same scores.
-    """
-    rows = docs.select(F.md5(text_of(text)).alias("o"), text_of(text).alias("t")).orderBy("o").limit(SAMPLE)
-    hashes = WordHashes()
-    counts = rows.select("t").mapInPandas(
-        lambda batches: (
-            pd.DataFrame({"h": np.array([hashes[w] for t in b["t"] for w in words_of(t)] + [int(END)] * len(b), dtype=np.uint64).view(np.int64)})
-            for b in batches
-        ),
-        "h long",
-    ).groupBy("h").count()
-    counts = store(counts, "sample-words")
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    return [r["h"] for r in counts.filter(F.col("count") >= HOT_SHARE * total).collect()]
-
-
-def hot_counts(docs: DataFrame, text: str, train: Column, hot: list[int]) -> tuple[dict[int, int], int, int]:
-    """Training counts of the hot words, all training tokens, and all tokens."""
+    def counted(held: list[np.ndarray], used: list[np.ndarray]) -> pd.DataFrame:
+        h, at = np.unique(np.concatenate(held), return_inverse=True)
+        flags = np.concatenate(used)
+        return pd.DataFrame({"h": h.view(np.int64), "n": np.bincount(at, minlength=len(h)), "trained": np.bincount(at[flags], minlength=len(h))})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, found, tokens, everything = WordHashes(), dict.fromkeys(np.array(hot, dtype=np.int64).view(np.uint64).tolist(), 0), 0, 0
+        hashes, held, flags, tokens = WordHashes(), [], [], 0
         for b in batches:
             for t, used in zip(b["text"], b["train"]):
                 words = words_of(t)
-                everything += len(words) + 1
-                if used:
-                    tokens += len(words) + 1
-                    for h in filter(found.__contains__, map(hashes.__getitem__, words)):
-                        found[h] += 1
-                    if int(END) in found:
-                        found[int(END)] += 1
-        yield pd.DataFrame({"h": np.array([*found], dtype=np.uint64).view(np.int64), "n": [*found.values()], "all": 0})
-        yield pd.DataFrame({"h": [0], "n": [tokens], "all": [everything]})
-
-    picked = docs.select(text_of(text).alias("text"), train.alias("train")).mapInPandas(run, "h long, n long, all long")
-    rows = picked.groupBy("h", (F.col("all") > 0).alias("total")).agg(F.sum("n").alias("n"), F.sum("all").alias("all")).collect()
-    counts = {r["h"]: r["n"] for r in rows if not r["total"]}
-    return {h: counts.get(h, 0) for h in hot}, sum(r["n"] for r in rows if r["total"]), sum(r["all"] for r in rows if r["total"])
+                held.append(np.fromiter([*map(hashes.__getitem__, words), int(END)], dtype=np.uint64, count=len(words) + 1))
+                flags.append(np.full(len(words) + 1, bool(used)))
+                tokens += len(words) + 1
+                if tokens >= BLOCK_TOKENS:
+                    yield counted(held, flags)
+                    held, flags, tokens = [], [], 0
+        if held:
+            yield counted(held, flags)
+
+    picked = docs.select(text_of(text).alias("text"), train.alias("train")).mapInPandas(run, "h long, n long, trained long")
+    return picked.groupBy("h").agg(F.sum("n").alias("n"), F.sum("trained").alias("trained"))
+
+
+def hot_counts(docs: DataFrame, text: str, train: Column) -> tuple[dict[int, int], int, int]:
+    """Training counts of the hot words by hash, all training tokens, and all tokens.
+
+    Hot is each word with a `HOT_PART`th of a block of tokens, by exact counts: at most `HOT_PART` words a block.
+    """
+    counts = store(word_counts(docs, text, train), "word-counts")
+    total = counts.agg(F.sum("trained").alias("trained"), F.sum("n").alias("n")).first()
+    hot = counts.filter(F.col("n") * HOT_PART >= BLOCK_TOKENS).collect()
+    return {r["h"]: r["trained"] for r in hot}, total["trained"] or 0, total["n"] or 0
 
 
 def _narrow(x: np.ndarray) -> bytes:
@@ -264,8 +257,8 @@ def score(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_id
     The counts (a block of words per task) and the context weights are stored in tables of the shared folder.
     """
     train = F.coalesce(train, F.lit(False))
-    hot = hot_words(docs, text)
-    hot_count, n_train, n_all = hot_counts(docs, text, train, hot)
+    hot_count, n_train, n_all = hot_counts(docs, text, train)
+    hot = [*hot_count]
     blocks = n_all // BLOCK_TOKENS + 1
     spark = docs.sparkSession
     dealt = token_blocks(docs, text, key, train, hot, blocks).repartition(blocks, "block")
