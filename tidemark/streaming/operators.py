@@ -39,15 +39,16 @@ def run_dedup(stream: DataFrame, root: str, key: str = "event_id") -> DataFrame:
     """Run to the end of the available data and return the first delivery of every event, however late.
 
     Each batch drops its own copies, then the events of earlier batches, whose keys are read from what is
-    stored. A repeated batch replaces itself and does not see itself. Events without a key are kept once a batch.
+    stored. A repeated batch replaces itself and does not see itself. Events without a key are no copies: all stay.
     """
     out = f"{root}/out"
     full = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stored = read_parquet_prefix(batch.sparkSession, out, "", full).where(F.col("batch_id") < batch_id)
-        fresh = batch.dropDuplicates([key]).join(stored.select(key), key, "left_anti")
-        fresh.select(*stream.columns).write.mode("overwrite").parquet(batch_folder(out, batch_id))
+        keyed = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
+        fresh = keyed.join(stored.select(key), key, "left_anti").select(*stream.columns)
+        fresh.unionByName(batch.where(F.col(key).isNull()).select(*stream.columns)).write.mode("overwrite").parquet(batch_folder(out, batch_id))
 
     bounded_run(stream, write, f"{root}/checkpoint")
     return read_parquet_prefix(stream.sparkSession, out, "", full).select(*stream.columns)
