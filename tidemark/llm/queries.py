@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import compression, host_rules, jaccard, katz, licenses, mixing, multiprobe, packing, passages, repeats
+from tidemark.llm import compression, exact, host_rules, jaccard, katz, licenses, mixing, multiprobe, packing, passages, repeats
 from tidemark.llm.common import store, table
 
 TOKENIZER = os.environ.get("PACKING_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
@@ -80,6 +80,12 @@ def op10_maximal_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", gone, runs, F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact.find_copies(table(spark, sf_dir, "documents"))
+    digest = F.lower(F.hex("digest")).alias("text_sha256")
+    return found.select(F.col("key").alias("doc_id"), F.col("keep").alias("keep_id"), "group_size", "kept", digest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz_backoff": op1_katz_backoff,
     "op2_multiprobe_neighbours": op2_multiprobe_neighbours,
@@ -91,4 +97,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_mix_sources": op9_mix_sources,
     "op10_maximal_repeats": op10_maximal_repeats,
+    "op11_exact_dedup": op11_exact_dedup,
 }

@@ -69,4 +69,15 @@ copied as (
 select doc_id, size, source_size, target, copies * size as taken, copies from copied
 """
 
-SQL: dict[str, str] = {"op6_host_rules": HOST_RULES, "op9_mix_sources": MIX_SOURCES}
+EXACT_DEDUP = r"""
+with prints as (
+  select row_number() over () as rid, doc_id,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256
+  from documents
+)
+select doc_id, first_value(doc_id) over o as keep_id, count(*) over (partition by text_sha256)::bigint as group_size,
+  row_number() over o = 1 as kept, text_sha256
+from prints window o as (partition by text_sha256 order by doc_id nulls last, rid)
+"""
+
+SQL: dict[str, str] = {"op6_host_rules": HOST_RULES, "op9_mix_sources": MIX_SOURCES, "op11_exact_dedup": EXACT_DEDUP}
