@@ -80,4 +80,49 @@ select doc_id, first_value(doc_id) over o as keep_id, count(*) over (partition b
 from prints window o as (partition by text_sha256 order by doc_id nulls last, rid)
 """
 
-SQL: dict[str, str] = {"op6_host_rules": HOST_RULES, "op9_mix_sources": MIX_SOURCES, "op11_exact_dedup": EXACT_DEDUP}
+COLLOCATIONS = r"""
+with plain as (
+  select row_number() over () as rid, coalesce(lang, 'und') as lang,
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]') as pieces
+  from documents
+),
+pieces as (select rid, lang, unnest(pieces) as piece, unnest(range(len(pieces))) as p from plain),
+words as (
+  select rid, lang, p, unnest(w) as w, unnest(range(len(w))) as i
+  from (select *, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces)
+),
+ahead as (
+  select lang, w as w1, lead(w, 1) over o as w2, lead(w, 2) over o as w3, lead(w, 3) over o as w4
+  from words window o as (partition by rid, p order by i)
+),
+counted as (
+  select lang, 1 as k, w1 as phrase, count(*) as f from ahead group by all
+  union all select lang, 2, w1 || ' ' || w2 as phrase, count(*) from ahead where w2 is not null group by all
+  union all select lang, 3, w1 || ' ' || w2 || ' ' || w3 as phrase, count(*) from ahead where w3 is not null group by all
+  union all select lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 as phrase, count(*) from ahead where w4 is not null group by all
+),
+totals as (select lang, sum(f)::bigint as n from counted where k = 1 group by lang),
+often as (select *, string_split(phrase, ' ') as ws from counted where f >= 30),
+candidates as (select * from often where k >= 2),
+cuts as (
+  select c.lang, c.phrase, c.f as a, c.cut, x.f as l, y.f as r, ((2000000::hugeint * c.f) // (x.f + y.f))::bigint as score
+  from (select *, unnest(range(1, k)) as cut from candidates) c
+  join often x on x.lang = c.lang and x.phrase = array_to_string(c.ws[1:c.cut], ' ')
+  join often y on y.lang = c.lang and y.phrase = array_to_string(c.ws[c.cut + 1:], ' ')
+),
+lowest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+sized as (select lang, ws, k, f, unnest(range(2, k)) as size from candidates where k > 2),
+inside as (select lang, ws, f, size, unnest(range(1, k - size + 2)) as first from sized),
+covering as (
+  select lang, array_to_string(ws[first:first + size - 1], ' ') as phrase, max(f) as f from inside group by all
+),
+ranked as (
+  select l.lang, row_number() over (partition by l.lang order by score desc, a desc, l.phrase) as rank, l.phrase, a, l, r, n, score
+  from lowest l join totals using (lang) left join covering c on c.lang = l.lang and c.phrase = l.phrase
+  where c.f is null or 100 * c.f < 80 * a
+)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
+"""
+
+SQL: dict[str, str] = {"op6_host_rules": HOST_RULES, "op9_mix_sources": MIX_SOURCES, "op11_exact_dedup": EXACT_DEDUP, "op13_phrase_collocations": COLLOCATIONS}
