@@ -4,6 +4,7 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +95,10 @@ def test_scores_pass_64_bits_exactly(spark):
     assert row.score == 2000000 * big // (6 * big + 10) and 2000000 * big > 2**63
 
 
+def held(subtrees):
+    return {(*prefix, *rest): n for prefix, below in subtrees for rest, n in below.items()}
+
+
 def test_trie_counts_survive_bursts_and_partial_spills():
     rng = random.Random(2)
     trie, plain, taken = Trie(burst=4), collections.Counter(), collections.Counter()
@@ -101,10 +106,14 @@ def test_trie_counts_survive_bursts_and_partial_spills():
         phrase = tuple(min(rng.randint(0, 9), rng.randint(0, 9)) for _ in range(rng.randint(1, 4)))
         trie.add(phrase, 1 + i % 3)
         plain[phrase] += 1 + i % 3
+        if i % 100 == 0:
+            several = sorted({tuple(rng.randint(0, 5) for _ in range(1 + i // 100 % 4)) for _ in range(20)})
+            trie.add_sorted(np.array(several), np.arange(1, len(several) + 1))
+            plain.update({p: n + 1 for n, p in enumerate(several)})
         if i % 1000 == 999:
             before = trie.entries
-            spilled = dict(trie.take(before // 2))
+            spilled = held(trie.take(before // 2))
             assert trie.entries == before - len(spilled) <= before // 2
             taken.update(spilled)
-    taken.update(dict(trie.take(0)))
+    taken.update(held(trie.take(0)))
     assert taken == plain and trie.entries == 0 and not trie.root

@@ -13,6 +13,8 @@ work and changes no result; it never holds back a frequent one.
 
 from __future__ import annotations
 
+import gc
+import itertools
 import re
 import zlib
 from array import array
@@ -37,7 +39,7 @@ class Limits(NamedTuple):
     words: int = 1_000_000
     burst: int = 4096
     #: Tokens counted at once, bytes of one text split at once (a piece without an end is held, 8 bytes a word).
-    block_tokens: int = 400_000
+    block_tokens: int = 1_000_000
     slice_bytes: int = 1 << 20
     #: Bytes of text behind one partition of runs.
     part_bytes: int = 8 << 20
@@ -48,6 +50,8 @@ class Limits(NamedTuple):
 LIMITS = Limits()
 #: Words by which a run finds its partition.
 PREFIX_WORDS = 3
+#: Parts of a language in which its first phrases are sought before they are put together.
+TOP_PARTS = 64
 
 RUN = "lang string, part int, phrases binary, ends binary, counts binary"
 COUNTED = "lang string, phrase string, words int, n long, cells array<int>"
@@ -64,9 +68,23 @@ _PLAIN = bytes(_PLAIN)
 _CUT = re.compile(rb"[ \t.,;:!?\x0a-\x0d]")
 
 
-def words_of(text: bytes) -> list[bytes]:
+def words_of(text: bytes) -> Iterator[bytes]:
     """The words of a text in UTF-8, A-Z in lower case, with a line feed between pieces."""
-    return [w for w in text.translate(_PLAIN).replace(b"\n", b" \n ").split(b" ") if w]
+    return filter(None, text.translate(_PLAIN).replace(b"\n", b" \n ").split(b" "))
+
+
+class Vocabulary(dict):
+    """Ids of words, given out as words are met."""
+
+    def __init__(self, seed: int):
+        super().__init__({b"\n": _BREAK})
+        self.seed, self.names, self.hashes = seed, [], array("Q")
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = new = len(self.names)
+        self.names.append(word)
+        self.hashes.append(xxhash.xxh64_intdigest(word, self.seed))
+        return new
 
 
 class Container(dict):
@@ -113,8 +131,26 @@ class Trie:
                 level[rest[0]] = Container({rest[1:]: n})
         return level
 
-    def take(self, keep: int) -> Iterator[tuple[tuple, int]]:
-        """Remove the largest subtrees until `keep` entries or fewer are left; gives what they held."""
+    def add_sorted(self, phrases: np.ndarray, counts: np.ndarray) -> None:
+        """Add distinct phrases of one length (rows of ids, in order): the containers of the first level fill in bulk."""
+        bounds = np.flatnonzero(np.diff(phrases[:, 0], prepend=-1, append=-1))
+        rests, counts = list(zip(*phrases[:, 1:].T.tolist())) or [()] * len(phrases), counts.tolist()
+        for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            word = int(phrases[first, 0])
+            below = self.root.get(word)
+            if below is None:
+                below = self.root[word] = Container()
+            if type(below) is Container and (phrases.shape[1] <= 2 or len(below) + last - first <= self.burst):
+                before, get = len(below), below.get
+                for rest, n in zip(rests[first:last], counts[first:last]):
+                    below[rest] = get(rest, 0) + n
+                self.entries += len(below) - before
+            else:
+                for rest, n in zip(rests[first:last], counts[first:last]):
+                    self.add((word, *rest), n)
+
+    def take(self, keep: int) -> Iterator[tuple[tuple, dict]]:
+        """Remove the largest subtrees until `keep` entries or fewer are left; gives prefixes and what follows them."""
         trees = sorted(((_size(below), word) for word, below in self.root.items()), reverse=True)
         for size, word in trees:
             if self.entries <= keep:
@@ -129,14 +165,13 @@ def _size(below) -> int:
     return sum(1 if word is Trie.END else _size(next_) for word, next_ in below.items())
 
 
-def _walk(prefix: tuple, below) -> Iterator[tuple[tuple, int]]:
+def _walk(prefix: tuple, below) -> Iterator[tuple[tuple, dict]]:
     if type(below) is Container:
-        for rest, n in below.items():
-            yield prefix + rest, n
+        yield prefix, below
         return
     for word, next_ in below.items():
         if word is Trie.END:
-            yield prefix, next_
+            yield prefix, {(): next_}
         else:
             yield from _walk((*prefix, word), next_)
 
@@ -173,8 +208,8 @@ class Tally:
 
     def __init__(self, lang: str, limits: Limits, widths: tuple[int, ...], words: Sieve | None, pairs: Sieve | None):
         self.limits = limits
-        self.lang, self.seed, self.widths, self.frequent, self.pairs = lang, _seed(lang), widths, words, pairs
-        self.names, self.hashes, self.ids = [], array("Q"), {b"\n": _BREAK}
+        self.lang, self.widths, self.frequent, self.pairs = lang, widths, words, pairs
+        self.vocabulary = Vocabulary(_seed(lang))
         self.waiting: list[int] = []
         self.trie = Trie(limits.burst)
 
@@ -184,13 +219,7 @@ class Tally:
             # Slices of a long text end at a space or the end of a piece, and follow one another without a break.
             cut = _CUT.search(text, first + self.limits.slice_bytes)
             last = cut.end() if cut else len(text)
-            found = words_of(text[first:last])
-            for word in found:
-                if word not in self.ids:
-                    self.ids[word] = len(self.names)
-                    self.names.append(word)
-                    self.hashes.append(xxhash.xxh64_intdigest(word, self.seed))
-            self.waiting.extend(map(self.ids.__getitem__, found))
+            self.waiting.extend(map(self.vocabulary.__getitem__, words_of(text[first:last])))
             first = last
         self.waiting.append(_BREAK)
         if len(self.waiting) >= self.limits.block_tokens:
@@ -199,7 +228,7 @@ class Tally:
     def count(self) -> None:
         ids = np.array(self.waiting, dtype=np.int64)
         self.waiting.clear()
-        hashes = np.frombuffer(self.hashes, dtype=np.uint64).copy()
+        hashes = np.array(self.vocabulary.hashes, dtype=np.uint64)
         if not len(ids) or not len(hashes):
             return
         known = np.ones(len(hashes), dtype=bool) if self.frequent is None else self.frequent.has(hashes)
@@ -223,33 +252,44 @@ class Tally:
             if width in self.widths:
                 counts = np.bincount(names[starts], minlength=kinds)
                 present = np.flatnonzero(counts)
-                for phrase, n in zip(map(tuple, phrases[present].tolist()), counts[present].tolist()):
-                    self.trie.add(phrase, n)
+                self.trie.add_sorted(phrases[present], counts[present])
 
     def runs(self, parts: int, keep: int) -> Iterator[dict]:
         """The entries above `keep`, as one sorted run per partition."""
-        entries = []
-        for phrase, n in self.trie.take(keep):
-            words = [self.names[i] for i in phrase]
-            part = zlib.crc32(b" ".join(words[:PREFIX_WORDS])) % parts
-            entries.append((part, b" ".join(words), n))
-        entries.sort()
-        first = 0
-        while first < len(entries):
-            last, part = first, entries[first][0]
-            while last < len(entries) and entries[last][0] == part:
-                last += 1
-            run = entries[first:last]
-            ends = np.cumsum([len(e[1]) for e in run]).astype(np.int32)
-            counts = np.array([e[2] for e in run], dtype=np.int64)
+        ids: dict[int, list] = {width: [] for width in range(1, max(self.widths) + 1)}
+        counts: dict[int, list] = {width: [] for width in ids}
+        for prefix, below in self.trie.take(keep):
+            for rest, n in below.items():
+                ids[len(prefix) + len(rest)].append(prefix + rest)
+                counts[len(prefix) + len(rest)].append(n)
+        names, hashes = pa.array(self.vocabulary.names, pa.binary()), np.array(self.vocabulary.hashes, dtype=np.uint64)
+        tables = []
+        for width, rows in ids.items():
+            if rows:
+                columns = np.fromiter(itertools.chain.from_iterable(rows), np.int64, width * len(rows)).reshape(-1, width).T
+                phrase = pc.binary_join_element_wise(*[names.take(pa.array(c)) for c in columns], b" ")
+                part = np.zeros(len(rows), dtype=np.uint64)
+                for c in columns[:PREFIX_WORDS]:
+                    part = _pair_hash(part, hashes[c])
+                part = (part % np.uint64(parts)).astype(np.int32)
+                tables.append(pa.table({"part": part, "phrase": phrase, "n": np.array(counts[width], dtype=np.int64)}))
+        if not tables:
+            return
+        table = pa.concat_tables(tables)
+        table = table.sort_by([("part", "ascending"), ("phrase", "ascending")]).combine_chunks()
+        part, n = table.column("part").to_numpy(), table.column("n").to_numpy()
+        phrase = pa.concat_arrays(table.column("phrase").chunks)
+        ends = np.frombuffer(phrase.buffers()[1], dtype=np.int32)[: len(phrase) + 1]
+        data = phrase.buffers()[2].to_pybytes()
+        bounds = np.flatnonzero(np.diff(part, prepend=-1, append=-1)).tolist()
+        for first, last in zip(bounds[:-1], bounds[1:]):
             yield {
                 "lang": self.lang,
-                "part": part,
-                "phrases": b"".join(e[1] for e in run),
-                "ends": ends.tobytes(),
-                "counts": counts.tobytes(),
+                "part": int(part[first]),
+                "phrases": data[ends[first] : ends[last]],
+                "ends": (ends[first + 1 : last + 1] - ends[first]).tobytes(),
+                "counts": n[first:last].tobytes(),
             }
-            first = last
 
 
 def _counting(parts: int, limits: Limits, widths: tuple[int, ...], words=None, pairs=None) -> Callable:
@@ -257,6 +297,8 @@ def _counting(parts: int, limits: Limits, widths: tuple[int, ...], words=None, p
     schema = pa.schema([("lang", pa.string()), ("part", pa.int32()), *[(c, pa.binary()) for c in ("phrases", "ends", "counts")]])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Tables of numbers and tuples hold no cycles: collecting them again and again would only cost time.
+        gc.disable()
         sieves = [s and Sieve(s.value) for s in (words, pairs)]
         tallies: dict[str, Tally] = {}
 
@@ -275,12 +317,13 @@ def _counting(parts: int, limits: Limits, widths: tuple[int, ...], words=None, p
                     tallies[lang] = Tally(lang, limits, widths, *sieves)
                 tallies[lang].read(texts[i].as_py())
                 if i % 64 == 0 or len(tallies[lang].waiting) == 0:
-                    if sum(len(t.names) + len(t.waiting) // 4 for t in tallies.values()) > limits.words:
+                    if sum(len(t.vocabulary.names) + len(t.waiting) // 4 for t in tallies.values()) > limits.words:
                         yield from spilled(0)
                         tallies.clear()
                     elif sum(t.trie.entries for t in tallies.values()) > limits.trie_entries:
                         yield from spilled(limits.trie_entries // 2)
         yield from spilled(0)
+        gc.enable()
 
     return count
 
@@ -398,9 +441,13 @@ def score_phrases(counted: DataFrame, cover: int = 80) -> DataFrame:
 
 def best_phrases(scored: DataFrame, top: int = 2000) -> DataFrame:
     """The first `top` of each language, with their rank: by score, occurrences and phrase, in UTF-8 byte order."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
-    return ranked.withColumn("rank", F.col("rank").cast("long"))
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # First per part of a language, so that one with very many phrases is cut down before they meet.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(TOP_PARTS))
+    some = Window.partitionBy("lang", part).orderBy(*order)
+    ahead = scored.withColumn("rank", F.row_number().over(some)).filter(F.col("rank") <= top)
+    ranked = ahead.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    return ranked.filter(F.col("rank") <= top).withColumn("rank", F.col("rank").cast("long"))
 
 
 def collocations(
