@@ -414,14 +414,13 @@ def _slice(phrase: Column, first: Column, words: Column) -> Column:
 
 
 def score_phrases(counted: DataFrame, cover: int = 80) -> DataFrame:
-    """(lang, phrase, a, l, r, n, score) of the phrases of two words and more that no longer one stands for.
+    """(lang, phrase, a, l, r, score) of the phrases of two words and more that no longer one stands for.
 
     `counted` is a stored `count_phrases`. Of all cuts of a phrase into two parts the one with the lowest score
     counts, on ties the shortest first part. A phrase goes if a longer one that contains it has `cover` percent of
     its occurrences or more.
     """
     phrases = counted.filter("words >= 1").select("lang", "phrase", "words", F.col("n").alias("a"))
-    totals = counted.filter("phrase is null").select("lang", "n")
     longer = phrases.filter("words >= 2")
     cut = longer.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1)))
     cut = cut.withColumn("head", _slice(F.col("phrase"), F.lit(1), F.col("k")))
@@ -436,7 +435,7 @@ def score_phrases(counted: DataFrame, cover: int = 80) -> DataFrame:
     inner = inner.select("lang", _slice(F.col("phrase"), F.col("first"), F.col("size")).alias("phrase"), F.col("a").alias("outer"))
     covered = inner.groupBy("lang", "phrase").agg(F.max("outer").alias("outer"))
     left = lowest.join(covered, ["lang", "phrase"], "left").filter(F.expr(f"outer is null or 100 * outer < {cover} * a"))
-    return left.join(totals, "lang").select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
+    return left.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
 
 
 def best_phrases(scored: DataFrame, top: int = 2000) -> DataFrame:
@@ -453,6 +452,7 @@ def best_phrases(scored: DataFrame, top: int = 2000) -> DataFrame:
 def collocations(
     docs: DataFrame, lang: str = "lang", text: str = "text", min_count: int = 30, top: int = 2000, limits: Limits = LIMITS
 ) -> DataFrame:
-    """The `top` phrases of two to four words per language, by the definitions of the functions above."""
+    """The `top` phrases of two to four words per language with n, all its words, by the definitions of the functions above."""
     counted = store(count_phrases(docs, lang, text, min_count, limits=limits), "counted")
-    return best_phrases(score_phrases(counted), top)
+    totals = counted.filter("phrase is null").select("lang", "n")
+    return best_phrases(score_phrases(counted), top).join(totals, "lang")
