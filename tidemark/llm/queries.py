@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import collocations, compression, exact, host_rules, jaccard, katz, licenses, mixing, multiprobe, packing, passages, repeats
+from tidemark.llm import collocations, compression, conversations, exact, host_rules, jaccard, katz, licenses, mixing, multiprobe, packing, passages, repeats
 from tidemark.llm.common import store, table
 
 TOKENIZER = os.environ.get("PACKING_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
@@ -86,6 +86,10 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), F.col("keep").alias("keep_id"), "group_size", "kept", digest)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = collocations.collocations(table(spark, sf_dir, "documents"))
     return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
@@ -103,5 +107,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mix_sources": op9_mix_sources,
     "op10_maximal_repeats": op10_maximal_repeats,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
