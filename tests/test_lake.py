@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from samples import small_warehouse, ts
-from tidemark.operators import quality
+from tidemark.operators import cleaning, quality
 from tidemark.operators.revenue import fct_revenue_from_staging, order_refunds
 from tidemark.plans import incremental
 from tidemark.plans.quality_rules import CONTRACT_NOT_NULL, FCT_REVENUE_CONTRACT, RULES, STG_ORDERS_CONTRACT
 from tidemark.plans.warehouse import MODELS
 from tidemark.sinks import writers
+from tidemark.sinks.folders import FolderTable
 from tidemark.sources import readers, schemas
 
 
@@ -56,60 +60,129 @@ def test_unprocessed_files_are_told_apart_by_folder(spark, tmp_path, rows):
     assert nothing.count() == 0 and nothing.columns == ["id", "day"]
 
 
-def staged(spark, orders, refunds):
-    o = spark.createDataFrame(
-        [(i, u, ts(t), ts(t), Decimal(a), "USD") for i, u, t, a in orders],
-        "order_id string, user_id string, order_timestamp timestamp_ntz, created_at timestamp_ntz, "
-        "order_amount decimal(38,9), currency string",
+USERS = [("1", "2024-01-01", "in", "ads", 1), ("2", "2024-01-01", None, "x", 1), ("3", "2024-01-02", "us", "ads", 1)]
+ORDERS = [
+    ("1", "1", "2024-01-01", 10, 1),
+    ("2", "2", "2024-01-02", 20, 1),
+    ("3", "3", "2024-01-03", 30, 1),
+    ("4", "9", "2024-01-10", 40, 1),
+    ("5", None, "2024-01-11", 50, 1),
+    (None, "1", None, 60, 1),
+]
+REFUNDS = [("r1", "1", 1, "2024-01-02", 1), ("r2", "3", 2, "2024-01-04", 1), ("r3", None, 7, "2024-01-04", 1)]
+
+
+def loads(spark, users=(), orders=(), refunds=(), through=99):
+    """Raw tables from short rows that end with the day of January on which they were loaded."""
+    day = lambda n: dt.date(2024, 1, n)
+    at = lambda t: None if t is None else ts(t)
+    known = lambda rows_: [r for r in rows_ if r[-1] <= through]
+    return (
+        spark.createDataFrame([(o, u, at(t), Decimal(a), "USD", None, day(n)) for o, u, t, a, n in known(orders)], schemas.ORDERS_RAW),
+        spark.createDataFrame([(u, at(t), c, a, day(n)) for u, t, c, a, n in known(users)], schemas.USERS_RAW),
+        spark.createDataFrame([(r, o, Decimal(a), "", at(t), day(n)) for r, o, a, t, n in known(refunds)], schemas.REFUNDS_RAW),
     )
-    r = spark.createDataFrame(
-        [(i, o_, Decimal(a), ts(t)) for i, o_, a, t in refunds],
-        "refund_id string, order_id string, refund_amount decimal(38,9), refund_timestamp timestamp_ntz",
-    )
-    return o, r
 
 
-def test_incremental_equals_rebuild(spark, tmp_path, rows):
-    users = small_warehouse(spark).stg_users
-    before = staged(
-        spark,
-        [("1", "1", "2024-01-01", 10), ("2", "2", "2024-01-02", 20), ("3", "3", "2024-01-03", 30), ("4", "9", "2024-01-10", 40)],
-        [("r1", "1", 1, "2024-01-02")],
-    )
-    # A late refund on order 1, order 3 moved to another day (its old day is left empty), a new order.
-    after = staged(
-        spark,
-        [("1", "1", "2024-01-01", 10), ("2", "2", "2024-01-02", 20), ("3", "3", "2024-01-05", 30), ("4", "9", "2024-01-10", 41), ("5", "1", "2024-01-11", 50)],
-        [("r1", "1", 1, "2024-01-02"), ("r2", "1", 4, "2024-01-11")],
-    )
-    for grain in ("day", "month"):
-        path = str(tmp_path / grain)
-        incremental.write_fact(fct_revenue_from_staging(before[0], users, order_refunds(before[1])), path, grain)
-        kept = {p.name for p in (tmp_path / grain).glob("*=2024-01-02/*.parquet")}
-        n = incremental.incremental_revenue(
-            spark, path, *[after[0], users, after[1]], as_of="2024-01-11", since="2024-01-10", grain=grain
-        )
-        rebuilt = fct_revenue_from_staging(after[0], users, order_refunds(after[1]))
-        assert rows(incremental.read_fact(spark, path, grain)) == rows(rebuilt)
-        assert n == (5 if grain == "day" else 1)
-        assert kept == {p.name for p in (tmp_path / grain).glob("*=2024-01-02/*.parquet")}
-        again = incremental.incremental_revenue(
-            spark, path, after[0], users, after[1], as_of="2024-02-20", since="2024-02-18", grain=grain
-        )
-        assert again == 0
-
-
-def test_incremental_finds_corrections_and_late_loads(spark, tmp_path, rows):
-    users = small_warehouse(spark).stg_users
-    orders = [("1", "1", "2024-01-01", 100), ("2", "2", "2024-01-02", 100), ("3", "3", "2024-01-03", 30)]
-    before = staged(spark, orders, [("r1", "3", 1, "2024-01-03")])
-    # Order 1 gets another amount, order 2 a refund from before `since` that was loaded only now.
-    after = staged(spark, [("1", "1", "2024-01-01", 999), *orders[1:]], [("r1", "3", 1, "2024-01-03"), ("r2", "2", 40, "2024-01-04")])
+def rebuilt(orders, users, refunds):
+    return fct_revenue_from_staging(cleaning.stg_orders(orders), cleaning.stg_users(users), order_refunds(cleaning.stg_refunds(refunds)))
+
+
+# What a second day of loads may bring, with the number of days of the fact that have to be written for it.
+SECOND = {
+    "nothing": ({}, 0),
+    "a corrected amount": ({"orders": [("1", "1", "2024-01-01", 999, 2)]}, 1),
+    "an order on another day, its old day left empty": ({"orders": [("3", "3", "2024-01-05", 30, 2)]}, 2),
+    "a new order": ({"orders": [("6", "1", "2024-01-12", 5, 2)]}, 1),
+    "an old refund, loaded late": ({"refunds": [("r9", "2", 3, "2023-12-30", 2)]}, 1),
+    "a refund that moves to another order": ({"refunds": [("r1", "2", 1, "2024-01-03", 2)]}, 2),
+    "a value that moves to a NULL neighbour": ({"users": [("2", "2024-01-01", "x", None, 2)]}, 1),
+    "a user whose order is there already": ({"users": [("9", "2024-01-01", "de", "ads", 2)]}, 1),
+    "an order without id and date": ({"orders": [(None, "1", "2024-01-01", 61, 2)]}, 2),
+    "a refund for no order": ({"refunds": [("r3", None, 8, "2024-01-05", 2)]}, 1),
+}
+
+
+GRAINS = [(case, "day") for case in SECOND] + [("an order on another day, its old day left empty", "month")]
+
+
+@pytest.mark.parametrize("case, grain", GRAINS)
+def test_refresh_equals_rebuild(spark, tmp_path, rows, case, grain):
+    more, written = SECOND[case]
+    # The last day that was read is read again: here, that of the seventh order.
+    tables = {"users": USERS, "orders": [*ORDERS, ("7", "1", "2024-01-20", 1, 2)], "refunds": REFUNDS}
+    tables = {name: [*own, *[(*r[:-1], 3) for r in more.get(name, ())]] for name, own in tables.items()}
+    path = str(tmp_path / "fact")
+    fact = incremental.fact_table(spark, path, grain)
+    assert incremental.refresh_revenue(spark, path, *loads(spark, **tables, through=2), grain=grain) == (7 if grain == "day" else 2)
+    before = fact.manifest()
+    assert rows(incremental.read_fact(spark, path, grain)) == rows(rebuilt(*loads(spark, **tables, through=2)))
+    n = incremental.refresh_revenue(spark, path, *loads(spark, **tables), grain=grain)
+    assert rows(incremental.read_fact(spark, path, grain)) == rows(rebuilt(*loads(spark, **tables)))
+    # Readers of the version before still see it.
+    assert rows(fact.read(before).select("order_id", "net_revenue")) == rows(rebuilt(*loads(spark, **tables, through=2)), "order_id", "net_revenue")
+    after = fact.manifest().batches
+    changed = {f for f in {*before.batches, *after} if after.get(f) != before.batches.get(f)}
+    assert len(changed) == n == (written + 1 if grain == "day" else 1)
+
+
+def test_a_failed_refresh_leaves_the_fact(spark, tmp_path, rows, monkeypatch):
     path = str(tmp_path / "fact")
-    incremental.write_fact(fct_revenue_from_staging(before[0], users, order_refunds(before[1])), path)
-    n = incremental.incremental_revenue(spark, path, after[0], users, after[1], as_of="2024-03-01", since="2024-02-28")
-    rebuilt = fct_revenue_from_staging(after[0], users, order_refunds(after[1]))
-    assert n == 2 and rows(incremental.read_fact(spark, path)) == rows(rebuilt)
+    incremental.refresh_revenue(spark, path, *loads(spark, USERS, ORDERS, REFUNDS))
+    expected = rows(incremental.read_fact(spark, path))
+    more = loads(spark, USERS, [*ORDERS, ("3", "3", "2024-01-06", 31, 2)], REFUNDS)
+    with monkeypatch.context() as patch:
+        patch.setattr(FolderTable, "publish", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            incremental.refresh_revenue(spark, path, *more)
+    assert rows(incremental.read_fact(spark, path)) == expected
+    incremental.refresh_revenue(spark, path, *more)
+    assert rows(incremental.read_fact(spark, path)) == rows(rebuilt(*more))
+
+
+def test_random_loads_equal_rebuild_every_day(spark, tmp_path, rows):
+    rng = random.Random(5)
+    some = lambda values: rng.choice(values)
+    users, orders, refunds = [], [], []
+    for n in range(1, 6):
+        users += [(str(rng.randint(1, 6)), f"2024-01-0{n}", some(["a", None, "b"]), some(["x", None]), n) for _ in range(3)]
+        orders += [
+            (str(rng.randint(1, 15)), some(["1", "2", "3", "7", None]), f"2024-01-{rng.randint(1, 9):02}", rng.randint(1, 99), n)
+            for _ in range(8)
+        ]
+        refunds += [(f"r{rng.randint(1, 8)}", str(rng.randint(1, 15)), rng.randint(1, 60), f"2024-01-{rng.randint(1, 20):02}", n) for _ in range(4)]
+        known = loads(spark, users, orders, refunds)
+        incremental.refresh_revenue(spark, str(tmp_path), *known)
+        assert rows(incremental.read_fact(spark, str(tmp_path))) == rows(rebuilt(*known))
+
+
+def test_filters_on_the_day_open_few_folders(spark, tmp_path):
+    incremental.refresh_revenue(spark, str(tmp_path), *loads(spark, USERS, ORDERS, REFUNDS))
+    one = incremental.read_fact(spark, str(tmp_path)).where(F.col("order_date") == "2024-01-02")
+    assert "PartitionFilters: [isnotnull(order_date" in one._jdf.queryExecution().executedPlan().toString()
+    table = incremental.fact_table(spark, str(tmp_path))
+    assert len(table.read(folders=["2024-01-02", "2024-01-31"]).inputFiles()) == 1
+
+
+def test_two_writers_of_a_folder_table(spark, tmp_path, rows):
+    schema = T.StructType.fromDDL("k int, v string")
+    table = FolderTable(spark, str(tmp_path), "k", schema)
+    assert table.read().count() == 0
+    frame = lambda data: spark.createDataFrame(data, schema)
+    first = table.append(table.manifest(), frame([(1, "a"), (None, "b")]), "one")
+    second = table.append(first, frame([(1, "c"), (2, "d")]), "two")
+    with pytest.raises(RuntimeError, match="published after"):
+        table.append(first, frame([(3, "x")]))
+    assert rows(table.read()) == rows(frame([(1, "a"), (None, "b"), (1, "c"), (2, "d")]))
+    with pytest.raises(ValueError, match="outside"):
+        table.replace(second, frame([(2, "y")]), ["1"])
+    third = table.replace(second, frame([(1, "z")]), ["1", None])
+    assert rows(table.read()) == rows(frame([(1, "z"), (2, "d")])) and third.version == 3
+    many = table.append(third, frame([(1, "w"), (1, "w")]), "more")
+    packed = table.compact(many, 1, lambda df: df.distinct())
+    assert rows(table.read()) == rows(frame([(1, "w"), (1, "z"), (2, "d")])) and len(packed.batches["1"]) == 1
+    assert table.compact(packed, 1) == packed and packed.note == "more"
+    assert table.replace(packed, frame([]), ["1", "2"]).batches == {} and table.read().count() == 0
 
 
 def test_stored_warehouse_passes_its_rules(spark, tmp_path):
