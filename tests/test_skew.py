@@ -114,12 +114,15 @@ def test_churn_by_brute_force(clicks):
     assert {r.activity_date: r.churned_users for r in activity.churned_users(clicks).collect()} == expected
 
 
-@pytest.mark.parametrize("salts", [1, 5])
-def test_sequential_funnel_by_brute_force(clicks, salts):
-    steps, by_user = ("a", "b", "c"), {}
+@pytest.mark.parametrize("steps", [("a", "b", "c"), ("a", "b", "a", "a"), ("c",)])
+@pytest.mark.parametrize("minutes", [1, 60])
+def test_sequential_funnel_by_brute_force(clicks, steps, minutes):
+    # Whole minutes, or whole hours, give many events of one time.
+    clicks = clicks.withColumn("event_timestamp", F.date_trunc("hour" if minutes == 60 else "minute", "event_timestamp"))
+    by_user = {}
     for r in clicks.orderBy("event_timestamp").collect():
         by_user.setdefault(r.user_id, []).append((r.event_timestamp, r.event_name))
-    reached = [0, 0, 0]
+    reached = [0] * len(steps)
     for user, seen in by_user.items():
         last = dt.datetime.min
         for i, step in enumerate(steps):
@@ -128,8 +131,14 @@ def test_sequential_funnel_by_brute_force(clicks, salts):
                 break
             reached[i] += 1
             last = min(later)
-    got = {r.step: r.users for r in funnels.sequential_funnel(clicks, steps, salts=salts).collect()}
-    assert got == dict(zip(steps, reached))
+    plain = funnels.sequential_funnel(clicks, steps)
+    assert [r.users for r in plain.collect()] == reached
+    text = plain._jdf.queryExecution().executedPlan().toString()
+    # The events move once, by user and minute, then small arrays by day and by user; no window and no join.
+    assert text.count("REPARTITION_BY_COL") == 1 and text.count("Exchange hashpartitioning") == 3
+    assert "Window" not in text and "Join" not in text
+    by_step = {r.level: r["count"] for r in funnels.funnel_levels(clicks, steps).groupBy("level").count().collect()}
+    assert [sum(n for level, n in by_step.items() if level > i) for i in range(len(steps))] == reached
 
 
 def test_last_n_per_key(orders, rows):

@@ -6,6 +6,7 @@ from tidemark.functions.scalar import (
     mean_of,
     money,
     month_start,
+    order_measures,
     safe_divide,
     share_pct,
     sum_money,
@@ -22,6 +23,7 @@ __all__ = [
     "money",
     "month_start",
     "normal_quantile",
+    "order_measures",
     "safe_divide",
     "share_pct",
     "sum_money",

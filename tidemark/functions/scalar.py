@@ -38,6 +38,12 @@ def mean_of(c: Column | str) -> Column:
     return F.try_divide(sum_money(c), F.count(_col(c)).cast("double"))
 
 
+def order_measures(total: str, number: str, key: str | None = None) -> tuple[Column, ...]:
+    """Sum, number and mean of the amounts of a group of orders; with `key`, orders without one are not counted."""
+    counted = F.lit(1) if key is None else F.col(key)
+    return sum_money("amount").alias(total), F.count(counted).alias(number), mean_of("amount").alias("avg_order_value")
+
+
 def safe_divide(num: Column | str, den: Column | str, digits: int = 4) -> Column:
     """num / den rounded; 0 for a zero or NULL denominator, NULL for a NULL numerator."""
     n, d = _col(num).cast("double"), _col(den).cast("double")

@@ -134,5 +134,5 @@ def clean_orders(orders_raw: DataFrame) -> DataFrame:
     tidy = {"amount": F.col("amount").cast("double"), "currency": F.upper(F.trim("currency"))}
     typed = orders_raw.select(*[tidy.get(c, F.col(c)).alias(c) for c in orders_raw.columns])
     # Of copies that only differ elsewhere, the one with the largest columns stays, so reruns agree.
-    one = typed.filter(F.col("amount") > 0).groupBy("order_id").agg(F.max(F.struct(*typed.columns)).alias("row"))
-    return one.select("row.*")
+    first, *rest = [c for c in typed.columns if c != "order_id"]
+    return dedup_latest(typed.filter(F.col("amount") > 0), ["order_id"], first, rest)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -77,26 +77,64 @@ def step_after(
     )
 
 
-def sequential_funnel(
-    ev: DataFrame, steps: Sequence[str] = STEPS, by: Sequence[str] = (), salts: int = 8
-) -> DataFrame:
-    """Users that reached each step strictly after the one before; always one row per step.
+def _level_map(seen: Column, steps: Sequence[str]) -> Column:
+    """For each number of steps done before, how many are done after the (time, event) pairs in `seen`, in order.
+
+    Events of one time take a user one step further at most, whatever their order.
+    """
+    names = F.array(*[F.lit(s) for s in steps])
+
+    def advance(state: Column, event: Column) -> Column:
+        next_step = F.get(names, state["level"]) == event["event_name"]
+        later = state["at"].isNull() | (event["event_timestamp"] > state["at"])
+        moved = F.struct((state["level"] + 1).alias("level"), event["event_timestamp"].alias("at"))
+        return F.when(next_step & later, moved).otherwise(state)
+
+    def after(level: Column) -> Column:
+        start = F.struct(level.alias("level"), F.lit(None).cast("timestamp_ntz").alias("at"))
+        return F.aggregate(seen, start, advance, lambda state: state["level"])
+
+    return F.transform(F.sequence(F.lit(0), F.lit(len(steps))), after)
+
+
+def _composed(maps: Column, steps: Sequence[str]) -> Column:
+    """One level map for several that follow each other, given as (time, levels) pairs in order."""
+    same = F.sequence(F.lit(0), F.lit(len(steps)))
+    return F.aggregate(maps, same, lambda levels, m: F.transform(levels, lambda n: F.get(m["levels"], n)))
+
+
+def funnel_levels(ev: DataFrame, steps: Sequence[str] = STEPS, by: Sequence[str] = ()) -> DataFrame:
+    """Steps each user has done in strict order, as `level`, for users with an event of any step.
 
-    A user's time for a step is the earliest such event later than their time for the previous step.
-    Counting the times, not just the users, leaves each level the same plan as in the next level's
-    join, so Spark computes it once and reuses its shuffle.
+    A user's time for a step is the earliest such event later than their time for the previous step. What a span of
+    time does to a user fits into one small array: for each number of steps done before it, the number done after.
+    Such arrays are formed per user and minute, put together per day and then per user, so the events are shuffled
+    once, by user and minute, and no group holds more than the distinct events of a minute, the minutes of a day or
+    the days of the calendar. Rows without a time are left out; without a user (or a key of `by`) nothing joins
+    one step with the next, so only the first counts.
     """
-    levels = [first_step(ev, steps[0], by)]
-    for step in steps[1:]:
-        levels.append(step_after(ev, levels[-1], step, by, salts))
-    counted = [
-        level.groupBy(*by)
-        .agg(F.count("reached_at").alias("n"))
-        .select(*by, *[(F.col("n") if i == j else F.lit(0)).cast("bigint").alias(f"s{j}") for j in range(len(steps))])
-        for i, level in enumerate(levels)
-    ]
-    totals = [F.coalesce(F.sum(f"s{i}"), F.lit(0)).alias(f"s{i}") for i in range(len(steps))]
-    return _by_step(reduce(DataFrame.unionByName, counted).groupBy(*by).agg(*totals), steps, by)
+    keys, time = [*by, "user_id"], F.col("event_timestamp")
+    rows = ev.where(F.col("event_name").isin(*steps) & time.isNotNull())
+    rows = rows.select(*keys, time.cast("timestamp_ntz").alias("event_timestamp"), "event_name")
+    seen = F.array_sort(F.collect_set(F.struct("event_timestamp", "event_name")))
+    rows = rows.withColumn("__at", F.date_trunc("minute", "event_timestamp"))
+    # Events of one minute are hardly ever equal: collecting them before the shuffle would only cost a sort.
+    minutes = rows.repartition(*keys, "__at").groupBy(*keys, "__at").agg(seen.alias("__seen"))
+    maps = minutes.select(*keys, "__at", _level_map(F.col("__seen"), steps).alias("levels"))
+    several = F.array_sort(F.collect_list(F.struct("__at", "levels")))
+    days = maps.groupBy(*keys, F.to_date("__at").alias("__day")).agg(several.alias("__maps"))
+    days = days.select(*keys, F.col("__day").alias("__at"), _composed(F.col("__maps"), steps).alias("levels"))
+    users = days.groupBy(*keys).agg(several.alias("__maps"))
+    level = F.get(_composed(F.col("__maps"), steps), F.lit(0))
+    linked = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return users.select(*keys, F.when(linked, level).otherwise(F.least(level, F.lit(1))).alias("level"))
+
+
+def sequential_funnel(ev: DataFrame, steps: Sequence[str] = STEPS, by: Sequence[str] = ()) -> DataFrame:
+    """Users that reached each step strictly after the one before; always one row per step."""
+    levels = funnel_levels(ev, steps, by).where(F.col("level") > 0)
+    counts = [F.count_if(F.col("level") > i).alias(f"s{i}") for i in range(len(steps))]
+    return _by_step(levels.groupBy(*by).agg(*counts), steps, by)
 
 
 def funnel_step_rates(funnel: DataFrame, steps: Sequence[str] = STEPS) -> DataFrame:

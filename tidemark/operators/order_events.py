@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import mean_of, money, share_pct, sum_money
+from tidemark.functions import mean_of, money, order_measures, share_pct, sum_money
 from tidemark.sources.schemas import ORDER_EVENT, PAYMENT_EVENT
 
 # Fields without which an order event is refused, in the order in which they are looked at.
@@ -84,11 +84,7 @@ def split_valid_invalid(events: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def running_city_metrics(events: DataFrame) -> DataFrame:
-    return events.groupBy("city").agg(
-        sum_money("amount").alias("revenue"),
-        F.count(F.lit(1)).alias("orders"),
-        mean_of("amount").alias("avg_order_value"),
-    )
+    return events.groupBy("city").agg(*order_measures("revenue", "orders"))
 
 
 def running_seller_revenue(events: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import mean_of, money, sum_money
+from tidemark.functions import money, order_measures, sum_money
 from tidemark.operators.joins import join_uneven
 from tidemark.operators.ordered import with_running
 
@@ -49,16 +49,11 @@ def broadcast_enrich(
 
 
 def revenue_by_currency(orders: DataFrame) -> DataFrame:
-    """One row per currency: how much, how many, how large; the largest revenue first."""
-    measures = {
-        "max_order_value": F.max("amount"),
-        "order_count": F.count("order_id"),
-        "total_revenue": sum_money("amount"),
-        "avg_order_value": mean_of("amount"),
-    }
-    totals = orders.groupBy("currency").agg(*[measure.alias(name) for name, measure in measures.items()])
-    ranked = totals.orderBy(F.desc("total_revenue"), F.asc("currency"))
-    return ranked.select("currency", "total_revenue", "order_count", "avg_order_value", "max_order_value")
+    """One row per currency, the largest revenue first: the measures of any group of orders, and the largest order."""
+    largest = F.max("amount").alias("max_order_value")
+    return orders.groupBy("currency").agg(*order_measures("total_revenue", "order_count", "order_id"), largest).orderBy(
+        F.desc("total_revenue"), "currency"
+    )
 
 
 def user_order_windows(orders: DataFrame) -> DataFrame:
