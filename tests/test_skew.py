@@ -131,9 +131,8 @@ def test_sequential_funnel_by_brute_force(clicks, steps, minutes):
                 break
             reached[i] += 1
             last = min(later)
-    plain = funnels.sequential_funnel(clicks, steps)
-    assert [r.users for r in plain.collect()] == reached
-    text = plain._jdf.queryExecution().executedPlan().toString()
+    assert [r.users for r in funnels.sequential_funnel(clicks, steps).collect()] == reached
+    text = funnels.sequential_funnel(clicks, steps)._jdf.queryExecution().executedPlan().toString()
     # The events move once, by user and minute, then small arrays by day and by user; no window and no join.
     assert text.count("REPARTITION_BY_COL") == 1 and text.count("Exchange hashpartitioning") == 3
     assert "Window" not in text and "Join" not in text
