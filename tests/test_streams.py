@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from samples import events
 from tidemark.operators import order_events, sessions
 from tidemark.session import fresh_dir
+from tidemark.sinks.folders import FolderTable
 from tidemark.sources import schemas, star_schema
 from tidemark.streaming import io, operators
 
@@ -40,11 +42,37 @@ def test_running_metrics_over_batches(spark, topic, rows):
         assert rows(got) == rows(op(batch(spark)))
 
 
-def test_changed_keys_only(spark, topic, rows):
+def files_of(spark, frames, schema, per_batch="1"):
+    """A stream that takes one file per frame, in order."""
+    path = fresh_dir(spark, "files")
+    for i, frame in enumerate(frames):
+        spark.createDataFrame(frame, schema).coalesce(1).write.parquet(f"{path}/part={i:03d}")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(path).drop("part")
+
+
+def test_changed_keys_only(spark, rows):
+    rng = random.Random(1)
+    schema = "seller_id string, amount double"
+    frames = [[(rng.choice(["a", "b", None, f"s{i}"]), float(rng.randint(1, 9))) for _ in range(5)] for i in range(12)]
     root = fresh_dir(spark, "stream")
-    got = io.run_update(order_events.running_seller_revenue(stream(spark, topic)), root, ["seller_id"])
-    assert rows(got) == rows(order_events.running_seller_revenue(batch(spark)))
-    assert spark.read.parquet(f"{root}/out").select("batch_id").distinct().count() > 1
+    live = order_events.running_seller_revenue(files_of(spark, frames, schema))
+    got = io.run_update(live, root, ["seller_id"], buckets=2, most=3)
+    assert rows(got) == rows(order_events.running_seller_revenue(spark.createDataFrame(sum(frames, []), schema)))
+    # A reader opens one snapshot and a few changes per folder, and the changes are those of single batches.
+    manifest = io.keyed_table(spark, f"{root}/out", live.schema).manifest()
+    assert max(len(batches) for batches in manifest.batches.values()) <= 3 and manifest.note == "11"
+
+
+def test_repeated_batch_of_changes_is_stored_once(spark, rows):
+    root = fresh_dir(spark, "stream")
+    live = order_events.running_seller_revenue(files_of(spark, [[("a", 1.0)], [("a", 2.0)]], "seller_id string, amount double"))
+    got = rows(io.run_update(live, root, ["seller_id"]))
+    table = io.keyed_table(spark, f"{root}/out", live.schema)
+    before = table.manifest()
+    # Both batches again, as after the loss of the checkpoint.
+    io.bounded_run(live, io.store_changes(table, ["seller_id"], 8, 8), f"{root}/other", "update")
+    assert table.manifest() == before
+    assert got == rows(io.latest_of_keys(table.read(), ["seller_id"]).select("seller_id", "revenue")) == [("a", 3.0)]
 
 
 @pytest.mark.parametrize("key", [None, "city"])
@@ -120,6 +148,74 @@ def test_closed_sessions_are_put_out_once(spark, rows):
     assert rows(closed) == [r for r in expected if r[1] != last]
 
 
+def test_rows_of_a_batch_are_read_once_it_is_committed(spark, topic):
+    root = fresh_dir(spark, "stream")
+    out, source = f"{root}/out", io.stream_source(spark, path=topic, options={"maxFilesPerTrigger": "1"})
+    log, write, runs = io.commit_log(out), io.append_batches(out), []
+
+    def fails_later(rows_, batch_id):
+        runs.append(batch_id)
+        write(rows_, batch_id)
+        if len(runs) == 2:
+            raise RuntimeError("lost after the output was stored")
+
+    with pytest.raises(Exception, match="lost after"):
+        io.bounded_run(source, fails_later, f"{root}/checkpoint", log=log)
+    stored = spark.read.schema(schemas.KEYED_MESSAGE).parquet(out).count()
+    seen = io.read_committed(spark, out, schemas.KEYED_MESSAGE).count()
+    assert 0 < seen < stored and io.committed(spark, log) == 0
+    io.bounded_run(source, fails_later, f"{root}/checkpoint", log=log)
+    total = spark.read.parquet(topic).count()
+    assert io.read_committed(spark, out, schemas.KEYED_MESSAGE).count() == total
+    # A committed batch whose checkpoint was lost is not run again.
+    done = len(runs)
+    io.bounded_run(source, fails_later, f"{root}/other-checkpoint", log=log)
+    assert len(runs) == done
+
+
+def test_sessions_from_files_out_of_order(spark, rows):
+    rng = random.Random(2)
+    base = dt.datetime(2024, 1, 1, 22)
+    data = [(rng.choice(["a", "b", "c", None]), base + dt.timedelta(minutes=rng.randint(0, 2500))) for _ in range(300)]
+    data += [("edge", base), ("edge", base + dt.timedelta(minutes=30, seconds=59)), ("edge", base + dt.timedelta(minutes=61, seconds=59))]
+    rng.shuffle(data)
+    schema = "user_id string, event_timestamp timestamp_ntz"
+    live = files_of(spark, [data[i::7] for i in range(7)], schema)
+    root = fresh_dir(spark, "stream")
+    got = operators.run_sessions(live, root, most=2)
+    expected = sessions.user_sessions(spark.createDataFrame(data, schema))
+    assert rows(got) == rows(expected.select(got.columns))
+    # A run that finds nothing new reports the same.
+    assert rows(operators.run_sessions(live, root, most=2)) == rows(got)
+
+
+def test_a_late_event_joins_two_closed_sessions(spark):
+    at = lambda minute: dt.datetime(2024, 1, 1, 10) + dt.timedelta(minutes=minute)
+    live = files_of(spark, [[("u", at(0)), ("u", at(50))], [("u", at(500))], [("u", at(25))]], "user_id string, event_timestamp timestamp_ntz")
+    got = operators.run_sessions(live, fresh_dir(spark, "stream"))
+    assert sorted((r.session_start, r.events_in_session) for r in got.collect()) == [(at(0), 3), (at(500), 1)]
+
+
+def test_only_folders_with_a_possible_copy_are_opened(spark, monkeypatch):
+    opened = []
+    read = FolderTable.read
+
+    def watched(self, manifest=None, folders=None):
+        if self.root.endswith("/keys") and manifest is None:
+            opened.append(sorted(folders))
+        return read(self, manifest, folders)
+
+    monkeypatch.setattr(FolderTable, "read", watched)
+    frames = [[(f"{i}-{k}", k) for k in range(3)] for i in range(6)] + [[("2-1", 9), ("new", 9)], [(None, 1), (None, 1), ("new", 3)]]
+    live = files_of(spark, frames, "event_id string, n int")
+    got = operators.run_dedup(live, fresh_dir(spark, "stream"), folders=16, blocks=4, most=2)
+    keys = [r.event_id for r in got.collect()]
+    assert sorted(k for k in keys if k) == sorted([f"{i}-{k}" for i in range(6) for k in range(3)] + ["new"])
+    assert keys.count(None) == 2
+    # Six batches without a copy read no stored keys at all; the two others read one folder each.
+    assert [len(folders) for folders in opened] == [1, 1]
+
+
 @pytest.mark.parametrize("salts", [1, 4])
 def test_stream_dedup(spark, salts):
     live, stored = written_events(spark, [("u", "x", "2024-01-01 10:00"), ("u", "x", "2024-01-01 10:05")])

@@ -45,3 +45,26 @@ def user_sessions(ev: DataFrame, gap_minutes: int = 30, since: str | None = None
             "events_in_session",
         )
     )
+
+
+def merge_sessions(parts: DataFrame, gap_minutes: int = 30) -> DataFrame:
+    """One row per session from sessions that were formed over parts of the events, in any order.
+
+    Parts may overlap. Two belong together if no pause of more than `gap_minutes` whole minutes lies between them,
+    directly or by way of others, which is when their events do; so the result does not depend on how the events
+    were parted.
+    """
+    in_order = W.partitionBy("user_id").orderBy("session_start", "session_end")
+    before = F.max("session_end").over(in_order.rowsBetween(W.unboundedPreceding, -1))
+    pause = F.timestamp_diff("MINUTE", before, F.col("session_start"))
+    numbered = parts.withColumn("starts", F.when(pause <= gap_minutes, 0).otherwise(1))
+    return (
+        numbered.withColumn("session_id", F.sum("starts").over(in_order))
+        .groupBy("user_id", "session_id")
+        .agg(
+            F.min("session_start").alias("session_start"),
+            F.max("session_end").alias("session_end"),
+            F.sum("events_in_session").alias("events_in_session"),
+        )
+        .drop("session_id")
+    )

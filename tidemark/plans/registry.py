@@ -827,7 +827,7 @@ def _topic(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """Order events as a stream of keyed messages, a few files per batch."""
     path = f"{root}/topic"
     stream_io.write_topic(order_events.to_keyed_json(star_schema.order_events(spark, sf_dir)), path)
-    return stream_io.stream_source(spark, path=path, options={"maxFilesPerTrigger": "4"})
+    return stream_io.stream_source(spark, path=path, options={"maxBytesPerTrigger": str(4 << 20)})
 
 
 def _valid_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
@@ -837,17 +837,23 @@ def _valid_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     return order_events.split_valid_invalid(events)[0], root
 
 
-def _activity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream, with its repeated deliveries."""
-    events = stream_io.table_stream(spark, sf_dir, "events")
-    again = F.when(F.col("event_id") % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return events.select(
+def _activity_stream(spark: SparkSession, sf_dir: str, root: str, repeated: bool = True) -> DataFrame:
+    """The events table as a stream of several files out of order, repeated deliveries in other files than the first."""
+    events = star_schema.table(spark, sf_dir, "events")
+    often = F.lit(repeated) & (F.col("event_id") % 20 == 0)
+    again = F.when(often, F.array(F.lit(0), F.lit(3))).otherwise(F.array(F.lit(0)))
+    sent = events.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("user_id").cast("string").alias("user_id"),
         F.col("event_type").alias("event_name"),
         F.col("ts").alias("event_timestamp"),
         F.explode(again).alias("copy"),
-    ).drop("copy")
+    )
+    part = F.pmod(F.xxhash64("event_id") + F.col("copy"), F.lit(6)).cast("int")
+    # A file per part, however Spark arranges the shuffle; the hash knows nothing of time.
+    sent.withColumn("part", part).drop("copy").repartitionByRange(6, "part").write.partitionBy("part").parquet(f"{root}/events")
+    schema = "event_id string, user_id string, event_name string, event_timestamp timestamp_ntz"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "2").parquet(f"{root}/events").drop("part")
 
 
 @query
@@ -921,7 +927,7 @@ def stream_split_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_city_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, root = _valid_stream(spark, sf_dir)
-    return stream_io.run_complete(order_events.running_city_metrics(valid), root)
+    return stream_io.run_update(order_events.running_city_metrics(valid), root, ["city"], buckets=1)
 
 
 @query
@@ -933,7 +939,7 @@ def stream_seller_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_top_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, root = _valid_stream(spark, sf_dir)
-    cities = stream_io.run_complete(order_events.running_city_metrics(valid), root)
+    cities = stream_io.run_update(order_events.running_city_metrics(valid), root, ["city"], buckets=1)
     return cities.orderBy(F.desc("revenue"), F.desc("city")).limit(5)
 
 
@@ -973,19 +979,18 @@ def commit_after_success(spark: SparkSession, sf_dir: str) -> DataFrame:
         write(batch, batch_id)
         raise RuntimeError("lost after the output was stored")
 
-    messages = stream_io.stream_source(spark, path=path)
-    broken = stream_io.commit_after_success(messages, fails, f"{root}/checkpoint")
+    messages, log = stream_io.stream_source(spark, path=path), stream_io.commit_log(out)
+    broken = stream_io.commit_after_success(messages, fails, f"{root}/checkpoint", log=log)
     try:
         broken.awaitTermination()
     except StreamingQueryException:
-        pass  # the failure above; nothing is committed
-    running = stream_io.commit_after_success(messages, write, f"{root}/checkpoint")
+        pass  # the failure above; the rows are there, but no reader sees them
+    running = stream_io.commit_after_success(messages, write, f"{root}/checkpoint", log=log)
     try:
         running.processAllAvailable()
     finally:
         running.stop()
-    stored = spark.read.schema(schemas.KEYED_MESSAGE).parquet(out)
-    return order_events.parse_order_events(stored)
+    return order_events.parse_order_events(stream_io.read_committed(spark, out, schemas.KEYED_MESSAGE))
 
 
 @query
@@ -1000,16 +1005,16 @@ def bounded_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = stream_ops.run_dedup(_activity_stream(spark, sf_dir), fresh_dir(spark, "stream"))
-    return stored.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+    """First deliveries, when copies come in later files than the first and events in any order."""
+    root = fresh_dir(spark, "stream")
+    return stream_ops.run_dedup(_activity_stream(spark, sf_dir, root), root, folders=8, blocks=8)
 
 
 @query
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = stream_io.table_stream(spark, sf_dir, "events").select(
-        F.col("user_id").cast("string").alias("user_id"), F.col("ts").alias("event_timestamp")
-    )
-    return stream_io.run_complete(stream_ops.stream_sessions(events), fresh_dir(spark, "stream"))
+    """Sessions of events that come file by file in no order of time."""
+    root = fresh_dir(spark, "stream")
+    return stream_ops.run_sessions(_activity_stream(spark, sf_dir, root, repeated=False), root, grain="month")
 
 
 @query

@@ -11,9 +11,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sinks.writers import write_partitioned
@@ -51,16 +51,14 @@ class FolderTable:
 
     def manifest(self) -> Manifest:
         """The last published manifest. Two paths take turns, so one that is being replaced is never the last one."""
-        rows = read_parquet_prefix(self.spark, f"{self.root}/manifest", "", MANIFEST).select(*MANIFEST.names)
-        last = rows.groupBy("version").agg(F.collect_list(F.struct("folder", "batch", "note")).alias("rows"))
-        top = last.orderBy(F.desc("version")).limit(1).collect()
-        if not top:
-            return Manifest()
+        # The versions of both turns; small, so no shuffle is worth its start.
+        rows = read_parquet_prefix(self.spark, f"{self.root}/manifest", "", MANIFEST).collect()
+        version = max((r.version for r in rows), default=0)
         batches: dict[str | None, tuple[str, ...]] = {}
-        for r in top[0].rows:
-            if r.batch is not None:
+        for r in rows:
+            if r.version == version and r.batch is not None:
                 batches[r.folder] = (*batches.get(r.folder, ()), r.batch)
-        return Manifest(top[0].version, top[0].rows[0].note, batches)
+        return Manifest(version, next((r.note for r in rows if r.version == version), None), batches)
 
     def publish(self, before: Manifest, batches: Mapping[str | None, Sequence[str]], note: str | None = None) -> Manifest:
         """Make `batches` the content of the table; refused if somebody else has published since `before`."""
@@ -78,9 +76,10 @@ class FolderTable:
         batch = uuid.uuid4().hex
         path = f"{self.root}/data/batch={batch}"
         write_partitioned(rows.select(*self.schema.names), path, [self.folder], sort_by, mode="errorifexists")
-        written = read_parquet_prefix(self.spark, f"{self.root}/data", f"batch={batch}/", self._stored)
-        folders = written.select(F.col(self.folder).cast("string").alias("folder")).distinct().collect()
-        return batch, [r.folder for r in folders]
+        files = read_parquet_prefix(self.spark, path, "", self.schema).inputFiles()
+        names = {unquote(n) for f in files for n in f.split("/") if n.startswith(f"{self.folder}=")}
+        folders = sorted(n.partition("=")[2] for n in names)
+        return batch, [None if f == _NO_VALUE else f for f in folders]
 
     def read(self, manifest: Manifest | None = None, folders: Iterable[str | None] | None = None) -> DataFrame:
         """All rows, or those of some folders. A filter on the folder column opens no other folders either."""

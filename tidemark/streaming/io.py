@@ -1,20 +1,21 @@
 """Stream sources, sinks and bounded runs.
 
 Progress is the checkpoint; it advances only after a batch's output is stored. Outputs of a batch go to
-a folder named after its id and are replaced when the batch is repeated, so a lost executor or driver
-leaves neither gaps nor duplicates.
+a folder named after its id and are replaced when the batch is repeated, and readers see a batch once a commit log
+(or a table's manifest) names it, so a lost executor or driver leaves neither gaps nor duplicates nor half a batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.cleaning import dedup_latest
+from tidemark.sinks.folders import FolderTable, Manifest
 from tidemark.sources.readers import read_parquet_prefix
 from tidemark.sources.schemas import KEYED_MESSAGE
 
@@ -49,18 +50,57 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, **options: str) ->
     )
 
 
+_COMMIT = T.StructType([T.StructField("batch_id", T.LongType())])
+
+
+def committed(spark: SparkSession, log: str) -> int:
+    """The last batch that a commit log names; -1 before the first."""
+    last = read_parquet_prefix(spark, log, "", _COMMIT).agg(F.max("batch_id")).first()[0]
+    return -1 if last is None else last
+
+
+def consume(batch: DataFrame) -> None:
+    """Compute a batch and drop its rows: state that it depends on has to move on even if the output is there."""
+    batch.write.format("noop").mode("overwrite").save()
+
+
+def _logged(batch_fn: Callable[[DataFrame, int], None], log: str | None) -> Callable[[DataFrame, int], None]:
+    """`batch_fn`, then an entry in the log. For a batch that the log names already `batch_fn` is not called again.
+
+    Batches come one after the other, so the log is one number; two paths take turns, so the one that is being
+    replaced is never the last.
+    """
+    if log is None:
+        return batch_fn
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if batch_id <= committed(spark, log):
+            consume(batch)
+            return
+        batch_fn(batch, batch_id)
+        done = spark.createDataFrame([(batch_id,)], _COMMIT).coalesce(1)
+        done.write.mode("overwrite").parquet(f"{log}/turn={batch_id % 2}")
+
+    return run
+
+
 def bounded_run(
     stream: DataFrame,
     batch_fn: Callable[[DataFrame, int], None],
     checkpoint: str,
     mode: str = "append",
+    log: str | None = None,
 ) -> StreamingQuery:
-    """Process all that is there now, then stop. `maxFilesPerTrigger` at the source sizes the batches."""
+    """Process all that is there now, then stop; the source's `maxBytesPerTrigger` or `maxFilesPerTrigger` sizes batches.
+
+    With `log`, a batch is committed there once `batch_fn` returned, and `read_committed` shows it from then on.
+    """
     query = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(batch_fn)
+        .foreachBatch(_logged(batch_fn, log))
         .start()
     )
     query.awaitTermination()
@@ -68,13 +108,17 @@ def bounded_run(
 
 
 def commit_after_success(
-    stream: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+    stream: DataFrame,
+    batch_fn: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    mode: str = "append",
+    log: str | None = None,
 ) -> StreamingQuery:
     """Continuous form of `bounded_run`: a batch is done when `batch_fn` returned, otherwise it is repeated."""
     return (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(batch_fn)
+        .foreachBatch(_logged(batch_fn, log))
         .start()
     )
 
@@ -92,10 +136,23 @@ def append_batches(root: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def commit_log(root: str) -> str:
+    """Where the commits of the batches below `root` are kept: next to them, so that no reader takes it for data."""
+    return f"{root}-commits"
+
+
+def read_committed(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The rows of all committed batches below `root`; those of a batch that failed, or still runs, are not read."""
+    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    stored = read_parquet_prefix(spark, root, "", full)
+    return stored.where(F.col("batch_id") <= committed(spark, commit_log(root))).select(*schema.names)
+
+
 def run_append(stream: DataFrame, root: str, mode: str = "append") -> DataFrame:
     """Run to the end of the available data and return all rows the stream put out."""
-    bounded_run(stream, append_batches(f"{root}/out"), f"{root}/checkpoint", mode)
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/out").select(*stream.columns)
+    out = f"{root}/out"
+    bounded_run(stream, append_batches(out), f"{root}/checkpoint", mode, commit_log(out))
+    return read_committed(stream.sparkSession, out, stream.schema)
 
 
 def store_version(batch: DataFrame, batch_id: int, root: str) -> None:
@@ -128,16 +185,54 @@ def run_complete(stream: DataFrame, root: str) -> DataFrame:
     return read_version(stream.sparkSession, out, stream.schema)
 
 
-def run_update(stream: DataFrame, root: str, keys: Sequence[str]) -> DataFrame:
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _with_fields(schema: T.StructType, **more: T.DataType) -> T.StructType:
+    return T.StructType([*schema.fields, *[T.StructField(name, kind) for name, kind in more.items()]])
+
+
+def keyed_table(spark: SparkSession, root: str, schema: T.StructType) -> FolderTable:
+    """The stored result of `run_update`: the changes of each batch, in folders by key."""
+    return FolderTable(spark, root, "bucket", _with_fields(schema, batch_id=T.LongType(), bucket=T.IntegerType()))
+
+
+def latest_of_keys(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return dedup_latest(changes, keys, "batch_id")
+
+
+def once_per_batch(table: FolderTable, change: Callable[[DataFrame, Manifest, str], None]) -> Callable[[DataFrame, int], None]:
+    """A batch function that changes a table whose note is the last batch: a repeated batch changes nothing."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        before = table.manifest()
+        if before.note is not None and batch_id <= int(before.note):
+            consume(batch)
+        else:
+            change(batch, before, str(batch_id))
+
+    return write
+
+
+def store_changes(table: FolderTable, keys: Sequence[str], buckets: int, most: int) -> Callable[[DataFrame, int], None]:
+    """Append the changed keys of each batch; folders of more than `most` batches become one, with the last state of each key."""
+
+    def change(batch: DataFrame, before: Manifest, number: str) -> None:
+        rows = batch.withColumn("batch_id", F.lit(number).cast("bigint")).withColumn("bucket", bucket_of(keys, buckets))
+        table.compact(table.append(before, rows, number), most, lambda changes: latest_of_keys(changes, keys))
+
+    return once_per_batch(table, change)
+
+
+def run_update(stream: DataFrame, root: str, keys: Sequence[str], buckets: int = 8, most: int = 8) -> DataFrame:
     """Run an aggregation and return its result, storing per batch only the keys that changed.
 
-    For many keys: `run_complete` would write all of them with every batch.
+    A reader opens one snapshot and a few changes per folder, however many batches there were.
     """
-    out = f"{root}/out"
-    bounded_run(stream, append_batches(out), f"{root}/checkpoint", "update")
-    full = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
-    changes = read_parquet_prefix(stream.sparkSession, out, "", full)
-    return dedup_latest(changes, keys, "batch_id").select(*stream.columns)
+    table = keyed_table(stream.sparkSession, f"{root}/out", stream.schema)
+    bounded_run(stream, store_changes(table, keys, buckets, most), f"{root}/checkpoint", "update")
+    return latest_of_keys(table.read(), keys).select(*stream.columns)
 
 
 def write_topic(messages: DataFrame, path: str) -> None:

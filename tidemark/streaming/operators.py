@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.order_events import last_n, mean_of_last, parse_with_message, with_reject_reason
-from tidemark.sources.readers import read_parquet_prefix
-from tidemark.streaming.io import batch_folder, bounded_run, read_version, store_version
+from tidemark.operators.sessions import merge_sessions, user_sessions
+from tidemark.sinks.folders import FolderTable, Manifest
+from tidemark.streaming.io import batch_folder, bounded_run, bucket_of, commit_log, once_per_batch, read_committed
 
 
 def with_event_time(stream: DataFrame, ts: str = "event_timestamp") -> DataFrame:
@@ -35,23 +36,85 @@ def stream_dedup(
     return rows.dropDuplicatesWithinWatermark([key])
 
 
-def run_dedup(stream: DataFrame, root: str, key: str = "event_id") -> DataFrame:
+class SeenKeys:
+    """The keys of all events so far, in folders by hash, with a filter per folder.
+
+    A filter is a handful of bitmaps of 4 KiB, one per block of its folder; a key sets one bit of one block and may
+    be new only if its bit was not set. So a batch reads the filters, and of the keys only the folders in which one
+    of its bits was set before, however many batches came earlier.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, kind: T.DataType, folders: int = 64, blocks: int = 64, most: int = 8):
+        self.spark, self.folders, self.blocks, self.most = spark, folders, blocks, most
+        number, folder = T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType())
+        self.keys = FolderTable(spark, f"{root}/keys", "bucket", T.StructType([T.StructField("key", kind), number, folder]))
+        block, bits = T.StructField("block", T.LongType()), T.StructField("bits", T.BinaryType())
+        self.filters = FolderTable(spark, f"{root}/filters", "bucket", T.StructType([block, bits, folder]))
+
+    def _placed(self, keys: DataFrame) -> DataFrame:
+        """(key, bucket, block, bit): where each key belongs."""
+        spot = F.xxhash64("key", F.lit(1))
+        return keys.select(
+            "key",
+            bucket_of(["key"], self.folders).alias("bucket"),
+            F.pmod(F.shiftright(spot, 15), F.lit(self.blocks)).alias("block"),
+            spot.bitwiseAND(F.lit(32767)).alias("bit"),
+        )
+
+    def unseen(self, keys: DataFrame, batch_id: int) -> DataFrame:
+        """The keys (one row each) that no earlier batch has stored."""
+        known = self.filters.manifest()
+        if not known.batches:
+            return keys
+        filters = self.filters.read(known).withColumnsRenamed({"bucket": "b", "block": "k"})
+        placed = self._placed(keys)
+        met = placed.join(filters, (F.col("bucket") == F.col("b")) & (F.col("block") == F.col("k")), "left")
+        byte = F.conv(F.hex(F.substring("bits", (F.shiftright("bit", 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        hit = F.getbit(byte, F.col("bit").bitwiseAND(F.lit(7)).cast("int")) == 1
+        marked = met.select("key", "bucket", F.coalesce(hit, F.lit(False)).alias("maybe"))
+        # One row per folder at most, and there are only so many folders.
+        opened = [str(r.bucket) for r in marked.where("maybe").select("bucket").distinct().collect()]
+        if not opened:
+            return keys
+        stored = self.keys.read(folders=opened).where(F.col("batch_id") < batch_id).select("key")
+        return marked.where("not maybe").select("key").unionByName(marked.where("maybe").select("key").join(stored, "key", "left_anti"))
+
+    def add(self, keys: DataFrame, batch_id: int) -> None:
+        """Store new keys. A repeated batch does no harm: its own keys do not count, and equal ones are merged."""
+        rows = self._placed(keys)
+        before = self.keys.manifest()
+        after = self.keys.append(before, rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+        self.keys.compact(after, self.most, lambda df: df.groupBy("key", "bucket").agg(F.min("batch_id").alias("batch_id")))
+        bits = rows.groupBy("bucket", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+        known = self.filters.manifest()
+        touched = [str(r.bucket) for r in rows.select("bucket").distinct().collect()]
+        both = self.filters.read(known, touched).unionByName(bits.select("block", "bits", "bucket"))
+        self.filters.replace(known, both.groupBy("block", "bucket").agg(F.bitmap_or_agg("bits").alias("bits")), touched)
+
+
+def run_dedup(stream: DataFrame, root: str, key: str = "event_id", **sizes: int) -> DataFrame:
     """Run to the end of the available data and return the first delivery of every event, however late.
 
-    Each batch drops its own copies, then the events of earlier batches, whose keys are read from what is
-    stored. A repeated batch replaces itself and does not see itself. Events without a key are no copies: all stay.
+    Each batch drops its own copies, then the events whose key `SeenKeys` holds (`sizes` are its). Events without a
+    key are no copies: all stay. A batch is read once it is committed; a repeated batch replaces itself and does not
+    see itself.
     """
-    out = f"{root}/out"
-    full = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
+    spark, out = stream.sparkSession, f"{root}/out"
+    seen = SeenKeys(spark, root, stream.schema[key].dataType, **sizes)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stored = read_parquet_prefix(batch.sparkSession, out, "", full).where(F.col("batch_id") < batch_id)
-        keyed = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
-        fresh = keyed.join(stored.select(key), key, "left_anti").select(*stream.columns)
-        fresh.unionByName(batch.where(F.col(key).isNull()).select(*stream.columns)).write.mode("overwrite").parquet(batch_folder(out, batch_id))
+        stored = f"{root}/new-keys/turn={batch_id % 2}"
+        keys = batch.where(F.col(key).isNotNull()).select(F.col(key).alias("key")).distinct()
+        seen.unseen(keys, batch_id).write.mode("overwrite").parquet(stored)
+        new = spark.read.schema(T.StructType([T.StructField("key", stream.schema[key].dataType)])).parquet(stored)
+        once = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
+        fresh = once.join(new, once[key] == new["key"], "left_semi").select(*stream.columns)
+        alone = batch.where(F.col(key).isNull()).select(*stream.columns)
+        seen.add(new, batch_id)
+        fresh.unionByName(alone).write.mode("overwrite").parquet(batch_folder(out, batch_id))
 
-    bounded_run(stream, write, f"{root}/checkpoint")
-    return read_parquet_prefix(stream.sparkSession, out, "", full).select(*stream.columns)
+    bounded_run(stream, write, f"{root}/checkpoint", log=commit_log(out))
+    return read_committed(spark, out, stream.schema)
 
 
 def stream_sessions(
@@ -81,6 +144,29 @@ def stream_sessions(
     )
 
 
+def run_sessions(events: DataFrame, root: str, gap_minutes: int = 30, most: int = 8, grain: str = "day") -> DataFrame:
+    """Run to the end of the available data and return all sessions, whatever the order in which events came.
+
+    A batch stores only its own events' sessions, in folders by the day (or month) of their start. They are put together with those of other
+    batches when they are read, and in the folders themselves once one consists of more than `most` batches; late
+    events close the pause between two sessions like any others. A repeated batch is stored once.
+    """
+    spark = events.sparkSession
+    parts = "user_id string, session_start timestamp_ntz, session_end timestamp_ntz, events_in_session bigint, period date"
+    table = FolderTable(spark, f"{root}/out", "period", T.StructType.fromDDL(parts))
+
+    def placed(sessions: DataFrame) -> DataFrame:
+        return sessions.withColumn("period", F.to_date(F.date_trunc(grain, "session_start")))
+
+    def change(batch: DataFrame, before: Manifest, number: str) -> None:
+        own = user_sessions(batch.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz")), gap_minutes)
+        after = table.append(before, placed(own), number)
+        table.compact(after, most, lambda rows: placed(merge_sessions(rows, gap_minutes)))
+
+    bounded_run(events.select("user_id", "event_timestamp"), once_per_batch(table, change), f"{root}/checkpoint")
+    return merge_sessions(table.read(), gap_minutes)
+
+
 def stream_daily_metrics(
     stream: DataFrame, watermark: str = "1 day", purchase: str = "purchase", rsd: float = 0.02
 ) -> DataFrame:
@@ -115,30 +201,31 @@ def run_split(
         routed = batch.withColumn("valid", F.col("reject_reason").isNull())
         routed.write.mode("overwrite").partitionBy("valid").parquet(batch_folder(out, batch_id))
 
-    bounded_run(marked, write, f"{root}/checkpoint")
-    folders = [T.StructField("batch_id", T.LongType()), T.StructField("valid", T.BooleanType())]
-    schema = T.StructType([*marked.schema.fields, *folders])
-    stored = events.sparkSession.read.schema(schema).parquet(out)
+    bounded_run(marked, write, f"{root}/checkpoint", log=commit_log(out))
+    schema = T.StructType([*marked.schema.fields, T.StructField("valid", T.BooleanType())])
+    stored = read_committed(events.sparkSession, out, schema)
     columns = [c for c in marked.columns if c != "reject_reason"]
     return stored.where(F.col("valid")).select(*columns), stored.where(~F.col("valid")).select(*columns, "reject_reason")
 
 
-def run_last_n(events: DataFrame, root: str, n: int = 100, key: str | None = None) -> DataFrame:
+def run_last_n(events: DataFrame, root: str, n: int = 100, key: str | None = None, buckets: int = 8) -> DataFrame:
     """Mean of the latest n amounts after all available events.
 
-    State is a table of the latest n events (per key). A batch first shrinks to its own latest n in every
-    map task, so one busy key costs no task more than the others; a repeated batch starts again from the
-    version before it.
+    State is a table of the latest n events (per key), in folders by key: a batch rewrites only the folders of its
+    keys. It first shrinks to its own latest n in every map task, so one busy key costs no task more than the
+    others. A repeated batch is taken once.
     """
     spark: SparkSession = events.sparkSession
     rows = events.select(*dict.fromkeys(["timestamp", "order_id", "amount", *([key] if key else [])]))
-    state = f"{root}/state"
-
-    def update(batch: DataFrame, batch_id: int) -> None:
-        latest = last_n(batch, n, key)
-        if batch_id > 0:
-            latest = last_n(latest.unionByName(read_version(spark, state, rows.schema, batch_id - 1)), n, key)
-        store_version(latest, batch_id, state)
-
-    bounded_run(rows, update, f"{root}/checkpoint")
-    return mean_of_last(read_version(spark, state, rows.schema), key)
+    schema = T.StructType([*rows.schema.fields, T.StructField("bucket", T.IntegerType())])
+    state = FolderTable(spark, f"{root}/state", "bucket", schema)
+    bucket = bucket_of([key], buckets) if key else F.lit(0)
+
+    def change(batch: DataFrame, before: Manifest, number: str) -> None:
+        latest = last_n(batch, n, key).withColumn("bucket", bucket)
+        touched = [str(r.bucket) for r in latest.select("bucket").distinct().collect()]
+        both = latest.unionByName(state.read(before, touched))
+        state.replace(before, last_n(both, n, key), touched, number)
+
+    bounded_run(rows, once_per_batch(state, change), f"{root}/checkpoint")
+    return mean_of_last(state.read().drop("bucket"), key)
