@@ -481,6 +481,8 @@ SQL: dict[str, str] = {
              and (v.valid_to is null or f.refund_timestamp < v.valid_to)""",
     "scd2_apply": _scd2("n.signup_timestamp > o.signup_timestamp", "n.signup_timestamp"),
     "scd2_apply_columns": _scd2("n.country is distinct from o.country", "timestamp '2024-02-01'"),
+    "scd2_apply_stored": _scd2("n.country is distinct from o.country", "timestamp '2024-02-01'"),
+    "store_checked": "select * from stg_orders",
     # Metrics and dashboards
     "metric_query_growth": f"""
         select cast(date_trunc('week', event_date) as date) as period,

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from samples import small_warehouse, ts
-from tidemark.operators import cleaning, quality
+from tidemark.operators import cleaning, history, quality
 from tidemark.operators.revenue import fct_revenue_from_staging, order_refunds
-from tidemark.plans import incremental
+from tidemark.plans import contracts, incremental
 from tidemark.plans.quality_rules import CONTRACT_NOT_NULL, FCT_REVENUE_CONTRACT, RULES, STG_ORDERS_CONTRACT
+from tidemark.plans.stored_history import StoredHistory
 from tidemark.plans.warehouse import MODELS
 from tidemark.sinks import writers
 from tidemark.sinks.folders import FolderTable
@@ -72,6 +73,66 @@ ORDERS = [
 REFUNDS = [("r1", "1", 1, "2024-01-02", 1), ("r2", "3", 2, "2024-01-04", 1), ("r3", None, 7, "2024-01-04", 1)]
 
 
+def test_selected_files_prune_folders_at_run_time(spark, tmp_path, rows):
+    path = str(tmp_path / "la ke+x")
+    writers.write_partitioned(lake(spark), path, ["year", "month"])
+    files = readers.list_files(spark, path)
+    for chosen in ("relative_path like '%month=2/%'", "relative_path like '%HIVE_DEFAULT%'", "true"):
+        got = writers.read_selected(spark, path, files.where(chosen))
+        expected = {"true": "true", "relative_path like '%month=2/%'": "month = 2"}.get(chosen, "year is null")
+        assert rows(got, *lake(spark).columns) == rows(lake(spark).where(expected))
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in text
+
+
+def users_at(spark, *data):
+    return spark.createDataFrame([(k, c, ts(t)) for k, c, t in data], "user_id string, country string, seen timestamp_ntz")
+
+
+def test_stored_history_rewrites_the_folders_of_its_batch(spark, tmp_path, rows):
+    first = users_at(spark, *[(str(i), "a", "2024-01-01") for i in range(300)])
+    kept = StoredHistory(spark, str(tmp_path), first.schema, "user_id", "seen", buckets=64)
+    assert kept.apply(first) == 64
+    before = kept.table.manifest().batches
+    few = [(str(i), "b", "2024-02-01") for i in range(10)]
+    assert kept.apply(users_at(spark, *few)) <= 10
+    after = kept.table.manifest().batches
+    assert sum(after.get(f) != b for f, b in before.items()) <= 10
+    plain = history.scd2_apply(history.open_history(first, "user_id", "seen"), users_at(spark, *few), "user_id", "seen")
+    assert rows(kept.read()) == rows(plain)
+    third = users_at(spark, ("3", "c", "2024-03-01"), ("999", "x", "2024-03-01"), ("4", "old", "2023-01-01"))
+    kept.apply(third)
+    plain = history.scd2_apply(plain, third, "user_id", "seen")
+    assert rows(kept.read()) == rows(plain) and rows(kept.current()) == rows(plain.where("is_current"))
+    # Closed versions are added to, never rewritten.
+    closed = {f: b for f, b in kept.table.manifest().batches.items() if f.startswith("closed-")}
+    assert all(closed[f][: len(b)] == b for f, b in after.items() if f.startswith("closed-"))
+
+
+def test_a_broken_contract_leaves_the_last_version(spark, tmp_path, rows):
+    path, orders = str(tmp_path / "orders"), small_warehouse(spark).stg_orders
+    rules = RULES["stg_orders"]
+
+    def store(df):
+        return contracts.store_checked(df, path, "stg_orders", STG_ORDERS_CONTRACT, CONTRACT_NOT_NULL, rules)
+
+    expected = rows(store(orders))
+    broken = {
+        "order_amount": orders.withColumn("order_amount", F.lit(-1).cast("decimal(38,9)")),
+        "user_id": orders.withColumn("user_id", F.lit(None).cast("string")),
+        "order_id": orders.unionByName(orders),
+        "currency": orders.drop("currency"),
+        "created_at": orders.withColumn("created_at", F.lit("x")),
+        "more": orders.withColumn("more", F.lit(1)),
+    }
+    for column, df in broken.items():
+        with pytest.raises(contracts.ContractBroken) as refused:
+            store(df)
+        assert [c for c, _ in refused.value.issues][0] == column
+        assert rows(writers.read_table(spark, path, orders.schema)) == expected
+    assert rows(store(orders.limit(1))) == rows(writers.read_table(spark, path, orders.schema))
+
+
 def loads(spark, users=(), orders=(), refunds=(), through=99):
     """Raw tables from short rows that end with the day of January on which they were loaded."""
     day = lambda n: dt.date(2024, 1, n)

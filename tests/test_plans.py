@@ -14,7 +14,7 @@ BATCH = [
     name
     for name in QUERIES
     if not name.startswith(("stream_", "write_", "read_", "append_", "bounded_", "commit_"))
-    and name not in ("run_checks", "pipeline_monitoring", "incremental_revenue", "select_unprocessed", "payments_sink_topic")
+    and name not in ("run_checks", "pipeline_monitoring", "incremental_revenue", "select_unprocessed", "payments_sink_topic", "store_checked", "scd2_apply_stored")
 ]
 
 

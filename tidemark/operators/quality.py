@@ -147,18 +147,24 @@ def check_row_count(df: DataFrame, low: int, high: int | None, table: str) -> Da
     return run_table_checks(df, [RowCount(low, high)], table)
 
 
-def check_contract(df: DataFrame, expected: T.StructType, not_null: Sequence[str], table: str) -> DataFrame:
-    """Differences between a table and its declared columns, types and not-null constraints."""
-    actual = {f.name: f.dataType for f in df.schema.fields}
-    wanted = {f.name: f.dataType for f in expected.fields}
-    issues = [(c, "missing column") for c in wanted if c not in actual]
-    issues += [(c, "undeclared column") for c in actual if c not in wanted]
+def schema_issues(actual: T.StructType, declared: T.StructType) -> list[tuple[str, str]]:
+    """(column, what is wrong) for columns that are missing, undeclared or of another type."""
+    found = {f.name: f.dataType for f in actual.fields}
+    wanted = {f.name: f.dataType for f in declared.fields}
+    issues = [(c, "missing column") for c in wanted if c not in found]
+    issues += [(c, "undeclared column") for c in found if c not in wanted]
     issues += [
-        (c, f"type {actual[c].simpleString()}, declared {t.simpleString()}")
+        (c, f"type {found[c].simpleString()}, declared {t.simpleString()}")
         for c, t in wanted.items()
-        if c in actual and actual[c] != t
+        if c in found and found[c] != t
     ]
-    checked = [c for c in not_null if c in actual]
+    return issues
+
+
+def check_contract(df: DataFrame, expected: T.StructType, not_null: Sequence[str], table: str) -> DataFrame:
+    """Differences between a table and its declared columns, types and not-null constraints."""
+    issues = schema_issues(df.schema, expected)
+    checked = [c for c in not_null if c in df.columns]
     nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in checked], F.lit(0).alias("__none"))
     rows = [
         F.struct(F.lit(c).alias("column_name"), F.lit("null values").alias("issue"), (F.col(c) > 0).alias("broken"))

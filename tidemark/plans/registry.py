@@ -23,8 +23,9 @@ from tidemark.operators import (
     revenue,
     sessions,
 )
-from tidemark.plans import dashboards, incremental, semantic
+from tidemark.plans import contracts, dashboards, incremental, semantic
 from tidemark.plans.quality_rules import CONTRACT_NOT_NULL, FCT_REVENUE_CONTRACT, RULES, STG_ORDERS_CONTRACT
+from tidemark.plans.stored_history import StoredHistory
 from tidemark.plans.warehouse import MODELS, Warehouse, from_star_schema
 from tidemark.session import fresh_dir, tune
 from tidemark.sinks import writers
@@ -664,6 +665,20 @@ def check_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check_contract(changed, declared, [*CONTRACT_NOT_NULL, "country"], "fct_revenue")
 
 
+@query
+def store_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored orders after a version without amounts was refused."""
+    path, orders = fresh_dir(spark, "orders"), _warehouse(spark, sf_dir).stg_orders
+    rules = RULES["stg_orders"]
+    contracts.store_checked(orders, path, "stg_orders", STG_ORDERS_CONTRACT, CONTRACT_NOT_NULL, rules)
+    broken = orders.withColumn("order_amount", F.lit(None).cast("decimal(38,9)"))
+    try:
+        contracts.store_checked(broken, path, "stg_orders", STG_ORDERS_CONTRACT, CONTRACT_NOT_NULL, rules)
+    except contracts.ContractBroken:
+        pass  # as it has to be; the version before stays
+    return writers.read_table(spark, path, orders.schema)
+
+
 @query
 def run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared checks on the stored warehouse."""
@@ -766,6 +781,16 @@ def scd2_apply_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def scd2_apply_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored history after two batches, the second by columns."""
+    before, after = _two_batches(spark, sf_dir)
+    kept = StoredHistory(spark, fresh_dir(spark, "history"), before.schema, "user_id", "signup_timestamp", buckets=8)
+    kept.apply(before)
+    kept.apply(after, tracked=["country", "acquisition_channel"], as_of=AS_OF)
+    return kept.read()
+
+
 # --- Metrics and dashboards --------------------------------------------------------------------
 
 

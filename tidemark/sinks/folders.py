@@ -95,6 +95,15 @@ class FolderTable:
         reader = self.spark.read.schema(self._stored).option("basePath", f"{self.root}/data")
         return reader.parquet(*paths).select(*self.schema.names)
 
+    def change(
+        self, before: Manifest, rows: DataFrame, replaced: Iterable[str | None], note: str | None = None, sort_by: Sequence[str] = ()
+    ) -> Manifest:
+        """Publish `rows`: in the folders `replaced` they are all there is from now on, in others they come on top."""
+        batch, written = self.store(rows, sort_by)
+        gone = set(replaced)
+        batches = {f: b for f, b in before.batches.items() if f not in gone}
+        return self.publish(before, {**batches, **{f: (*batches.get(f, ()), batch) for f in written}}, note)
+
     def replace(
         self, before: Manifest, rows: DataFrame, folders: Iterable[str | None], note: str | None = None, sort_by: Sequence[str] = ()
     ) -> Manifest:
@@ -108,9 +117,7 @@ class FolderTable:
 
     def append(self, before: Manifest, rows: DataFrame, note: str | None = None, sort_by: Sequence[str] = ()) -> Manifest:
         """Publish `rows` next to what their folders hold."""
-        batch, written = self.store(rows, sort_by)
-        added = {f: (*before.batches.get(f, ()), batch) for f in written}
-        return self.publish(before, {**before.batches, **added}, note)
+        return self.change(before, rows, (), note, sort_by)
 
     def compact(self, before: Manifest, most: int, merge: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> Manifest:
         """Rewrite the folders that consist of more than `most` batches as one batch each, after `merge`."""
