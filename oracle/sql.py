@@ -240,6 +240,25 @@ SQL: dict[str, str] = {
                      count(distinct user_id) as active_users, count(order_id) as orders,
                      cast(sum(order_amount) as decimal(38,9)) as revenue
               from fct_revenue group by 1)""",
+    "revenue_decomposition_items": f"""
+        select period, active_users, orders, {rnd("cast(orders as double) / active_users")} as orders_per_user,
+               {rnd(f"{dbl('revenue')} / orders")} as aov, items, {rnd("cast(items as double) / orders")} as items_per_order,
+               {rnd(f"{dbl('revenue')} / items")} as item_price, revenue
+        from (select cast(date_trunc('month', order_timestamp) as date) as period,
+                     count(distinct user_id) as active_users, count(f.order_id) as orders,
+                     cast(sum(order_amount) as decimal(38,9)) as revenue, cast(sum(l.items) as bigint) as items
+              from fct_revenue f left join (select cast(l_orderkey as varchar) as order_id,
+                                                   sum(cast(l_quantity as bigint)) as items from lineitem group by 1) l
+                   on f.order_id = l.order_id group by 1)""",
+    "user_retention_by_signup_plan": f"""
+        with cohorts as (
+          select u.user_id, v.plan, cast(date_trunc('month', u.signed) as timestamp) as cohort_month
+          from (select *, signup_timestamp + interval 3 years as signed from stg_users) u
+          left join {VERSIONS} v on u.user_id = v.user_id and v.valid_from <= u.signed
+               and (v.valid_to is null or u.signed < v.valid_to)),
+        months as (select distinct user_id, cast(date_trunc('month', order_timestamp) as timestamp) as order_month from fct_revenue)
+        select plan, cohort_month, order_month, count(*) as active_users
+        from cohorts join months using (user_id) where order_month >= cohort_month group by 1, 2, 3""",
     "segment_change": f"""
         select segment, value_a, value_b, cast(value_b - value_a as decimal(38,9)) as change,
                {rnd(f"{dbl('value_b - value_a')} / {dbl('sum(value_b - value_a) over ()')}")} as share_of_change
@@ -331,6 +350,50 @@ SQL: dict[str, str] = {
     "growth_accounting_purchases": growth_accounting_sql(
         "(select * from stg_events where event_name = 'purchase')"
     ),
+    "rolling_active_users_by_channel": f"""
+        with active as (select distinct e.user_id, acquisition_channel as c,
+                               cast(event_timestamp + interval '5 hours 30 minutes' as date) as day
+                        from stg_events e left join stg_users u on e.user_id = u.user_id),
+             days as (select d.c as acquisition_channel, d.day as event_date, {", ".join(
+                 f"(select count(distinct user_id) from active a where a.c is not distinct from d.c "
+                 f"and a.day > d.day - {n} and a.day <= d.day) as {name}" for name, n in (("dau", 1), ("wau", 7), ("mau", 30)))}
+                      from (select distinct c, day from active) d)
+        select *, {sdiv("dau", "mau")} as stickiness_ratio from days""",
+    "churned_users_by_channel": """
+        with active as (select distinct e.user_id, acquisition_channel as c,
+                               cast(event_timestamp + interval '5 hours 30 minutes' as date) as day
+                        from stg_events e left join stg_users u on e.user_id = u.user_id)
+        select d.c as acquisition_channel, d.day as activity_date,
+               (select count(*) from active y where y.c is not distinct from d.c and y.day = d.day - 1 and not exists (
+                    select 1 from active t where t.day = d.day and t.user_id = y.user_id)) as churned_users
+        from (select distinct c, day from active) d""",
+    "churned_users_local": """
+        with active as (select distinct user_id, cast(event_timestamp + interval '5 hours 30 minutes' as date) as day from stg_events)
+        select d.day as activity_date,
+               (select count(*) from active y where y.day = d.day - 1 and not exists (
+                    select 1 from active t where t.day = d.day and t.user_id = y.user_id)) as churned_users
+        from (select distinct day from active) d""",
+    "ab_sequential": """
+        with entered as (select experiment_id, lower(experiment_group) as g, cast(user_id as varchar) as user_id,
+                                min(cast(assigned_at as timestamp)) as assigned_at from assignments_raw group by 1, 2, 3),
+             bought as (select cast(user_id as varchar) as user_id, ts from events where event_type = 'purchase' and value > 150),
+             first as (select experiment_id, g, e.user_id, min(ts) as ts from entered e join bought b
+                       on e.user_id = b.user_id and b.ts >= e.assigned_at group by 1, 2, 3),
+             moves as (select experiment_id, g, cast(assigned_at as date) as day, 1 as n, 0 as x from entered
+                       union all select experiment_id, g, cast(ts as date), 0, 1 from first),
+             days as (select experiment_id, day, sum(n) filter (g = 'control') as nc, sum(n) filter (g = 'treatment') as nt,
+                             sum(x) filter (g = 'control') as xc, sum(x) filter (g = 'treatment') as xt from moves group by 1, 2),
+             seen as (select experiment_id, day, sum(coalesce(nc, 0)) over w as nc, sum(coalesce(nt, 0)) over w as nt,
+                             sum(coalesce(xc, 0)) over w as xc, sum(coalesce(xt, 0)) over w as xt
+                      from days window w as (partition by experiment_id order by day)),
+             rated as (select *, xt / nullif(nt, 0) - xc / nullif(nc, 0) as lift,
+                              (xt / nt) * (1 - xt / nt) / nt + (xc / nc) * (1 - xc / nc) / nc as v from seen),
+             looked as (select *, case when v > 0 then least(1.0::double, exp(-(0.05 * 0.05)::double * lift * lift
+                              / (2 * v * (v + 0.0025::double))) * sqrt((v + 0.0025::double) / v)) else 1.0::double end as p from rated)
+        select experiment_id, day, nc::bigint as control_users, nt::bigint as treatment_users, xc::bigint as control_conversions,
+               xt::bigint as treatment_conversions, round(lift, 8) as lift,
+               round(min(p) over w, 8) as always_valid_p, round(min(p) over w, 8) < 0.05 as may_stop
+        from looked window w as (partition by experiment_id order by day)""",
     "churned_users": """
         with active as (select distinct user_id, cast(event_timestamp as date) as day from stg_events)
         select d.day as activity_date,
@@ -455,6 +518,7 @@ SQL: dict[str, str] = {
             ("mart_growth_metrics", "growth_metrics", 365),
             ("mart_user_ltv", "user_ltv", 1),
             ("mart_ab_test_results", "ab_results", 1),
+            ("mart_pipeline_monitoring", "(select unnest(['fact', 'growth', 'retention', 'tests']))", 1),
         )
     ),
     "pipeline_monitoring": """
@@ -537,7 +601,7 @@ SQL: dict[str, str] = {
     "stream_dedup": "select event_id, user_id, event_name, event_timestamp from stg_events",
     "stream_sessions": "select user_id, session_start, session_end, events_in_session from user_sessions",
     "stream_daily_metrics": """
-        select event_date, total_events, purchases, true as active_users_close from product_metrics""",
+        select event_date, total_events, purchases, daily_active_users, true as active_users_close from product_metrics""",
 }
 
 ORACLE = {name: with_tables(sql) for name, sql in SQL.items()}

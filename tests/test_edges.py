@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 import hashlib
 import json
 import math
@@ -305,3 +306,41 @@ def test_metric_query_conditions_per_model(spark):
 def test_unique_over_several_columns(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (1, None), (1, None)], "a int, b int")
     assert quality.check_unique(df, "a, b", "t").first().failures == 1
+
+
+def test_looking_every_day_does_not_find_what_is_not_there(spark):
+    rng = random.Random(8)
+    day = lambda n: ts("2024-01-01") + dt.timedelta(days=n)
+    assigned, bought = [], []
+    for exp, lift in (("none", 0.0), ("large", 0.3)):
+        for i in range(1500):
+            group, start = ("treatment", "control")[i % 2], rng.randint(0, 5)
+            user = f"{exp}{i}"
+            assigned.append((exp, group, user, day(start)))
+            if rng.random() < 0.3 + (lift if group == "treatment" else 0):
+                bought.append((user, day(start + rng.randint(0, 20))))
+            bought.append((user, day(start - 1)))  # before the assignment: counts for nothing
+    a = spark.createDataFrame(assigned + assigned[:9], "experiment_id string, experiment_group string, user_id string, assigned_at timestamp_ntz")
+    c = spark.createDataFrame(bought + bought, "user_id string, converted_at timestamp_ntz")
+    found = {}
+    for r in experiments.ab_sequential(a, c).orderBy("day").collect():
+        found.setdefault(r.experiment_id, []).append(r)
+    assert not any(r.may_stop for r in found["none"]) and found["large"][-1].may_stop
+    for days in found.values():
+        p = [r.always_valid_p for r in days]
+        assert p == sorted(p, reverse=True) and days[-1].control_users == days[-1].treatment_users == 750
+        wanted = len({u for u, t in bought if u.startswith(days[0].experiment_id)})
+        assert days[-1].control_conversions + days[-1].treatment_conversions < wanted
+
+
+def test_cohorts_stay_what_they_were_at_signup(spark):
+    users = spark.createDataFrame([("1", ts("2024-01-05")), ("2", ts("2024-01-05")), ("3", ts("2024-01-05"))], "user_id string, signup_timestamp timestamp_ntz")
+    versions = spark.createDataFrame(
+        [("1", "in", ts("2024-01-01"), ts("2024-02-01"), False), ("1", "us", ts("2024-02-01"), None, True), ("2", "fr", ts("2024-01-06"), None, True)],
+        "user_id string, country string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean",
+    )
+    then = revenue.users_at_signup(users, versions)
+    assert {r.user_id: r.country for r in then.collect()} == {"1": "in", "2": None, "3": None}
+    orders = spark.createDataFrame([(u, ts("2024-03-01")) for u in "123"], "user_id string, order_timestamp timestamp_ntz")
+    got = {(r.country, r.active_users) for r in revenue.user_retention(then, orders, by=["country"]).collect()}
+    assert got == {("in", 1), (None, 2)}

@@ -75,7 +75,11 @@ def growth_metrics_as_written(ev: DataFrame, purchase: str = "purchase", tz: str
 
 
 def rolling_active_users(
-    ev: DataFrame, windows: tuple[int, int, int] = (1, 7, 30), approx: bool = False
+    ev: DataFrame,
+    windows: tuple[int, int, int] = (1, 7, 30),
+    approx: bool = False,
+    by: Sequence[str] = (),
+    tz: str | None = None,
 ) -> DataFrame:
     """Distinct users of the last 1, 7 and 30 days, for every day that has events.
 
@@ -83,28 +87,27 @@ def rolling_active_users(
     day, so nobody is counted twice in a window and no distinct count over a window is needed. Users
     collapse into (day, days until next) counts before anything is spread over the calendar.
     Approximate form: one sketch per day, merged over the window.
+    `by` splits the users, and then the days with events are those of each value; days are those of `tz`, or UTC.
     """
     longest = max(windows)
     if approx:
-        days = ev.groupBy(F.to_date("event_timestamp").alias("day")).agg(
-            F.hll_sketch_agg("user_id").alias("users")
-        )
-        spread = days.select("users", F.explode(F.sequence(F.lit(0), F.lit(longest - 1))).alias("age"), "day")
+        days = ev.groupBy(*by, _day(tz).alias("day")).agg(F.hll_sketch_agg("user_id").alias("users"))
+        spread = days.select(*by, "users", F.explode(F.sequence(F.lit(0), F.lit(longest - 1))).alias("age"), "day")
 
         def actives(n: int):
             return F.hll_sketch_estimate(F.hll_union_agg(F.when(F.col("age") < n, F.col("users"))))
 
         seen = F.count_if(F.col("age") == 0) > 0
     else:
-        nxt = F.lead("activity_date").over(W.partitionBy("user_id").orderBy("activity_date"))
+        nxt = F.lead("activity_date").over(W.partitionBy(*by, "user_id").orderBy("activity_date"))
         until = F.least(F.coalesce(F.datediff(nxt, "activity_date"), F.lit(longest)), F.lit(longest))
         counts = (
-            user_days(ev)
-            .select("user_id", F.col("activity_date").alias("day"), until.alias("until"))
-            .groupBy("day", "until")
+            user_days(ev, *by, tz=tz)
+            .select(*by, "user_id", F.col("activity_date").alias("day"), until.alias("until"))
+            .groupBy(*by, "day", "until")
             .agg(F.count("user_id").alias("users"))
         )
-        spread = counts.select("users", F.explode(F.expr("sequence(0, until - 1)")).alias("age"), "day")
+        spread = counts.select(*by, "users", F.explode(F.expr("sequence(0, until - 1)")).alias("age"), "day")
 
         def actives(n: int):
             return F.coalesce(F.sum(F.when(F.col("age") < n, F.col("users"))), F.lit(0))
@@ -112,11 +115,11 @@ def rolling_active_users(
         seen = F.count_if(F.col("age") == 0) > 0
     names = ("dau", "wau", "mau")
     out = (
-        spread.groupBy(F.date_add("day", F.col("age")).alias("event_date"))
+        spread.groupBy(*by, F.date_add("day", F.col("age")).alias("event_date"))
         .agg(*[actives(n).alias(c) for c, n in zip(names, windows)], seen.alias("seen"))
         .where("seen")
     )
-    return out.select("event_date", *names, safe_divide("dau", "mau").alias("stickiness_ratio"))
+    return out.select(*by, "event_date", *names, safe_divide("dau", "mau").alias("stickiness_ratio"))
 
 
 def growth_accounting(
@@ -151,9 +154,12 @@ def growth_accounting(
     ).orderBy("activity_date", *by)
 
 
-def churned_users(ev: DataFrame) -> DataFrame:
-    """For every day with events: users active the day before and not on that day."""
-    nxt = F.lead("activity_date").over(W.partitionBy("user_id").orderBy("activity_date"))
+def churned_users(ev: DataFrame, by: Sequence[str] = (), tz: str | None = None) -> DataFrame:
+    """For every day with events: users active the day before and not on that day.
+
+    `by` splits the users, and then the days with events are those of each value; days are those of `tz`, or UTC.
+    """
+    nxt = F.lead("activity_date").over(W.partitionBy(*by, "user_id").orderBy("activity_date"))
     tomorrow = F.date_add("activity_date", 1)
     gone = F.when((nxt == tomorrow) | F.col("user_id").isNull(), 0).otherwise(1)
     marks = F.array(
@@ -161,10 +167,10 @@ def churned_users(ev: DataFrame) -> DataFrame:
         F.struct(tomorrow.alias("day"), F.lit(0).alias("active"), F.col("gone").alias("churned")),
     )
     return (
-        user_days(ev)
+        user_days(ev, *by, tz=tz)
         .withColumn("gone", gone)
-        .select(F.explode(marks).alias("m"))
-        .groupBy(F.col("m.day").alias("activity_date"))
+        .select(*by, F.explode(marks).alias("m"))
+        .groupBy(*by, F.col("m.day").alias("activity_date"))
         .agg(F.sum("m.active").alias("active"), F.sum("m.churned").alias("churned_users"))
         .where("active > 0")
         .drop("active")

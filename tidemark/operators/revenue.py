@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import less_money, money, month_start
+from tidemark.operators.history import asof_user_attributes
 from tidemark.operators.joins import join_uneven
 
 FACT_COLUMNS = (
@@ -87,56 +90,84 @@ def user_ltv(fct: DataFrame) -> DataFrame:
     )
 
 
-def retention_join(users: DataFrame, fct: DataFrame) -> DataFrame:
-    """Each user's signup month with every month, from then on, in which they ordered.
+def retention_join(users: DataFrame, fct: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Each user's signup month (and their columns `by`) with every month, from then on, in which they ordered.
 
     Orders shrink to distinct (user, month) before the join, inside each map task first, so that a
     user with very many orders weighs no more than the months they ordered in.
     """
-    cohorts = users.select("user_id", month_start("signup_timestamp").alias("cohort_month"))
+    cohorts = users.select("user_id", *by, month_start("signup_timestamp").alias("cohort_month"))
     months = fct.select("user_id", month_start("order_timestamp").alias("order_month")).distinct()
     return (
         months.join(cohorts, "user_id")
         .where(F.col("order_month") >= F.col("cohort_month"))
-        .select("cohort_month", "order_month", "user_id")
+        .select(*by, "cohort_month", "order_month", "user_id")
     )
 
 
-def user_retention(users: DataFrame, fct: DataFrame) -> DataFrame:
-    """Users of each signup month that order in each later (or the same) month.
+def user_retention(users: DataFrame, fct: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Users of each signup month that order in each later (or the same) month, split by columns of `users`.
 
-    `users` holds one row per user, so the joined rows are distinct and counting rows counts users.
+    `users` holds one row per user, so the joined rows are distinct and counting rows counts users. For what users
+    were when they signed up, and not what they are now, give `users_at_signup`.
     """
     return (
-        retention_join(users, fct)
-        .groupBy("cohort_month", "order_month")
+        retention_join(users, fct, by)
+        .groupBy(*by, "cohort_month", "order_month")
         .agg(F.count("user_id").alias("active_users"))
-        .orderBy("cohort_month", "order_month")
+        .orderBy("cohort_month", "order_month", *by)
     )
 
 
+def users_at_signup(users: DataFrame, history: DataFrame) -> DataFrame:
+    """One row per user with the attributes of the version that was valid when they signed up, NULL where none was.
+
+    `history` is a version history by user_id, as of `scd2_history`. Later versions change nothing here, so cohorts
+    stay what they were.
+    """
+    signups = users.select("user_id", "signup_timestamp")
+    return asof_user_attributes(signups, history, "user_id", "signup_timestamp")
+
+
 def no_over_refund(fct: DataFrame) -> DataFrame:
     """Violations: orders refunded for more than they cost."""
     return fct.where(F.col("total_refund_amount") > F.col("order_amount"))
 
 
-def revenue_decomposition(fct: DataFrame, grain: str = "month") -> DataFrame:
-    """Revenue per period as active users x orders per user x average order value."""
+def revenue_decomposition(fct: DataFrame, grain: str = "month", items: DataFrame | None = None) -> DataFrame:
+    """Revenue per period as active users x orders per user x average order value.
+
+    With `items` (order_id, items: one row per order) the average order value is split into items per order and
+    price per item; orders without items count as orders with none.
+    """
     period = F.to_date(F.date_trunc(grain, "order_timestamp"))
     orders, users = F.col("orders").cast("double"), F.col("active_users").cast("double")
+    revenue = F.col("revenue").cast("double")
+    rows, sums, parts = fct, [], []
+    if items is not None:
+        rows = fct.join(items.select("order_id", "items"), "order_id", "left")
+        number = F.col("items").cast("double")
+        sums = [F.coalesce(F.sum("items"), F.lit(0)).cast("bigint").alias("items")]
+        parts = [
+            "items",
+            F.round(F.try_divide(number, orders), 4).alias("items_per_order"),
+            F.round(F.try_divide(revenue, number), 4).alias("item_price"),
+        ]
     return (
-        fct.groupBy(period.alias("period"))
+        rows.groupBy(period.alias("period"))
         .agg(
             F.countDistinct("user_id").alias("active_users"),
             F.count("order_id").alias("orders"),
             money(F.sum("order_amount")).alias("revenue"),
+            *sums,
         )
         .select(
             "period",
             "active_users",
             "orders",
             F.round(F.try_divide(orders, users), 4).alias("orders_per_user"),
-            F.round(F.try_divide(F.col("revenue").cast("double"), orders), 4).alias("aov"),
+            F.round(F.try_divide(revenue, orders), 4).alias("aov"),
+            *parts,
             "revenue",
         )
     )

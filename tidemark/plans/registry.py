@@ -249,6 +249,24 @@ def revenue_decomposition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revenue.revenue_decomposition(_warehouse(spark, sf_dir).net_orders)
 
 
+@query
+def revenue_decomposition_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Average order value as items per order times price per item."""
+    lines = star_schema.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("order_id"))
+    items = lines.agg(F.sum(F.col("l_quantity").cast("bigint")).alias("items"))
+    return revenue.revenue_decomposition(_warehouse(spark, sf_dir).net_orders, items=items)
+
+
+@query
+def user_retention_by_signup_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cohorts by the plan users were on when they signed up, whatever they are on now."""
+    w = _warehouse(spark, sf_dir)
+    versions = history.scd2_history(_plan_changes(spark, sf_dir), "user_id", "updated_at")
+    # Signups three years on, so that many users have a plan by then.
+    users = w.stg_users.withColumn("signup_timestamp", F.col("signup_timestamp") + F.expr("interval 3 years"))
+    return revenue.user_retention(revenue.users_at_signup(users, versions), w.net_orders, by=["plan"])
+
+
 @query
 def segment_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revenue.segment_change(
@@ -380,6 +398,28 @@ def churned_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.churned_users(_warehouse(spark, sf_dir).stg_events)
 
 
+def _channel_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users and local days, as events, with the user's channel."""
+    w = _warehouse(spark, sf_dir)
+    days = activity.user_days(w.stg_events, tz="Asia/Kolkata").withColumnRenamed("activity_date", "event_timestamp")
+    return days.join(w.stg_users.select("user_id", "acquisition_channel"), "user_id", "left")
+
+
+@query
+def rolling_active_users_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return activity.rolling_active_users(_channel_days(spark, sf_dir), by=["acquisition_channel"])
+
+
+@query
+def churned_users_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return activity.churned_users(_channel_days(spark, sf_dir), by=["acquisition_channel"])
+
+
+@query
+def churned_users_local(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return activity.churned_users(_warehouse(spark, sf_dir).stg_events, tz="Asia/Kolkata")
+
+
 def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _warehouse(spark, sf_dir).stg_events.withColumn("event_date", F.to_date("event_timestamp"))
 
@@ -410,6 +450,15 @@ def funnel_step_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Experiments -------------------------------------------------------------------------------
 
 
+@query
+def ab_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each experiment looked at every day; purchases of high value convert."""
+    events = star_schema.table(spark, sf_dir, "events")
+    bought = events.where((F.col("event_type") == "purchase") & (F.col("value") > star_schema.CONVERSION_VALUE))
+    conversions = bought.select(F.col("user_id").cast("string").alias("user_id"), F.col("ts").alias("converted_at"))
+    return experiments.ab_sequential(_warehouse(spark, sf_dir).stg_experiment_assignments, conversions)
+
+
 def _user_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = _warehouse(spark, sf_dir)
     return experiments.ab_user_level(w.stg_experiment_assignments, w.converters, w.stg_user_pre_experiment)
@@ -707,8 +756,15 @@ def row_count_minimums(spark: SparkSession, sf_dir: str) -> DataFrame:
         "mart_growth_metrics": w.mart_growth_metrics,
         "mart_user_ltv": w.mart_user_ltv,
         "mart_ab_test_results": w.mart_ab_test_results,
+        "mart_pipeline_monitoring": w.monitored(),
+    }
+    minimums = {
+        "fct_revenue": 1,
+        "mart_growth_metrics": 365,
+        "mart_user_ltv": 1,
+        "mart_ab_test_results": 1,
+        "mart_pipeline_monitoring": 1,
     }
-    minimums = {"fct_revenue": 1, "mart_growth_metrics": 365, "mart_user_ltv": 1, "mart_ab_test_results": 1}
     return quality.row_count_minimums(tables, minimums)
 
 
@@ -1055,8 +1111,9 @@ def stream_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     close = F.abs(F.col("active_users") - F.col("daily_active_users")) <= F.greatest(
         F.lit(2.0), F.col("daily_active_users") * 0.06
     )
-    return daily.join(exact, "event_date").select(
-        "event_date", "total_events", "purchases", close.alias("active_users_close")
+    # A day that only one of the two has shows as NULLs and as not close.
+    return daily.join(exact, "event_date", "full_outer").select(
+        "event_date", "total_events", "purchases", "daily_active_users", F.coalesce(close, F.lit(False)).alias("active_users_close")
     )
 
 
