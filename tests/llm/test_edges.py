@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm.conftest import LEXICON, prose
 from tests.llm.test_queries import brute_bytes, brute_links
-from tidemark.llm import compression, host_rules, jaccard, katz, licenses, mixing, multiprobe, packing, passages, repeats
+from tidemark.llm import collocations, compression, exact, host_rules, jaccard, katz, licenses, mixing, multiprobe, packing, passages, repeats
 from tidemark.llm.common import store
 from tidemark.llm.components import components
-from tidemark.llm.queries import TOKENIZER, crc_mod
+from tidemark.llm.queries import QUERIES, TOKENIZER, crc_mod
 
 CLASHES = ("size", "kept", "removed", "score", "n_words", "copies", "spans", "_spans", "key", "version", "_version", "_tid", "class_id", "_counts", "tid")
 
@@ -37,8 +37,11 @@ OPERATORS = {
     "mixing": mixing.mix,
     "repeats": repeats.remove_repeated_bytes,
     "groups": repeats.maximal_repeats,
+    "exact": exact.find_copies,
+    "exact rows": exact.drop_copies,
+    "collocations": lambda d: collocations.collocations(d, min_count=2, top=20),
 }
-PER_ROW = ("katz", "passages", "compression", "host_rules", "jaccard", "mixing", "repeats")
+PER_ROW = ("katz", "passages", "compression", "host_rules", "jaccard", "mixing", "repeats", "exact")
 
 
 @pytest.mark.parametrize("name", OPERATORS)
@@ -284,3 +287,39 @@ def test_hot_words_come_from_exact_counts(spark, monkeypatch):
     assert (trained, everything) == (6000 + 3000 + 401, 12000 + 6000 + 401)
     parts = {r.doc_id: (r.n_known, round(r.score, 9)) for r in katz.score(docs, train).withColumnRenamed("key", "doc_id").collect()}
     assert parts == whole
+
+
+def test_packing_ids_of_letters_written_as_two(spark):
+    words = packing.worker_words(TOKENIZER)
+    rng = random.Random(6)
+    letters = "aZİıßÉŁẞกำ你̇ß.,'-1 \t\n\x1c"
+    for text in ["KADIKÖYİ, x", *["".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(20_000)]]:
+        expected = np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert words.text(text) == expected, repr(text)
+
+
+def test_sources_of_documents_without_a_key_meet_their_targets(spark):
+    rows = [(None if i % 3 == 0 else i, " ".join(["w"] * 9 + [str(i)]), "ab"[i % 2]) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = F.sum(F.col("copies") * F.col("size")).alias("taken")
+    for r in mixing.mix(docs).groupBy("source").agg(taken, F.max("target").alias("target")).collect():
+        assert abs(r.taken - r.target) < 0.05 * r.target
+
+
+@pytest.mark.parametrize("name", ["mit-permission"])
+def test_licenses_with_words_inserted_anywhere(spark, name):
+    words = licenses.TEMPLATES[name].split()
+    extra = [f"x{i}" for i in range(10)]
+    rows = [(at, " ".join([f"before{i}" for i in range(at)] + words[:14] + extra + words[14:] + ["after"] * 30)) for at in range(40)]
+    docs = spark.createDataFrame([*rows, (None, rows[0][1]), (None, rows[0][1])], "doc_id long, text string")
+    got = [r.key for r in licenses.scan(docs).filter(F.col("license") == name).collect()]
+    assert sorted(k for k in got if k is not None) == list(range(40)) and got.count(None) == 2
+
+
+def test_rows_without_doc_id_are_held_out(spark, tmp_path, sf):
+    for name in ("documents", "labels"):
+        table = spark.read.parquet(f"{sf}/{name}.parquet")
+        table.unionByName(table.limit(1).withColumn("doc_id", F.lit(None).cast("long"))).write.parquet(f"{tmp_path}/{name}.parquet")
+    scored = QUERIES["op5_compression_classifier"](spark, str(tmp_path))
+    assert [r.held_out for r in scored.filter("doc_id is null").collect()] == [True]
+    assert scored.filter("held_out is null").count() == 0

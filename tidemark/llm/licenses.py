@@ -70,14 +70,14 @@ def templates(spark: SparkSession, texts: dict[str, str] = TEMPLATES) -> DataFra
 def scan(docs: DataFrame, texts: dict[str, str] = TEMPLATES, text: str = "text", key: str = "doc_id", containment: float = CONTAINMENT) -> DataFrame:
     """(key, license, containment, first_shingle) for each text and template with enough of the template in one window.
 
-    For templates of n shingles, windows have n + s - 1 shingles and start at every s-th, s = n / 2 rounded up, so a
-    whole template always lies in one window, and its Jaccard similarity to it is above 0.6. At `containment`
-    0.8 it is above 0.45, and 32 bands of one row miss such a window with a probability below 10^-8. Only windows
+    For templates of n shingles, windows have 2 n shingles and start at every s-th, s = n / 2 rounded up, so a template
+    always lies in one window, also where up to n / 2 words are inserted. At `containment` 0.8 their Jaccard
+    similarity is above 0.36, and 32 bands of one row miss such a window with a probability below 10^-6. Only windows
     that hold a shingle of a template are signed: others cannot share a minimum with one. What the bands
     retrieve is kept if the window has the given share of the template's distinct shingles, by exact sets.
 
     NULL, empty and short texts match nothing, and a text without match gives no row. Rows that repeat a key
-    are one document: the best containment and its earliest place count. A NULL key is a key.
+    are one document: the best containment and its earliest place count. Rows without a key are documents of their own.
     """
     spark = docs.sparkSession
     known = templates(spark, texts)
@@ -93,21 +93,22 @@ def scan(docs: DataFrame, texts: dict[str, str] = TEMPLATES, text: str = "text",
         for n, hs in sorted(classes.items())
     ])
     all_, at = unused(docs, "_all", "_at")
-    found = docs.select(F.col(key).alias("key"), shingle_hashes(text_of(text)).alias(all_))
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).alias("own_row")
+    found = docs.select(F.col(key).alias("key"), own, shingle_hashes(text_of(text)).alias(all_))
     hits = F.filter(F.transform(all_, lambda h, i: F.when(h.isin(lookup), i)), lambda i: i.isNotNull())
     found = found.withColumn(at, hits).filter(F.size(at) > 0).withColumn("_kind", F.explode(kinds))
-    step, width = F.col("_kind.step"), F.col("_kind.grams") + F.col("_kind.step") - 1
+    step, width = F.col("_kind.step"), 2 * F.col("_kind.grams")
     starts = F.transform(at, lambda i: F.sequence(F.greatest(F.lit(0), F.ceil((i - width + 1) / step)).cast("int"), F.floor(i / step).cast("int")))
     windows = found.withColumn("_w", F.explode(F.array_distinct(F.flatten(starts))))
-    windows = windows.select("key", F.col("_kind.grams").alias("grams"), (F.col("_w") * step).alias("start"), F.col("_kind.own").alias("own"),
+    windows = windows.select("key", "own_row", F.col("_kind.grams").alias("grams"), (F.col("_w") * step).alias("start"), F.col("_kind.own").alias("own"),
         F.slice(all_, F.col("_w") * step + 1, width).alias("window"))
     windows = windows.filter(F.arrays_overlap("window", "own")).drop("own")
     signed = windows.select("*", F.posexplode(signature(F.col("window"))).alias("band", "least"))
     bands = known.select("license", "grams", "shingles", F.posexplode(signature(F.col("shingles"))).alias("band", "least"))
     met = signed.join(F.broadcast(bands), ["grams", "band", "least"])
     share = F.size(F.array_intersect("window", "shingles")) / F.size("shingles")
-    kept = met.select("key", "license", "start", share.alias("containment")).filter(F.col("containment") >= containment)
+    kept = met.select("key", "own_row", "license", "start", share.alias("containment")).filter(F.col("containment") >= containment)
     best = F.min(F.struct(-F.col("containment"), F.col("start"))).alias("best")
-    return kept.groupBy("key", "license").agg(best).select(
+    return kept.groupBy("key", "own_row", "license").agg(best).select(
         "key", "license", (-F.col("best.col1")).alias("containment"), F.col("best.start").alias("first_shingle")
     )

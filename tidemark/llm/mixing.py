@@ -11,9 +11,12 @@ CYCLE = (1, 2, 3)
 MOST = 3.0
 
 
-def coin(key: Column, seed: str) -> Column:
-    """A number in [0, 1) that only depends on the key and the seed: 52 bits of an MD5 digest."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("null"))))
+def coin(key: Column, text: Column, seed: str) -> Column:
+    """A number in [0, 1) that only depends on the key, the text and the seed: 52 bits of an MD5 digest.
+
+    The text is part of it so that documents that share a key, or have none, decide one by one.
+    """
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(key.cast("string"), F.lit("null")), F.md5(text)))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(2**52))
 
 
@@ -62,10 +65,10 @@ def mix(
     """All rows and columns of `docs` with `size`, `source_size`, `target` and `copies`.
 
     A source's rate is target / size; a document gets floor(rate) copies and one more with the probability of
-    the rest, decided by its key, so reruns agree and rows that repeat a key decide alike. `weights` is
+    the rest, decided by its key and text, so reruns agree; only rows that are equal in both decide alike. `weights` is
     (source, weight), by default the cycle 1, 2, 3. A NULL or empty text has size 0 and counts for nothing; a
-    source without words has target 0 and gets no copies; a NULL source is one source; a NULL key decides as
-    the string "null". Columns of `docs` named like the added ones are replaced.
+    source without words has target 0 and gets no copies; a NULL source is one source; a NULL key is
+    the string "null" in the decision. Columns of `docs` named like the added ones are replaced.
     """
     docs = docs.drop(*(c for c in ("_source", "weight", "size", "source_size", "target", "copies") if c not in (text, source, key)))
     sized = docs.withColumn("size", word_count(text_of(text)))
@@ -78,7 +81,7 @@ def mix(
         sources = sources.fillna({"weight": 0.0})
     planned = targets(store(sources, "mix-sources"), most).drop("weight")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + (coin(F.col(key), seed) < rate - F.floor(rate)).cast("long")
+    copies = F.floor(rate) + (coin(F.col(key), text_of(text), seed) < rate - F.floor(rate)).cast("long")
     joined = sized.join(planned, sized[source].eqNullSafe(planned["_source"])).drop("_source")
     return joined.withColumn("copies", copies.cast("long"))
 

@@ -44,7 +44,9 @@ def op5_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").filter(crc_mod(4) != 2)
     scored = compression.score(docs, compression.fit(docs, labels))
-    return scored.select("doc_id", (crc_mod(4) == 2).alias("held_out"), "score", "predicted")
+    # A row without doc_id is never learned from.
+    held_out = F.coalesce(crc_mod(4) == 2, F.lit(True)).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted")
 
 
 def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +79,7 @@ def op10_maximal_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.remove_repeated_bytes(docs)
     gone = (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed")
     runs = F.size("removed").cast("long").alias("n_spans")
-    return cut.select("doc_id", "n_bytes", gone, runs, F.sha2("kept", 256).alias("kept_sha256"))
+    return cut.select("doc_id", "n_bytes", gone, runs, F.sha2("kept", 256).alias("kept_sha256"), "removed")
 
 
 def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,7 +42,9 @@ from failed join verdicts on failed.source is not distinct from verdicts.source
 """
 
 MIX_SOURCES = rf"""
-with sized as (select doc_id, source, len({WORDS})::bigint as size from documents),
+with sized as (
+  select doc_id, source, md5(coalesce(text, '')) as digest, len({WORDS})::bigint as size from documents
+),
 sources as (select source, sum(size)::bigint as s from sized group by source),
 weighted as (
   select source, s, ((row_number() over (order by source nulls last) - 1) % 3 + 1)::double as w from sources
@@ -58,12 +60,12 @@ planned as (
   select source, s, case when 3.0::double * s <= level * w then 3.0::double * s else level * w end as target from weighted, final
 ),
 rated as (
-  select doc_id, size, s as source_size, target, case when s > 0 then target / s else 0.0 end as rate
+  select doc_id, digest, size, s as source_size, target, case when s > 0 then target / s else 0.0 end as rate
   from sized join planned on sized.source is not distinct from planned.source
 ),
 copied as (
   select *, (floor(rate) + (case when
-    ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint / (2 ** 52) < rate - floor(rate) then 1 else 0 end))::bigint as copies
+    ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, 'null') || ':' || digest), 1, 13))::bigint / (2 ** 52) < rate - floor(rate) then 1 else 0 end))::bigint as copies
   from rated
 )
 select doc_id, size, source_size, target, copies * size as taken, copies from copied
