@@ -908,7 +908,7 @@ def _topic(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """Order events as a stream of keyed messages, a few files per batch."""
     path = f"{root}/topic"
     stream_io.write_topic(order_events.to_keyed_json(star_schema.order_events(spark, sf_dir)), path)
-    return stream_io.stream_source(spark, path=path, options={"maxBytesPerTrigger": str(4 << 20)})
+    return stream_io.stream_source(spark, path=path, options={"maxBytesPerTrigger": str(16 << 20)})
 
 
 def _valid_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
