@@ -6,10 +6,12 @@ import collections
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tests.llm.brute import WORD, repeated_characters
 from tests.llm.conftest import LEXICON, prose
 from tests.llm.test_queries import brute_bytes, brute_links
 from tidemark.llm import collocations, compression, exact, host_rules, jaccard, katz, licenses, mixing, multiprobe, packing, passages, repeats
@@ -245,24 +247,37 @@ def test_runs_of_50_words_are_found_whole(spark):
     texts |= {41 + i: " ".join(long[i : i + 60]) + " " + bare(9) for i in range(0, 30, 7)}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r.doc_id: r.removed for r in passages.remove_repeats(docs.repartition(3)).collect()}
-    want = later_words(texts)
-    assert sum(map(len, want.values())) > 1500
+    words = later_words(texts)
+    want = repeated_characters(texts)
+    assert sum(map(len, words.values())) > 1500
     for k, t in texts.items():
-        gone = {i for i, m in enumerate(passages.WORD.finditer(t)) if any(s.start <= m.start() and m.end() <= s.stop for s in got[k])}
-        assert want[k] <= gone, k
-        starts = {}
-        for j in sorted(texts):
-            if j > k:
-                break
-            for start, stop, words in passages.passage_units(texts[j]):
-                starts.setdefault(words, (j, start))
-        units = [(a, b) for a, b, w in passages.passage_units(t) if starts[w] != (k, a)]
-        assert gone == {i for i, m in enumerate(passages.WORD.finditer(t)) if any(a <= m.start() and m.end() <= b for a, b in units)}
-
-
-def test_each_sentence_gives_its_end_too():
-    ten = "one two three four five six seven eight nine ten."
-    assert {w for _, _, w in passages.passage_units(ten)} == {ten, ten.split(" ", 2)[2]}
+        gone = {i for s in got[k] for i in range(s.start, s.stop)}
+        places = [m.span() for m in WORD.finditer(t)]
+        assert all(gone.issuperset(range(*places[i])) for i in words[k]), k
+        assert want[k] <= gone and all(t[i].isspace() for i in gone - want[k])
+
+
+def test_nothing_goes_out_of_the_middle_of_a_sentence(spark):
+    end = "The board will meet again in the next year."
+    rows = [(1, f"Some words of the first text come here. {end}"), (2, f"Quite another text here, as the {end[4:]} More of it follows now."), (3, f"Third. {end} Last.")]
+    got = {r.doc_id: r for r in passages.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].n_removed == got[2].n_removed == 0
+    assert got[3].text == "Third.  Last."
+
+
+def test_units_of_any_script_and_white_space(spark):
+    line = "Ünï\u00a0cödé wörds\u2003stand \U0001f600 here, 你 好 İx and\x1cso on"
+    rows = [(1, f"a\n{line}\nb"), (2, f"{line.upper()} \n tail"), (3, f"not a line {line}"), (4, f" \n\n{line}\r\n\n")]
+    got = {r.doc_id: r.removed for r in passages.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = repeated_characters(dict(rows))
+    assert {k for k, v in want.items() if v} == {2, 4}
+    assert {k: {i for s in v for i in range(s.start, s.stop)} for k, v in got.items()} == want
+
+
+def test_spans_are_joined_in_order():
+    spans = [(0, 5), (2, 3), (6, 9), (11, 12), (11, 30), (32, 33)]
+    out = passages._merged.func(pd.Series([np.array([a << 32 | b for a, b in spans])]))[0]
+    assert [(x >> 32, x & 0xFFFFFFFF) for x in out.tolist()] == [(0, 9), (11, 30), (32, 33)]
 
 
 def test_versions_tell_texts_apart_by_64_bits(spark):

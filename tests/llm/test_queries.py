@@ -13,8 +13,8 @@ import pytest
 
 import corpus_pipeline
 from check import compare, connect
+from tests.llm.brute import repeated_characters
 from tidemark.llm import katz
-from tidemark.llm.passages import passage_units
 from tidemark.llm.queries import QUERIES, TOKENIZER
 from tidemark.llm.sql import SQL
 
@@ -115,18 +115,11 @@ def test_packed_sequences_hold_every_token_once(spark, sf, texts):
 
 def test_earliest_passage_stays(spark, sf, texts):
     got = rows_of(spark, "op4_passage_dedup", sf)
-    first = {}
+    want = repeated_characters(texts)
+    assert sum(map(len, want.values())) > 1000
     for k, t in texts.items():
-        for start, _, words in passage_units(t):
-            first[words] = min(first.get(words, (k, start)), (k, start))
-    for k, t in texts.items():
-        gone, spans = set(), set()
-        for start, stop, words in passage_units(t):
-            if first[words] != (k, start):
-                gone.update(range(start, stop))
-        for s in got[k].removed:
-            spans.update(range(s.start, s.stop))
-        assert gone <= spans and all(t[i].isspace() for i in spans - gone)
+        spans = {i for s in got[k].removed for i in range(s.start, s.stop)}
+        assert want[k] <= spans and all(t[i].isspace() for i in spans - want[k])
         assert got[k].text == "".join(c for i, c in enumerate(t) if i not in spans) and got[k].n_removed == len(spans)
 
 

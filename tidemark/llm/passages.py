@@ -1,96 +1,36 @@
-"""Passage dedup: hashed sentences, sentence ends and runs of 50 words, of which only the earliest occurrence stays."""
+"""Passage dedup: hashed lines, sentences and runs of 50 words, of which only the earliest occurrence stays."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from tidemark.llm.common import store, text_of, unused
 from tidemark.llm.repeats import Grams, sliding_min
 
+#: Lines and sentences of more words are units.
 MIN_WORDS = 8
 #: Every run of so many words is a unit, wherever it starts.
 RUN = 50
 #: Words that hash a place, the smallest of which in a run is the run's anchor.
 GRAM = 16
-#: Longer sentences are also cut after words that a hash picks, one in `PICK`, at this many words or more.
-LONG, PART, PICK = 24, 12, 6
-#: A sentence: up to a full stop, exclamation or question mark before white space, or to the end of the line.
-SENTENCE = re.compile(r"[^\n]*?[.!?]+(?=\s|$)|[^\n]+")
-WORD = re.compile(r"\S+")
-UNITS = "key long, version long, start int, stop int, digest long, check int"
-ANCHORS = "key long, version long, start int, stop int, lo int, hi int, gram long, whole long"
+PLACES = "key long, version long, start int, stop int, lo int, hi int, gram long, whole long"
+RUNS = "key long, version long, start int, stop int, digest long, check int"
 #: Hashes of words kept by a Python worker.
 CACHE_WORDS = 500_000
 NO_KEY = 2**63 - 1
 #: Texts handled at a time by a Python worker.
 TEXTS = 1000
-
-
-def _parts(start: int, raw: str) -> Iterator[tuple[int, str]]:
-    """A long sentence in pieces that depend on its words and not on where it starts."""
-    first, n = 0, 0
-    for m in WORD.finditer(raw):
-        n += 1
-        if n >= PART and crc32(m.group().lower().encode("utf-8", "replace")) % PICK == 0:
-            yield start + first, raw[first : m.end()]
-            first, n = m.end(), 0
-    if n:
-        yield start + first, raw[first:]
-
-
-def passage_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, str]]:
-    """(start, stop, normalised text) of the units of a text.
-
-    Each sentence of more than `min_words` words is a unit. At the end of each sentence its last `min_words`
-    words are one, which may reach into earlier sentences. Each run of `RUN` words is one, so a passage of so
-    many words is found from its first word to its last, wherever it starts and whatever marks it has.
-    Normalised: lower case, single spaces.
-    """
-    yield from sentence_units(text, min_words)
-    places = [m.span() for m in WORD.finditer(text)]
-    norm = text.lower().split()
-    for i in range(len(norm) - RUN + 1):
-        yield places[i][0], places[i + RUN - 1][1], " ".join(norm[i : i + RUN])
-
-
-def sentence_units(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, str]]:
-    """The units of `passage_units` that end with a sentence, or a piece of a long one."""
-    starts: list[int] = []
-    raws: list[str] = []
-    words: list[list[str]] = []
-    for m in SENTENCE.finditer(text):
-        found = m.group().lower().split()
-        pieces = [(m.start(), m.group())] if len(found) <= LONG else _parts(m.start(), m.group())
-        for at, raw in pieces:
-            short = raw.lstrip()
-            if not short:
-                continue
-            starts.append(at + len(raw) - len(short))
-            raws.append(short)
-            words.append(found if len(found) <= LONG else short.lower().split())
-            last = len(words) - 1
-            stop = starts[last] + len(short)
-            if len(words[last]) > min_words:
-                yield starts[last], stop, " ".join(words[last])
-            need, tail, j = min_words, [], last
-            while j >= 0 and len(words[j]) < need:
-                tail, need, j = words[j] + tail, need - len(words[j]), j - 1
-            if j >= 0:
-                start = starts[j]
-                if len(words[j]) > need:
-                    # What stands before the last words needed, and the white space after it, stay out.
-                    start += len(raws[j].rsplit(None, need)[0])
-                    while text[start].isspace():
-                        start += 1
-                yield start, stop, " ".join(words[j][-need:] + tail)
+#: White space by code point, as `str.split` has it; no code point above is white space.
+BLANK = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
+#: Lowest bit of the hash of a word that ends a sentence.
+END = np.uint64(1)
 
 
 def version(text: Column) -> Column:
@@ -98,46 +38,46 @@ def version(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def units(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per sentence unit of every whole text; digests have 96 bits."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in (x.iloc[i : i + TEXTS] for x in batches for i in range(0, len(x), TEXTS)):
-            digests, starts, stops, sizes = [], [], [], []
-            for t in b["text"]:
-                before = len(starts)
-                for start, stop, words in sentence_units(t, min_words):
-                    starts.append(start)
-                    stops.append(stop)
-                    digests.append(xxhash.xxh3_128_digest(words.encode("utf-8", "replace")))
-                sizes.append(len(starts) - before)
-            both = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-            at = np.repeat(np.arange(len(b)), sizes)
-            keys = b["key"].astype("Int64").array[at]
-            yield pd.DataFrame(
-                {
-                    "key": keys, "version": b["version"].to_numpy()[at], "start": np.array(starts, dtype=np.int32),
-                    "stop": np.array(stops, dtype=np.int32), "digest": both[:, 0], "check": both[:, 1].astype(np.int32),
-                }
-            )
-
-    return _picked(docs, text, key).mapInPandas(run, UNITS)
-
-
 def _picked(docs: DataFrame, text: str, key: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("key"), version(text_of(text)).alias("version"), text_of(text).alias("text"))
 
 
 class _WordHashes(dict):
+    """Hashes of lower-case words; the lowest bit tells a word that ends with a full stop, `!` or `?`."""
+
     def __missing__(self, word: str) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace"))
+        h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace"))
+        self[word] = h = h >> 1 << 1 | (word[-1] in ".!?")
         return h
 
 
 def _hashed(text: str, known: _WordHashes) -> np.ndarray:
-    return np.array([known[w] for w in text.lower().split()], dtype=np.uint64)
+    words = text.lower().split()
+    return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+def _word_places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Characters where words start and stop, and how many words stand before each line feed."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    inside = np.concatenate([[False], ~BLANK[np.minimum(points, len(BLANK) - 1)], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1]).astype(np.int32)
+    return edges[::2], edges[1::2], np.searchsorted(edges[::2], np.flatnonzero(points == 10))
+
+
+def _whole_units(words: np.ndarray, feeds: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, end) words of the lines and sentences of more than `min_words` and fewer than `RUN` words.
+
+    Longer ones need no row: where one occurs earlier, so do all of its runs.
+    """
+    n = len(words)
+    lines = np.unique(np.concatenate([[0], feeds, [n]]))
+    ends = np.unique(np.concatenate([lines, np.flatnonzero(words & END) + 1]))
+    several = np.diff(np.searchsorted(ends, lines)) > 1
+    first, end = np.concatenate([ends[:-1], lines[:-1][several]]), np.concatenate([ends[1:], lines[1:][several]])
+    fits = (end - first > min_words) & (end - first < RUN)
+    return first[fits], end[fits]
 
 
 def _other(x: np.ndarray) -> np.ndarray:
@@ -156,39 +96,55 @@ def _rows(kind: str, parts: list[tuple], keys: list, versions: list, sizes: list
     return pd.DataFrame(frame | {n: np.concatenate(c) for n, c in zip(names, cols)})
 
 
-def run_anchors(picked: DataFrame) -> DataFrame:
-    """One row per anchor: the runs that start at words lo..hi of a text have the same smallest gram.
+class _Sums:
+    """Hashes of any stretch of one text's words, by prefix sums modulo 2^64."""
+
+    def __init__(self, values: np.ndarray, grams: Grams):
+        grams(values)  # Makes its tables of powers long enough.
+        self.down = grams.down
+        self.sums = np.concatenate([[np.uint64(0)], np.cumsum((values + np.uint64(1)) * grams.up[: len(values)])])
+
+    def __call__(self, first: np.ndarray, end: np.ndarray, mark: np.ndarray) -> np.ndarray:
+        return _other((self.sums[end] - self.sums[first]) * self.down[first] + mark.astype(np.uint64)).view(np.int64)
+
 
-    Equal runs have their anchor at equal distance. `gram` hashes the anchor's words and `whole` all words of
-    the runs and where the anchor is among them; start..stop are the characters that the runs cover.
+def unit_places(picked: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per line and sentence of every whole text, and one per anchor of its runs; a single pass.
+
+    The runs that start at words lo..hi of a text have the same smallest gram, their anchor. Equal runs have it
+    at equal distance. `gram` hashes the anchor's words and `whole` all words of the runs and where the anchor
+    is among them. Of a line or a sentence both hash all of its words, and lo and hi are -1. start..stop
+    are the characters covered.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, grams, wholes = _WordHashes(), Grams(GRAM), Grams(1)
+        known, grams, ones = _WordHashes(), Grams(GRAM), Grams(1)
         for b in (x.iloc[i : i + TEXTS] for x in batches for i in range(0, len(x), TEXTS)):
             parts, keys, versions, sizes = [], [], [], []
             for k, v, t in zip(b["key"].astype("Int64"), b["version"], b["text"]):
                 words = _hashed(t, known)
-                n = len(words) - RUN + 1
-                if n < 1:
+                if len(words) <= min(min_words, RUN - 1):
                     continue
-                hashes = grams(words)
-                packed = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
-                at = (sliding_min(packed, RUN - GRAM + 1)[:n] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-                lo = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-                hi, at = np.append(lo[1:], n) - 1, at[lo]
-                other = _other(words)
-                wholes(other)  # Makes its tables of powers long enough.
-                sums = np.concatenate([[np.uint64(0)], np.cumsum((other + np.uint64(1)) * wholes.up[: len(other)])])
-                whole = _other((sums[hi + RUN] - sums[lo]) * wholes.down[lo] + ((at - lo) * RUN + hi - lo).astype(np.uint64))
-                spans = np.array([m.span() for m in WORD.finditer(t)], dtype=np.int32)
-                parts.append((spans[lo, 0], spans[hi + RUN - 1, 1], lo, hi, hashes[at].view(np.int64), whole.view(np.int64)))
-                keys.append(k)
-                versions.append(v)
-                sizes.append(len(lo))
-            yield _rows(ANCHORS, parts, keys, versions, sizes)
-
-    return picked.mapInPandas(run, ANCHORS)
+                starts, stops, feeds = _word_places(t)
+                other = _Sums(_other(words), ones)
+                first, end = _whole_units(words, feeds, min_words)
+                none = np.full(len(first), -1)
+                found = [(starts[first], stops[end - 1], none, none, _Sums(words, ones)(first, end, end - first), other(first, end, end - first))]
+                n = len(words) - RUN + 1
+                if n > 0:
+                    hashes = grams(words)
+                    packed = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
+                    at = (sliding_min(packed, RUN - GRAM + 1)[:n] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                    lo = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+                    hi, at = np.append(lo[1:], n) - 1, at[lo]
+                    found.append((starts[lo], stops[hi + RUN - 1], lo, hi, hashes[at].view(np.int64), other(lo, hi + RUN, (at - lo) * RUN + hi - lo)))
+                parts += found
+                keys += [k] * len(found)
+                versions += [v] * len(found)
+                sizes += [len(x[0]) for x in found]
+            yield _rows(PLACES, parts, keys, versions, sizes)
+
+    return picked.mapInPandas(run, PLACES)
 
 
 def run_units(picked: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -203,44 +159,44 @@ def run_units(picked: DataFrame, wanted: DataFrame) -> DataFrame:
             for k, v, t, ranges in zip(b["key"].astype("Int64"), b["version"], b["text"], b["ranges"]):
                 words = _hashed(t, known)
                 at = np.concatenate([np.arange(r["lo"], r["hi"] + 1) for r in ranges])
-                spans = np.array([m.span() for m in WORD.finditer(t)], dtype=np.int32)
+                starts, stops, _ = _word_places(t)
                 digest, check = runs(words)[at].view(np.int64), runs(_other(words))[at].astype(np.uint32).view(np.int32)
-                parts.append((spans[at, 0], spans[at + RUN - 1, 1], digest, check))
+                parts.append((starts[at], stops[at + RUN - 1], digest, check))
                 keys.append(k)
                 versions.append(v)
                 sizes.append(len(at))
-            yield _rows(UNITS, parts, keys, versions, sizes)
+            yield _rows(RUNS, parts, keys, versions, sizes)
 
-    return joined.mapInPandas(run, UNITS)
+    return joined.mapInPandas(run, RUNS)
 
 
 def _place() -> Column:
     return F.struct(F.coalesce("key", F.lit(NO_KEY)).alias("key"), "version", "start")
 
 
-def repeated_runs(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, version, start, stop) of runs of `RUN` words, or several that overlap, that occur earlier.
+def repeated_units(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
+    """(key, version, start, stop) of units, or several runs that overlap, that occur earlier.
 
-    Runs alone with their gram occur once. Where anchors agree in `whole`, all runs of the later ones occur
+    Rows alone with their gram occur once. Where rows agree in `whole`, all units of the later ones occur
     earlier, and the first stands for them; only where a gram has several wholes are runs compared singly.
     """
     picked = _picked(docs, text, key)
-    found = store(run_anchors(picked), "run-anchors")
+    found = store(unit_places(picked, min_words), "places")
     grams = found.groupBy("gram").agg(F.min(_place()).alias("_a"), F.max(_place()).alias("_z"), F.min("whole").alias("_w"), F.max("whole").alias("_x"))
     grams = grams.filter(F.col("_a") != F.col("_z")).select("gram", (F.col("_w") != F.col("_x")).alias("mixed"))
-    repeated = store(found.join(store(grams, "repeated-grams"), "gram"), "repeated-anchors")
+    repeated = store(found.join(store(grams, "repeated-grams"), "gram"), "repeated-places")
     firsts = repeated.groupBy("gram", "whole").agg(F.min(_place()).alias("first")).toDF("_g", "_w", "first")
-    firsts = store(firsts, "first-anchors")
+    firsts = store(firsts, "first-places")
     marked = repeated.join(firsts, (F.col("gram") == F.col("_g")) & (F.col("whole") == F.col("_w")))
     cover = ["key", "version", "start", "stop"]
     settled = marked.filter(F.col("first") != _place()).select(*cover)
-    wanted = marked.filter((F.col("first") == _place()) & F.col("mixed"))
+    wanted = marked.filter((F.col("first") == _place()) & F.col("mixed") & (F.col("lo") >= 0))
     compared = _later(store(run_units(picked, wanted), "runs"))
     return settled.unionByName(compared.select(*cover))
 
 
 def _later(found: DataFrame) -> DataFrame:
-    """The units that occur earlier.
+    """The runs that occur earlier.
 
     The earliest occurrence of a digest forms in the map tasks first, so a passage that a third of all texts
     share is one row per task; its join back is split by Spark where it is skewed.
@@ -259,34 +215,34 @@ def removed_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", min_
     Earlier is by (key, version, place), NULL keys last; `version` is a hash of the text, so rows that share
     a key are told apart, and equal rows count as one document.
     """
-    cover = ["key", "version", "start", "stop"]
-    runs = store(repeated_runs(docs, text, key), "repeated-runs")
-    again = _later(units(docs, text, key, min_words)).select(*cover).unionByName(runs)
-    spans = F.sort_array(F.collect_set(F.struct("start", "stop")))
-    return again.groupBy("key", "version").agg(_merge(spans).alias("spans"))
+    again = repeated_units(docs, text, key, min_words)
+    spans = F.sort_array(F.collect_set(F.shiftleft(F.col("start").cast("long"), 32) + F.col("stop")))
+    merged = again.groupBy("key", "version").agg(spans.alias("spans")).withColumn("spans", _merged("spans"))
+    pair = lambda x: F.struct(F.shiftright(x, 32).cast("int").alias("start"), x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("stop"))
+    return merged.withColumn("spans", F.transform("spans", pair))
 
 
-def _merge(spans: Column) -> Column:
-    """Sorted spans with the overlapping and touching ones joined."""
-    kind = "array<struct<start:int,stop:int>>"
+@F.pandas_udf(ArrayType(LongType()))
+def _merged(spans: pd.Series) -> pd.Series:
+    """Sorted spans, start * 2^32 + stop each, with the overlapping and touching ones joined."""
 
-    def step(acc: Column, x: Column) -> Column:
-        end = F.element_at(acc, -1)
-        grown = F.struct(end["start"].alias("start"), F.greatest(end["stop"], x["stop"]).alias("stop"))
-        kept = F.slice(acc, F.lit(1), F.size(acc) - 1)
-        joins = (F.size(acc) > 0) & (x["start"] <= F.get(acc, F.size(acc) - 1)["stop"] + 1)
-        return F.when(joins, F.concat(kept, F.array(grown))).otherwise(F.concat(acc, F.array(x))).cast(kind)
+    def joined(x: np.ndarray) -> np.ndarray:
+        start, stop = x >> 32, np.maximum.accumulate(x & 0xFFFFFFFF)
+        first = np.flatnonzero(np.concatenate([[True], start[1:] > stop[:-1] + 1]))
+        return (start[first] << 32) + stop[np.append(first[1:], len(x)) - 1]
 
-    return F.aggregate(spans, F.array().cast(kind), step)
+    return spans.map(joined)
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
     """All rows and columns of `docs`, the text without its repeated passages, plus `removed` and `n_removed`.
 
     `removed` holds the spans (start, stop) in characters of the original text, ascending; `n_removed` their
-    total length. A passage of `RUN` words or more is found from its first word to its last; of a shorter one what
-    lies between sentence ends is, see `passage_units`. Passages may overlap: of one word said over and over, or
-    of any period, what stays is the first period.
+    total length. Units are whole lines and whole sentences (up to a word that ends with a full stop, `!` or `?`,
+    or to the end of the line) of more than `min_words` words, and every run of `RUN` words, wherever it starts;
+    equal are units of the same words, case and white space aside. So a passage of `RUN` words or more is found
+    from its first word to its last, and of a shorter one the sentences that lie in it whole. Passages may overlap:
+    of one word said over and over, or of any period, what stays is the first period.
     NULL, empty and shorter texts stay as they are, with no spans. Rows with equal key and text are one
     document: the same is removed from each. Columns of `docs` named `removed` or `n_removed` are replaced.
     """
