@@ -8,7 +8,7 @@ WORD = re.compile(r"\S+")
 SENTENCE = re.compile(r"[^\n]*?[.!?](?=\s|$)|[^\n]+")
 
 
-def passage_units(text: str, min_words: int = 8, run: int = 50):
+def passage_units(text: str, min_words: int = 24, run: int = 50):
     """(start, stop, normalised words) of all lines and sentences of more than `min_words` words and all runs."""
     found = set()
     for pattern in (SENTENCE, re.compile(r"[^\n]+")):

@@ -260,7 +260,7 @@ def test_runs_of_50_words_are_found_whole(spark):
 def test_nothing_goes_out_of_the_middle_of_a_sentence(spark):
     end = "The board will meet again in the next year."
     rows = [(1, f"Some words of the first text come here. {end}"), (2, f"Quite another text here, as the {end[4:]} More of it follows now."), (3, f"Third. {end} Last.")]
-    got = {r.doc_id: r for r in passages.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r for r in passages.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), min_words=8).collect()}
     assert got[1].n_removed == got[2].n_removed == 0
     assert got[3].text == "Third.  Last."
 
@@ -268,12 +268,19 @@ def test_nothing_goes_out_of_the_middle_of_a_sentence(spark):
 def test_units_of_any_script_and_white_space(spark):
     line = "Ünï\u00a0cödé wörds\u2003stand \U0001f600 here, 你 好 İx and\x1cso on"
     rows = [(1, f"a\n{line}\nb"), (2, f"{line.upper()} \n tail"), (3, f"not a line {line}"), (4, f" \n\n{line}\r\n\n")]
-    got = {r.doc_id: r.removed for r in passages.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    want = repeated_characters(dict(rows))
+    got = {r.doc_id: r.removed for r in passages.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), min_words=8).collect()}
+    want = repeated_characters(dict(rows), min_words=8)
     assert {k for k, v in want.items() if v} == {2, 4}
     assert {k: {i for s in v for i in range(s.start, s.stop)} for k, v in got.items()} == want
 
 
+def test_short_lines_stay_and_long_ones_go(spark):
+    words = lambda n: " ".join(f"w{i}" for i in range(n))
+    rows = [(k, f"text {k}\n{words(24)}\n{words(25)}\n{k} end") for k in (1, 2, None)]
+    got = passages.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == {k: f"text {k}\n{words(24)}\n{words(25) if k == 1 else ''}\n{k} end" for k in (1, 2, None)}
+
+
 def test_spans_are_joined_in_order():
     spans = [(0, 5), (2, 3), (6, 9), (11, 12), (11, 30), (32, 33)]
     out = passages._merged.func(pd.Series([np.array([a << 32 | b for a, b in spans])]))[0]

@@ -14,10 +14,10 @@ from pyspark.sql.types import ArrayType, LongType
 from tidemark.llm.common import store, text_of, unused
 from tidemark.llm.repeats import Grams, sliding_min
 
-#: Lines and sentences of more words are units.
-MIN_WORDS = 8
 #: Every run of so many words is a unit, wherever it starts.
 RUN = 50
+#: Lines and sentences of more words are units. Shorter ones are notices and headings, which clean texts share.
+MIN_WORDS = 24
 #: Words that hash a place, the smallest of which in a run is the run's anchor.
 GRAM = 16
 PLACES = "key long, version long, start int, stop int, lo int, hi int, gram long, whole long"
