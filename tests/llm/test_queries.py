@@ -194,9 +194,14 @@ def test_pipeline_stages(spark, sf, some):
     docs, columns = some, some.columns
     counts = [docs.count()]
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, sf).cache()
+        before, docs = docs, stage(spark, docs, sf).cache()
         assert docs.columns == columns, name
         counts.append(docs.count())
+        if name == "repeated passages":
+            left, cut = ({r.doc_id: r.text or "" for r in x.collect()} for x in (before, docs))
+            gone = repeated_characters(left)
+            bare = lambda t: "".join(t.split())
+            assert {k: bare(t) for k, t in cut.items()} == {k: bare("".join(c for i, c in enumerate(t) if i not in gone[k])) for k, t in left.items()}
     assert counts[0] > counts[1] > counts[2] == counts[3]
     last = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     assert {r.doc_id for r in last.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
