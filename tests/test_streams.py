@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +82,37 @@ def test_last_n_over_batches(spark, topic, rows, key):
     assert rows(got) == rows(order_events.rolling_last_n_avg(batch(spark), 10, key))
 
 
+def test_messages_are_read_as_json_once(spark, topic):
+    messages = spark.read.schema(schemas.KEYED_MESSAGE).parquet(topic)
+    valid, refused = order_events.split_valid_invalid(order_events.parse_order_events(messages))
+    for df in (order_events.running_seller_revenue(valid), order_events.last_n(valid, 10), refused, order_events.split_messages(messages)[0]):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
+def test_messages_without_an_object_are_rows_of_nulls(spark):
+    texts = [b'{"order_id":"1","amount":2.5}', None, b"null", b"[]", b"", b"{bad", b'{"order_id":"2","amount":"free"}']
+    messages = spark.createDataFrame([(b"k", t) for t in texts], schemas.KEYED_MESSAGE)
+    got = [(r.order_id, r.amount) for r in order_events.parse_order_events(messages).collect()]
+    assert sorted(got, key=str) == sorted([("1", 2.5), *[(None, None)] * 5, ("2", None)], key=str)
+
+
+@pytest.mark.parametrize("key", [None, "city"])
+def test_last_n_reads_a_batch_once(spark, topic, monkeypatch, key):
+    runs, run = [], io.bounded_run
+    monkeypatch.setattr(operators, "bounded_run", lambda *a, **k: runs.append(run(*a, **k)))
+    operators.run_last_n(stream(spark, topic), fresh_dir(spark, "stream"), 10, key)
+    assert sum(p.numInputRows for p in runs[0].recentProgress) == spark.read.parquet(topic).count()
+
+
+def test_a_large_topic_file_is_work_for_several_tasks(spark):
+    path = fresh_dir(spark, "topic")
+    text = F.concat(*[F.sha2((F.col("id") * 20 + i).cast("string"), 512) for i in range(20)])
+    io.write_topic(spark.range(20000).select(F.lit(b"one").alias("key"), text.cast("binary").alias("value")), path)
+    files = [f for f in spark.read.parquet(path).inputFiles()]
+    assert len(files) == 1 and pq.ParquetFile(files[0].removeprefix("file://")).num_row_groups >= 3
+    assert io.batch_bytes(spark) == io.BATCH_BYTES_PER_CORE * spark.sparkContext.defaultParallelism
+
+
 def test_refused_events_are_kept_with_their_reason(spark, topic, rows):
     parsed = order_events.parse_order_events(io.stream_source(spark, path=topic))
     valid, refused = operators.run_split(parsed, fresh_dir(spark, "stream"))

@@ -5,7 +5,7 @@ All functions here take a batch or a streaming DataFrame, except those that sort
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,9 +25,17 @@ def to_keyed_json(df: DataFrame, key_col: str = "order_id") -> DataFrame:
     )
 
 
+def _fields(text: Column, schema: T.StructType) -> Column:
+    """The fields of a JSON text as columns, read once however many of them later filters look at.
+
+    Spark pushes a filter on a selected field below the selection and reads the text again for each field in it;
+    it does not push filters below a generator.
+    """
+    return F.inline(F.array(F.from_json(text, schema)))
+
+
 def _parse(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    doc = F.from_json(F.col("value").cast("string"), schema)
-    return messages.select(doc.alias("doc")).select("doc.*")
+    return messages.select(_fields(F.col("value").cast("string"), schema))
 
 
 def parse_order_events(messages: DataFrame) -> DataFrame:
@@ -58,8 +66,7 @@ def parse_with_message(messages: DataFrame) -> DataFrame:
     Text that is no JSON object is "malformed json"; an amount that is there but no number is a "bad amount".
     """
     text = F.col("value").cast("string")
-    doc = F.from_json(text, ORDER_EVENT)
-    parsed = messages.select("key", "value", doc.alias("doc")).select("key", "value", "doc.*")
+    parsed = messages.select("key", "value", _fields(text, ORDER_EVENT))
     is_object = F.coalesce(F.json_object_keys(text).isNotNull(), F.lit(False))
     unread = F.col("amount").isNull() & F.get_json_object(text, "$.amount").isNotNull() & (F.col("reject_reason") == "missing amount")
     marked = with_reject_reason(parsed)

@@ -905,10 +905,10 @@ def retention_dashboard_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _topic(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """Order events as a stream of keyed messages, a few files per batch."""
+    """Order events as a stream of keyed messages, a share of its files for every core per batch."""
     path = f"{root}/topic"
     stream_io.write_topic(order_events.to_keyed_json(star_schema.order_events(spark, sf_dir)), path)
-    return stream_io.stream_source(spark, path=path, options={"maxBytesPerTrigger": str(16 << 20)})
+    return stream_io.stream_source(spark, path=path, options={"maxBytesPerTrigger": str(stream_io.batch_bytes(spark))})
 
 
 def _valid_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:

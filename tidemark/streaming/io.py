@@ -235,9 +235,20 @@ def run_update(stream: DataFrame, root: str, keys: Sequence[str], buckets: int =
     return latest_of_keys(table.read(), keys).select(*stream.columns)
 
 
+# A batch has this much of its source for each core, and a file falls into row groups of this size (as written, not
+# packed), so that a batch of few large files still has work for all cores.
+BATCH_BYTES_PER_CORE = 16 << 20
+ROW_GROUP_BYTES = 16 << 20
+
+
+def batch_bytes(spark: SparkSession) -> int:
+    """What a batch takes: a batch costs a fixed time beside its rows, so batches grow with the cores there are."""
+    return BATCH_BYTES_PER_CORE * spark.sparkContext.defaultParallelism
+
+
 def write_topic(messages: DataFrame, path: str) -> None:
     """Publish keyed messages: equal keys go to the same partition file."""
-    messages.repartition("key").write.mode("append").parquet(path)
+    messages.repartition("key").write.mode("append").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
 
 
 # Topics, and how a broker has to confirm, repeat and bundle messages.

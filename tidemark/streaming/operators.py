@@ -222,10 +222,12 @@ def run_last_n(events: DataFrame, root: str, n: int = 100, key: str | None = Non
     bucket = bucket_of([key], buckets) if key else F.lit(0)
 
     def change(batch: DataFrame, before: Manifest, number: str) -> None:
-        latest = last_n(batch, n, key).withColumn("bucket", bucket)
+        # Kept, so that the batch is read once: at most n rows, or n per key.
+        latest = last_n(batch, n, key).withColumn("bucket", bucket).persist()
         touched = [str(r.bucket) for r in latest.select("bucket").distinct().collect()]
         both = latest.unionByName(state.read(before, touched))
         state.replace(before, last_n(both, n, key), touched, number)
+        latest.unpersist()
 
     bounded_run(rows, once_per_batch(state, change), f"{root}/checkpoint")
     return mean_of_last(state.read().drop("bucket"), key)
