@@ -345,3 +345,16 @@ def test_rows_without_doc_id_are_held_out(spark, tmp_path, sf):
     scored = QUERIES["op5_compression_classifier"](spark, str(tmp_path))
     assert [r.held_out for r in scored.filter("doc_id is null").collect()] == [True]
     assert scored.filter("held_out is null").count() == 0
+
+
+def test_katz_hands_out_a_block_in_slices(monkeypatch):
+    monkeypatch.setattr(katz, "SLICE", 50)
+    held = [(np.arange(i, i + 101, dtype=np.uint64), i, i == 0) for i in range(3)]
+    held = [(np.append(w[:-1], katz.END), k, used) for w, k, used in held]
+    chunk = pd.concat(katz._chunk(held, 0, np.array([], dtype=np.uint64), 2))
+    assert not held
+    for block, g in chunk.groupby("block"):
+        frames = list(katz._stats_of({})(iter([g])))
+        assert all(f["kind"].nunique() == 1 for f in frames)
+        assert max(len(f) for f in frames if f["kind"].iloc[0] == katz.UNSEEN) <= 50
+        assert list(frames[0].columns) == [c.split()[0] for c in katz.STATS.split(", ")]

@@ -27,6 +27,7 @@ K = 5
 END = np.uint64(0x5E9D0FE0D5E9D0FE)
 CHUNK_TOKENS = 5_000_000
 BLOCK_TOKENS = 2_000_000
+SLICE = 250_000
 HOT_PART = 8
 CACHE_WORDS = 500_000
 BLOCK = "block int, chunk long, w2 binary, n2 binary, w1 binary, i1 binary, doc binary, train binary, ids binary, known binary, sizes binary"
@@ -48,6 +49,19 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split()
 
 
+def block_of(w2: np.ndarray, w1: np.ndarray, hot: np.ndarray, blocks: int) -> np.ndarray:
+    """The block of each token: by its word, for a hot word by the word before it, too."""
+    out = np.empty(len(w2), dtype=np.int32)
+    for i in range(0, len(w2), SLICE):
+        words = w2[i : i + SLICE]
+        at = spread(words + np.uint64(1))
+        if len(hot):
+            common = hot[np.minimum(np.searchsorted(hot, words), len(hot) - 1)] == words
+            at = np.where(common, spread(at ^ w1[i : i + SLICE]), at)
+        out[i : i + SLICE] = at % np.uint64(blocks)
+    return out
+
+
 def spread(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -132,25 +146,25 @@ def token_blocks(docs: DataFrame, text: str, key: str, train: Column, hot: list[
 
 
 def _chunk(held: list[tuple], chunk: int, hot: np.ndarray, blocks: int) -> Iterator[pd.DataFrame]:
+    """The rows of a chunk. `held` is emptied, and no more than one column is there twice at a time."""
     sizes = np.array([len(w) for w, _, _ in held])
+    keys, used = [k for _, k, _ in held], [bool(u) for _, _, u in held]
     w2 = np.concatenate([w for w, _, _ in held])
+    held.clear()
     w1 = np.empty_like(w2)
     w1[1:] = w2[:-1]  # a text begins after the end of the one before, and the first after an end as well
     w1[0] = END
-    doc = np.repeat(np.arange(len(held), dtype=np.int32), sizes)
-    at = spread(w2 + np.uint64(1))
-    if len(hot):
-        common = hot[np.minimum(np.searchsorted(hot, w2), len(hot) - 1)] == w2
-        at = np.where(common, spread(at ^ w1), at)
-    block = (at % np.uint64(blocks)).astype(np.int32)
-    del at
+    block = block_of(w2, w1, hot, blocks)
     order = np.lexsort((w2, block))
-    w2, w1, doc, block = w2[order], w1[order], doc[order], block[order]
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(block, minlength=blocks))])
+    del block
+    w2 = w2[order]
+    w1 = w1[order]
+    doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
     del order
-    bounds = np.searchsorted(block, np.arange(blocks + 1))
-    train = np.packbits(np.array([bool(u) for _, _, u in held])).tobytes()
-    empty = pd.isna(pd.Series([k for _, k, _ in held], dtype=object)).to_numpy()
-    ids = np.array([0 if e else int(k) for (_, k, _), e in zip(held, empty)], dtype="<i8").tobytes()
+    train = np.packbits(np.array(used)).tobytes()
+    empty = pd.isna(pd.Series(keys, dtype=object)).to_numpy()
+    ids = np.array([0 if e else int(k) for k, e in zip(keys, empty)], dtype="<i8").tobytes()
     for n in range(blocks):
         s = slice(bounds[n], bounds[n + 1])
         mine = n == chunk % blocks
@@ -174,9 +188,10 @@ def _stats_of(hot: dict[int, int]):
             out[c] = np.asarray(out[c], dtype=np.int32) if c in out else np.int32(0)
         return out.assign(kind=kind)[["kind", "key", "other", "x", "y", *COUNTS]]
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        parts, rows, first, out = [], [], 0, []
-        for r in g.itertuples(index=False):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Each kind of rows goes out as it is there, the many unseen bigrams in slices."""
+        parts, rows, first = [], [], 0
+        for r in (r for g in batches for r in g.itertuples(index=False)):
             n = len(r.doc) // (2 if r.doc[:1] == b"2" else 4)
             w2 = np.repeat(np.frombuffer(r.w2, dtype=np.uint64), _wide(r.n2))
             w1 = np.frombuffer(r.w1, dtype=np.uint64)[_wide(r.i1)]
@@ -186,7 +201,7 @@ def _stats_of(hot: dict[int, int]):
                 ids = np.frombuffer(r.ids, dtype="<i8")
                 train = np.unpackbits(np.frombuffer(r.train, dtype=np.uint8), count=len(ids))
                 some = np.unpackbits(np.frombuffer(r.known, dtype=np.uint8), count=len(ids))
-                out.append(frame(ROWS, (r.chunk << 24) + np.arange(len(ids)), ids, n0=1 - train.astype(int), n1=_wide(r.sizes), n2=1 - some.astype(int)))
+                yield frame(ROWS, (r.chunk << 24) + np.arange(len(ids)), ids, n0=1 - train.astype(int), n1=_wide(r.sizes), n2=1 - some.astype(int))
             used = np.unpackbits(np.frombuffer(r.train, dtype=np.uint8)).astype(bool)[d] if n else np.zeros(0, dtype=bool)
             parts.append((w2, w1, (d + first).astype(np.int32), used))
             rows.append((r.chunk << 24) + np.arange(docs))
@@ -194,7 +209,7 @@ def _stats_of(hot: dict[int, int]):
         w2, w1, d, used = (np.concatenate(x) for x in zip(*parts))
         del parts
         if not len(w2):
-            return pd.concat(out)
+            return
         row_keys = np.concatenate(rows)
         words, at2 = np.unique(w2, return_inverse=True)
         c2 = np.bincount(at2, weights=used, minlength=len(words)).astype(np.int64)
@@ -208,14 +223,15 @@ def _stats_of(hot: dict[int, int]):
         n1 = np.bincount(np.minimum(c2[~is_hot], K + 2), minlength=K + 3)
         n2 = np.bincount(np.minimum(c12, K + 2), minlength=K + 3)
         totals = {f"n{r}": int(n1[r]) for r in range(1, K + 2)} | {f"n{K + 1 + r}": int(n2[r]) for r in range(1, K + 1)} | {"n0": int(n2[K + 1])}
-        out.append(frame(TOTALS, 0, int((c2[~is_hot] > 0).sum()), **totals))
+        yield frame(TOTALS, 0, int((c2[~is_hot] > 0).sum()), **totals)
         # Contexts: what their seen words have, in the model's two orders.
         seen = c12 > 0
         before, at1 = np.unique(w1[one[seen]], return_inverse=True)
         pair, low = c12[seen], c2[at2[one[seen]]]
         by = lambda weights: np.bincount(at1, weights=weights, minlength=len(before))
         counts = {f"n{r}": by(pair == r).astype(int) for r in range(1, K + 1)} | {f"n{K + 1 + r}": by(low == r).astype(int) for r in range(1, K + 1)}
-        out.append(frame(CONTEXTS, before.view(np.int64), by(pair).astype(np.int64), by(np.where(low > K, low, 0)), **counts))
+        yield frame(CONTEXTS, before.view(np.int64), by(pair).astype(np.int64), by(np.where(low > K, low, 0)), **counts)
+        del seen, before, at1, pair, low, counts, one
         # Texts: sums of logarithms, and how many tokens have which small count.
         e12, e2 = c12[at12], c2[at2]
         is_seen = e12 > 0
@@ -224,9 +240,12 @@ def _stats_of(hot: dict[int, int]):
         counts = {"n0": per(e2 > 0).astype(int)} | {f"n{r}": per(e12 == r).astype(int) for r in range(1, K + 1)}
         counts |= {f"n{K + 1 + r}": per(~is_seen & (e2 == r)).astype(int) for r in range(K + 1)}
         docs_here = frame(DOCS, row_keys, per(~is_seen & (e2 > K)).astype(np.int64), per(np.log10(e2 + 1)), per(logs), **counts)
-        out.append(docs_here[np.bincount(d, minlength=first) > 0])
-        out.append(frame(UNSEEN, w1[~is_seen].view(np.int64), row_keys[d[~is_seen]]))
-        return pd.concat(out)
+        yield docs_here[np.bincount(d, minlength=first) > 0]
+        del docs_here, counts, logs, e12, e2, at12, at2
+        new = np.flatnonzero(~is_seen)
+        for i in range(0, len(new), SLICE):
+            some = new[i : i + SLICE]
+            yield frame(UNSEEN, w1[some].view(np.int64), row_keys[d[some]])
 
     return run
 
