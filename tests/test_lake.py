@@ -286,3 +286,20 @@ def test_saving_twice_and_failing_once(spark, tmp_path, rows):
     one_day = first["fct_revenue"].where(F.col("order_date") == "2024-01-01")
     text = one_day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_date" in text
+
+
+def test_net_revenue_is_computed_where_it_is_written(spark, monkeypatch):
+    from tidemark.plans.registry import QUERIES
+    from tidemark.sinks import folders
+
+    moved, write = [], folders.write_partitioned
+
+    def watched(df, *args, **kwargs):
+        moved.append(df.columns)
+        write(df, *args, **kwargs)
+
+    monkeypatch.setattr(folders, "write_partitioned", watched)
+    fact = QUERIES["incremental_revenue"](spark, "/root/testdata/sf0.001")
+    assert len(moved) == 2 and not any("net_revenue" in columns for columns in moved)
+    stored = fact.select("order_amount", "total_refund_amount", "net_revenue").collect()
+    assert stored and all(r.net_revenue == max(r.order_amount - r.total_refund_amount, 0) for r in stored)

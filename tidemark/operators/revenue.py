@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import less_money, money, month_start
@@ -41,6 +41,11 @@ def order_refunds(refunds: DataFrame) -> DataFrame:
     )
 
 
+def net_revenue(amount: Column, refunded: Column) -> Column:
+    """An amount with refunds taken off, 0 at least."""
+    return F.greatest(less_money(amount, refunded), money(F.lit(0)))
+
+
 def net_orders(orders: DataFrame, refunds: DataFrame) -> DataFrame:
     """Orders with refunds taken off; revenue never falls below 0. Keeps the columns of `orders`.
 
@@ -52,7 +57,7 @@ def net_orders(orders: DataFrame, refunds: DataFrame) -> DataFrame:
     return (
         joined.withColumn("order_date", F.to_date("order_timestamp"))
         .withColumn("total_refund_amount", refunded)
-        .withColumn("net_revenue", F.greatest(less_money(F.col("order_amount"), refunded), money(F.lit(0))))
+        .withColumn("net_revenue", net_revenue(F.col("order_amount"), refunded))
         .drop("total_refunded_amount")
     )
 

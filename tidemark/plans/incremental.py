@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.cleaning import stg_orders, stg_refunds, stg_users
-from tidemark.operators.revenue import FACT_COLUMNS, fct_revenue_from_staging, order_refunds
+from tidemark.operators.revenue import FACT_COLUMNS, fct_revenue_from_staging, net_revenue, order_refunds
 from tidemark.plans.quality_rules import FCT_REVENUE_CONTRACT
 from tidemark.sinks.folders import FolderTable
 
@@ -19,6 +19,11 @@ FOLDER = {"day": "order_date", "month": "order_month"}
 LOADED = "_loaded_at"
 
 
+def _derived() -> dict[str, Column]:
+    """What the stored fact has and its other columns tell; no shuffle has to carry it."""
+    return {"net_revenue": net_revenue(F.col("order_amount"), F.col("total_refund_amount"))}
+
+
 def _period(day: Column, grain: str) -> Column:
     return day if grain == "day" else F.trunc(day, grain)
 
@@ -97,7 +102,7 @@ def refresh_revenue(
     through = str(max((d for d in newest if d is not None), default="")) or before.note
     if before.version == 0:
         staged = fct_revenue_from_staging(stg_orders(orders), stg_users(users), order_refunds(stg_refunds(refunds)))
-        batch, written = table.store(_with_folder(staged, grain), ["user_id"])
+        batch, written = table.store(_with_folder(staged, grain), ["user_id"], _derived())
         table.publish(before, {f: (batch,) for f in written}, through)
         return len(written)
     # Stored: every later step starts from the few ids, and all steps see the same ones.
@@ -113,5 +118,5 @@ def refresh_revenue(
         return 0
     kept = _only(table.read(before, periods), ids, "order_id", "left_anti")
     rows = kept.unionByName(_with_folder(fact_of(orders, users, refunds, ids), grain))
-    table.replace(before, rows, periods, through, ["user_id"])
+    table.replace(before, rows, periods, through, ["user_id"], _derived())
     return len(periods)

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.sinks.writers import write_partitioned
@@ -71,11 +71,17 @@ class FolderTable:
         new.write.mode("overwrite").parquet(f"{self.root}/manifest/turn={version % 2}")
         return Manifest(version, note, {f: tuple(b) for f, b in batches.items()})
 
-    def store(self, rows: DataFrame, sort_by: Sequence[str] = ()) -> tuple[str, list[str | None]]:
-        """Write rows as a new batch, unseen until published; returns its name and the folders it has rows for."""
+    def store(
+        self, rows: DataFrame, sort_by: Sequence[str] = (), derived: Mapping[str, Column] | None = None
+    ) -> tuple[str, list[str | None]]:
+        """Write rows as a new batch, unseen until published; returns its name and the folders it has rows for.
+
+        Columns `derived` from others are computed as rows are written, whatever `rows` has there.
+        """
         batch = uuid.uuid4().hex
         path = f"{self.root}/data/batch={batch}"
-        write_partitioned(rows.select(*self.schema.names), path, [self.folder], sort_by, mode="errorifexists")
+        moved = rows.select(*[n for n in self.schema.names if n not in (derived or {})])
+        write_partitioned(moved, path, [self.folder], sort_by, mode="errorifexists", derived=derived)
         files = read_parquet_prefix(self.spark, path, "", self.schema).inputFiles()
         names = {unquote(n) for f in files for n in f.split("/") if n.startswith(f"{self.folder}=")}
         folders = sorted(n.partition("=")[2] for n in names)
@@ -105,10 +111,16 @@ class FolderTable:
         return self.publish(before, {**batches, **{f: (*batches.get(f, ()), batch) for f in written}}, note)
 
     def replace(
-        self, before: Manifest, rows: DataFrame, folders: Iterable[str | None], note: str | None = None, sort_by: Sequence[str] = ()
+        self,
+        before: Manifest,
+        rows: DataFrame,
+        folders: Iterable[str | None],
+        note: str | None = None,
+        sort_by: Sequence[str] = (),
+        derived: Mapping[str, Column] | None = None,
     ) -> Manifest:
         """Publish `rows` as the whole content of `folders` (rows must lie in them); other folders stay as they are."""
-        batch, written = self.store(rows, sort_by)
+        batch, written = self.store(rows, sort_by, derived)
         gone = set(folders)
         if strange := set(written) - gone:
             raise ValueError(f"rows outside the folders to replace: {sorted(map(str, strange))[:5]}")

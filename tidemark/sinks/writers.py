@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,14 +55,21 @@ def write_snappy_parquet(df: DataFrame, path: str) -> None:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, cols: Sequence[str], sort_by: Sequence[str] = (), mode: str = "overwrite", **options: str
+    df: DataFrame,
+    path: str,
+    cols: Sequence[str],
+    sort_by: Sequence[str] = (),
+    mode: str = "overwrite",
+    derived: Mapping[str, Column] | None = None,
+    **options: str,
 ) -> None:
     """One folder per combination of `cols`; rows with a NULL there go to the default folder.
 
     Rows are rebalanced on the partition columns: Spark merges small pieces and splits a value that
     holds very many rows over several tasks and files. `sort_by` clusters rows inside each file.
+    Columns `derived` from others are added to rows in their place, so they are stored and not moved.
     """
-    rows = df.hint("rebalance", *cols)
+    rows = df.hint("rebalance", *cols).withColumns({**(derived or {})})
     if sort_by:
         rows = rows.sortWithinPartitions(*cols, *sort_by)
     writer = rows.write.mode(mode).option("compression", "snappy").partitionBy(*cols)
