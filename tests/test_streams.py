@@ -104,6 +104,23 @@ def test_last_n_reads_a_batch_once(spark, topic, monkeypatch, key):
     assert sum(p.numInputRows for p in runs[0].recentProgress) == spark.read.parquet(topic).count()
 
 
+@pytest.mark.parametrize("mode", ["update", "complete"])
+def test_state_has_no_more_parts_than_cores(spark, topic, rows, monkeypatch, mode):
+    name, cores = "spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism
+    before, many = spark.conf.get(name), str(3 * cores)
+    runs, run = [], io.bounded_run
+    monkeypatch.setattr(io, "bounded_run", lambda *a, **k: runs.append(run(*a, **k)))
+    spark.conf.set(name, many)
+    try:
+        totals, root = order_events.running_seller_revenue(stream(spark, topic)), fresh_dir(spark, "stream")
+        got = io.run_update(totals, root, ["seller_id"]) if mode == "update" else io.run_complete(totals, root)
+        assert {s.numShufflePartitions for p in runs[0].recentProgress for s in p.stateOperators} == {cores}
+        assert spark.conf.get(name) == many
+        assert rows(got) == rows(order_events.running_seller_revenue(batch(spark)))
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_a_large_topic_file_is_work_for_several_tasks(spark):
     path = fresh_dir(spark, "topic")
     text = F.concat(*[F.sha2((F.col("id") * 20 + i).cast("string"), 512) for i in range(20)])

@@ -91,18 +91,27 @@ def bounded_run(
     checkpoint: str,
     mode: str = "append",
     log: str | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Process all that is there now, then stop; the source's `maxBytesPerTrigger` or `maxFilesPerTrigger` sizes batches.
 
     With `log`, a batch is committed there once `batch_fn` returned, and `read_committed` shows it from then on.
+    `partitions` are those of the stream's shuffles and state, instead of the session's; a checkpoint keeps its own.
     """
-    query = (
+    writer = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(_logged(batch_fn, log))
-        .start()
     )
+    conf, name = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(name)
+    # A stream copies the settings when it starts, so the session has its own again from then on.
+    conf.set(name, str(partitions or before))
+    try:
+        query = writer.start()
+    finally:
+        conf.set(name, before)
     query.awaitTermination()
     return query
 
@@ -178,10 +187,18 @@ def read_version(spark: SparkSession, root: str, schema: T.StructType, batch_id:
     return stored.where(F.col("batch_id") == last).select(*schema.names)
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """Into how many parts an aggregation's state falls: no more than there are cores.
+
+    Every batch writes files for each part, however few rows it has; a batch has a share of its source for each core.
+    """
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def run_complete(stream: DataFrame, root: str) -> DataFrame:
     """Run an aggregation to the end of the available data and return its last full result."""
-    out = f"{root}/out"
-    bounded_run(stream, lambda batch, n: store_version(batch, n, out), f"{root}/checkpoint", "complete")
+    out, parts = f"{root}/out", state_partitions(stream.sparkSession)
+    bounded_run(stream, lambda batch, n: store_version(batch, n, out), f"{root}/checkpoint", "complete", partitions=parts)
     return read_version(stream.sparkSession, out, stream.schema)
 
 
@@ -231,7 +248,8 @@ def run_update(stream: DataFrame, root: str, keys: Sequence[str], buckets: int =
     A reader opens one snapshot and a few changes per folder, however many batches there were.
     """
     table = keyed_table(stream.sparkSession, f"{root}/out", stream.schema)
-    bounded_run(stream, store_changes(table, keys, buckets, most), f"{root}/checkpoint", "update")
+    parts = state_partitions(stream.sparkSession)
+    bounded_run(stream, store_changes(table, keys, buckets, most), f"{root}/checkpoint", "update", partitions=parts)
     return latest_of_keys(table.read(), keys).select(*stream.columns)
 
 
