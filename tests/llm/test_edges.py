@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import random
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -358,3 +359,16 @@ def test_katz_hands_out_a_block_in_slices(monkeypatch):
         assert all(f["kind"].nunique() == 1 for f in frames)
         assert max(len(f) for f in frames if f["kind"].iloc[0] == katz.UNSEEN) <= 50
         assert list(frames[0].columns) == [c.split()[0] for c in katz.STATS.split(", ")]
+
+
+def test_katz_holds_a_block_by_its_tokens_and_not_by_all_texts():
+    far = 5_000_000
+    words, train = np.array([7], dtype=np.uint64).tobytes(), np.packbits(np.ones(far + 1, dtype=bool)).tobytes()
+    row = (0, 3, words, katz._narrow(np.array([2])), words, katz._narrow(np.array([0, 0])), katz._narrow(np.array([1, far])), train, None, None, None)
+    g = pd.DataFrame([row], columns=[c.split()[0] for c in katz.BLOCK.split(", ")])
+    tracemalloc.start()
+    docs = pd.concat(f for f in katz._stats_of({})(iter([g])) if f["kind"].iloc[0] == katz.DOCS)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert list(docs["key"]) == [(3 << 24) + 1, (3 << 24) + far] and list(docs["n0"]) == [1, 1]
+    assert peak < 50e6

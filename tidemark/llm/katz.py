@@ -26,7 +26,7 @@ from tidemark.llm.common import store, table_path, text_of
 K = 5
 END = np.uint64(0x5E9D0FE0D5E9D0FE)
 CHUNK_TOKENS = 5_000_000
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 SLICE = 250_000
 HOT_PART = 8
 CACHE_WORDS = 500_000
@@ -189,28 +189,28 @@ def _stats_of(hot: dict[int, int]):
         return out.assign(kind=kind)[["kind", "key", "other", "x", "y", *COUNTS]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Each kind of rows goes out as it is there, the many unseen bigrams in slices."""
-        parts, rows, first = [], [], 0
+        """Each kind of rows goes out as it is there, the many unseen bigrams in slices.
+
+        What is held goes by the block's tokens, not by the number of texts in the table.
+        """
+        parts = []
         for r in (r for g in batches for r in g.itertuples(index=False)):
             n = len(r.doc) // (2 if r.doc[:1] == b"2" else 4)
             w2 = np.repeat(np.frombuffer(r.w2, dtype=np.uint64), _wide(r.n2))
             w1 = np.frombuffer(r.w1, dtype=np.uint64)[_wide(r.i1)]
             d = _wide(r.doc)
-            docs = int(d.max()) + 1 if len(d) else 0
             if r.ids is not None:
                 ids = np.frombuffer(r.ids, dtype="<i8")
                 train = np.unpackbits(np.frombuffer(r.train, dtype=np.uint8), count=len(ids))
                 some = np.unpackbits(np.frombuffer(r.known, dtype=np.uint8), count=len(ids))
                 yield frame(ROWS, (r.chunk << 24) + np.arange(len(ids)), ids, n0=1 - train.astype(int), n1=_wide(r.sizes), n2=1 - some.astype(int))
             used = np.unpackbits(np.frombuffer(r.train, dtype=np.uint8)).astype(bool)[d] if n else np.zeros(0, dtype=bool)
-            parts.append((w2, w1, (d + first).astype(np.int32), used))
-            rows.append((r.chunk << 24) + np.arange(docs))
-            first += docs
+            parts.append((w2, w1, (r.chunk << 24) + d, used))
         w2, w1, d, used = (np.concatenate(x) for x in zip(*parts))
         del parts
         if not len(w2):
             return
-        row_keys = np.concatenate(rows)
+        row_keys, d = np.unique(d, return_inverse=True)
         words, at2 = np.unique(w2, return_inverse=True)
         c2 = np.bincount(at2, weights=used, minlength=len(words)).astype(np.int64)
         hot_at = np.searchsorted(names, words)
@@ -235,13 +235,12 @@ def _stats_of(hot: dict[int, int]):
         # Texts: sums of logarithms, and how many tokens have which small count.
         e12, e2 = c12[at12], c2[at2]
         is_seen = e12 > 0
-        per = lambda weights: np.bincount(d, weights=weights, minlength=first)
+        per = lambda weights: np.bincount(d, weights=weights, minlength=len(row_keys))
         logs = np.where(is_seen, np.log10(np.maximum(e12, 1)) * (e12 > K), np.log10(np.maximum(e2, 1)) * (e2 > K))
         counts = {"n0": per(e2 > 0).astype(int)} | {f"n{r}": per(e12 == r).astype(int) for r in range(1, K + 1)}
         counts |= {f"n{K + 1 + r}": per(~is_seen & (e2 == r)).astype(int) for r in range(K + 1)}
-        docs_here = frame(DOCS, row_keys, per(~is_seen & (e2 > K)).astype(np.int64), per(np.log10(e2 + 1)), per(logs), **counts)
-        yield docs_here[np.bincount(d, minlength=first) > 0]
-        del docs_here, counts, logs, e12, e2, at12, at2
+        yield frame(DOCS, row_keys, per(~is_seen & (e2 > K)).astype(np.int64), per(np.log10(e2 + 1)), per(logs), **counts)
+        del counts, logs, e12, e2, at12, at2
         new = np.flatnonzero(~is_seen)
         for i in range(0, len(new), SLICE):
             some = new[i : i + SLICE]
@@ -282,7 +281,8 @@ def score(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_id
     spark = docs.sparkSession
     dealt = token_blocks(docs, text, key, train, hot, blocks).repartition(blocks, "block")
     path = table_path(spark, "katz")
-    dealt.groupBy("block").applyInPandas(_stats_of(hot_count), STATS).write.partitionBy("kind").parquet(path)
+    # No folders by kind: Spark would sort all rows of a task by it. Rows of a kind lie together as they come.
+    dealt.groupBy("block").applyInPandas(_stats_of(hot_count), STATS).write.parquet(path)
     stats = spark.read.schema(STATS).parquet(path)
     kind = lambda k: stats.filter(F.col("kind") == k)
 
