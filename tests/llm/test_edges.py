@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import collections
+import hashlib
 import random
+import re
 import tracemalloc
 
 import numpy as np
@@ -194,6 +196,47 @@ def test_equal_vectors_beyond_the_result(spark):
     assert [r.vec_id for r in found] == [1004, *range(19)]  # ties go to the smaller ids
 
 
+def broadcast(plan: str) -> str:
+    """The lines of a plan that stand below a broadcast."""
+    out, top = [], None
+    for line in plan.splitlines():
+        at = re.search("[A-Za-z]|$", line).start()
+        top = None if top is not None and at <= top else top
+        out += [line] if top is not None else []
+        top = at if top is None and "BroadcastExchange" in line else top
+    return "\n".join(out)
+
+
+def test_probes_and_many_queries_are_not_broadcast(spark, monkeypatch):
+    plans = {}
+
+    def keep(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, purpose)
+
+    monkeypatch.setattr(multiprobe, "store", keep)
+    points = np.random.default_rng(8).standard_normal((400, 8)).tolist()
+    vectors = spark.createDataFrame(list(enumerate(points)), "vec_id long, embedding array<float>")
+    got = {}
+    for most in (multiprobe.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(multiprobe, "BROADCAST_BYTES", most)
+        found = multiprobe.search(vectors, vectors.filter("vec_id % 20 = 0"))
+        assert "MapInPandas" in plans["found"] and "MapInPandas" not in broadcast(plans["found"])
+        plans["result"] = found._jdf.queryExecution().executedPlan().toString()
+        got[most] = sorted(found.collect())
+    assert "vector" not in broadcast(plans["found"]) and "vector" not in broadcast(plans["result"])
+    assert len(got[0]) == 400 and got[0] == got[max(got)]
+
+
+def test_sample_is_the_smallest_digests(spark, monkeypatch):
+    rows = spark.range(9000, numPartitions=12).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("float")).alias("vector"))
+    want = sorted(range(9000), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())[: multiprobe.SAMPLE]
+    for slack in (multiprobe.SLACK, 0.5):  # with 0.5 too few rows lie below the bound
+        monkeypatch.setattr(multiprobe, "SLACK", slack)
+        assert [r.vec_id for r in multiprobe.sampled(rows, 9000)] == want
+    assert {r.vec_id for r in multiprobe.sampled(rows.filter("vec_id < 3"), 3)} == {0, 1, 2}
+
+
 def test_sequences_can_be_assembled(awkward):
     packed = packing.pack_documents(awkward, TOKENIZER, keep_ids=True)
     rows = packing.assemble(store(packed, "packed")).collect()

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import store
@@ -16,10 +16,12 @@ from tidemark.llm.common import store
 NEAREST = 20
 SAMPLE = 2000
 SAMPLE_QUERIES = 300
+SLACK = 1.5
 SUCCESS = 0.96
 SHARD_ROWS = 8192
 QUERY_ROWS = 20_000
 CHUNK = 256
+BROADCAST_BYTES = 10 * 2**20
 SEED = 20
 
 
@@ -93,6 +95,21 @@ def prepared(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.filter(_usable("vector", size)).groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
+def sampled(rows: DataFrame, count: int) -> list[Row]:
+    """The at most `SAMPLE` of `count` rows whose ids have the smallest digests.
+
+    Every task sends the driver as many rows as the sample has, so that of many rows only those below a bound on
+    the digest, `SLACK` times as many as needed, are sorted. Should they be too few, all rows are.
+    """
+    digest = F.md5(F.col("vec_id").cast("string"))
+    if count > SLACK * SAMPLE:
+        bound = f"{int(16**8 * SLACK * SAMPLE / count):08x}"
+        picked = rows.filter(digest < bound).orderBy(digest, "vec_id").limit(SAMPLE).collect()
+        if len(picked) == SAMPLE:
+            return picked
+    return rows.orderBy(digest, "vec_id").limit(SAMPLE).collect()
+
+
 def fit(rows: DataFrame, nearest: int, tables: int, dims: int, width: float) -> Hashes | None:
     """Lines and cell width from at most `SAMPLE` of the distinct vectors, those whose ids have the smallest digests.
 
@@ -103,8 +120,7 @@ def fit(rows: DataFrame, nearest: int, tables: int, dims: int, width: float) ->
     count, top = rows.agg(F.count(F.lit(1)), F.max(norm)).first()
     if not count:
         return None
-    picked = rows.orderBy(F.md5(F.col("vec_id").cast("string")), "vec_id").limit(SAMPLE).collect()
-    sample = np.array([r["vector"] for r in picked], dtype=float)
+    sample = np.array([r["vector"] for r in sampled(rows, count)], dtype=float)
     d = sample.shape[1]
     rng = np.random.default_rng(SEED)
     lines = rng.standard_normal((tables, dims, d + 1))
@@ -171,7 +187,10 @@ def search(
     held = indexed.join(cells, ["tab", "cell"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
     held = held.select("tab", shard, F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("block"), "cell", "vec_id", "vector")
     spread = distinct.repartition(n_queries // 100 + 1, "query")  # rows are few, but each is much work
-    probed = spread.mapInPandas(probe, "query long, tab int, cell long").join(cells, ["tab", "cell"])
+    # Spark takes the probes, hundreds of a query, to be about as large as the queries, and would broadcast them. It knows
+    # the queries by their file, which may be far smaller than they are.
+    held_queries = distinct.hint("merge") if n_queries * hashes.lines.shape[2] * 8 > BROADCAST_BYTES else distinct
+    probed = spread.mapInPandas(probe, "query long, tab int, cell long").hint("merge").join(cells, ["tab", "cell"])
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -201,7 +220,7 @@ def search(
         """The best rows of all cells that (query, tab, cell, parts) names."""
         visits = visits.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         visits = visits.select("query", "tab", shard, "cell").groupBy("query", "tab", "shard").agg(F.collect_set("cell").alias("cells"))
-        visits = visits.join(distinct, "query").select("tab", "shard", block("query"), "query", "cells", F.col("vector").alias("asked"))
+        visits = visits.join(held_queries, "query").select("tab", "shard", block("query"), "query", "cells", F.col("vector").alias("asked"))
         found = held.groupBy(*groups).cogroup(visits.groupBy(*groups)).applyInPandas(best, "query long, vec_id long, score double")
         merged = found.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
         return merged.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= nearest + 1).drop("_r")
@@ -212,7 +231,7 @@ def search(
     if not short.isEmpty():  # too little in the cells tried: the query visits all cells of one table
         rest = visited(short.withColumn("tab", F.lit(0)).join(cells, "tab"))
         kept = kept.join(short, "query", "left_anti").unionByName(rest)
-    own = asked.withColumnRenamed("vec_id", "query_id").join(distinct, "vector").select("query_id", "query")
+    own = asked.withColumnRenamed("vec_id", "query_id").join(held_queries, "vector").select("query_id", "query")
     mine = own.join(kept, "query").filter(F.col("vec_id") != F.col("query_id"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = mine.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= nearest)
